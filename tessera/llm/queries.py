@@ -7,6 +7,9 @@ from importlib import import_module
 #: Query name to module.
 MODULES = {
     "op1_quality_rules": "quality_rules",
+    "op4_packing": "packing",
+    "op7_html_text": "html_text",
+    "op9_byte_bpe": "byte_bpe",
 }
 
 
