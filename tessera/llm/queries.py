@@ -7,9 +7,13 @@ from importlib import import_module
 #: Query name to module.
 MODULES = {
     "op1_quality_rules": "quality_rules",
+    "op2_embedding_dedup": "embedding_dedup",
+    "op3_secrets": "secrets",
     "op4_packing": "packing",
+    "op5_quality_classifier": "quality_classifier",
     "op7_html_text": "html_text",
     "op9_byte_bpe": "byte_bpe",
+    "op10_language_id": "language_id",
 }
 
 
