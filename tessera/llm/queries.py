@@ -12,6 +12,7 @@ MODULES = {
     "op4_packing": "packing",
     "op5_quality_classifier": "quality_classifier",
     "op7_html_text": "html_text",
+    "op8_weighted_minhash": "weighted_minhash",
     "op9_byte_bpe": "byte_bpe",
     "op10_language_id": "language_id",
 }
