@@ -11,6 +11,7 @@ MODULES = {
     "op3_secrets": "secrets",
     "op4_packing": "packing",
     "op5_quality_classifier": "quality_classifier",
+    "op6_suffix_dedup": "suffix_dedup",
     "op7_html_text": "html_text",
     "op8_weighted_minhash": "weighted_minhash",
     "op9_byte_bpe": "byte_bpe",
