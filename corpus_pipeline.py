@@ -1,13 +1,50 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read again by the next."""
+"""The corpus pipeline: stages over documents, each written as Parquet and read again by the next.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm import packing, quality_classifier, secrets, suffix_dedup, weighted_minhash
 from tessera.llm.common import materialize, read
 
-STAGES = []
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts; it learns from the labels of the documents it is given."""
+    return quality_classifier.keep_good(docs, read(spark, sf_dir, "labels"))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The least document of each class of near-duplicates."""
+    return weighted_minhash.keep_one(docs)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 50-byte strings that start in an earlier document."""
+    return suffix_dedup.strip_repeats(docs)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with confirmed secrets masked."""
+    return secrets.redact(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token sequences: one row for each piece of a document."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_classifier", good_quality),
+    ("weighted_minhash", one_of_each),
+    ("suffix_dedup", without_repeats),
+    ("secrets", without_secrets),
+    ("packing", packed),
+]
+
+#: The classifier, the sampling and the tokenizer have no SQL form.
 ORACLE_SQL = None
 
 

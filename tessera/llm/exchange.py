@@ -68,10 +68,14 @@ def unpack_arrays(packed: bytes) -> list[np.ndarray]:
     return out
 
 
-def chunk_table(docs: DataFrame, limit: int = CHUNK) -> DataFrame:
-    """The chunks of docs (doc_id, text), bucketed by chunk. Null texts are empty; null ids are -1."""
+def chunk_table(docs: DataFrame, limit: int = CHUNK, carry: bool = False) -> DataFrame:
+    """The chunks of docs (doc_id, text), bucketed by chunk. Null texts are empty; null ids are -1.
+
+    With carry, a third column holds each row's other columns as JSON, and whether its text is null.
+    """
     spark = docs.sparkSession
     small_batches(spark)
+    names = ["chunk", "docs", *(["rest"] if carry else [])]
 
     def apply(batches):
         from pyspark import TaskContext
@@ -79,24 +83,30 @@ def chunk_table(docs: DataFrame, limit: int = CHUNK) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         ids: list[int] = []
         texts: list[bytes] = []
+        rest: list[bytes] = []
         size = 0
 
         def row():
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([pack_docs(ids, texts)], pa.binary())], ["chunk", "docs"])
+            packed = [pack_docs(ids, texts), *([pack_docs(ids, rest)] if carry else [])]
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([p], pa.binary()) for p in packed)], names)
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()).to_pylist()):
+            others = batch.column(2).to_pylist() if carry else [b""] * batch.num_rows
+            for key, text, other in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()).to_pylist(), others):
                 text = text or b""
                 if ids and size + len(text) > limit:
                     yield row()
-                    number, ids, texts, size = number + 1, [], [], 0
+                    number, ids, texts, rest, size = number + 1, [], [], [], 0
                 ids.append(-1 if key is None else key)
                 texts.append(text)
+                rest.append(other)
                 size += len(text)
         if ids:
             yield row()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(apply, CHUNK_SCHEMA)
+    others = F.struct(*(F.col(c) for c in docs.columns if c != "text"), F.col("text").isNull().alias("__null"))
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"), *([F.to_json(others).cast("binary").alias("rest")] if carry else [])]
+    rows = docs.select(*columns).mapInArrow(apply, CHUNK_SCHEMA + (", rest binary" if carry else ""))
     name = f"tessera_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/tessera-{name}"
     rows.write.format("parquet").option("compression", "none").option("path", path).bucketBy(buckets(spark), "chunk").saveAsTable(name)
@@ -147,7 +157,7 @@ def joined(chunks: DataFrame, *replies: DataFrame) -> DataFrame:
     out = chunks
     for k, reply in enumerate(replies):
         out = out.join(reply.withColumnRenamed("answers", f"answers{k}").hint("shuffle_hash"), "chunk", "left")
-    return out.select("chunk", "docs", *(f"answers{k}" for k in range(len(replies))))
+    return out.select("chunk", "docs", *(f"answers{k}" for k in range(len(replies))), *(c for c in chunks.columns if c == "rest"))
 
 
 def received(found) -> list[np.ndarray]:

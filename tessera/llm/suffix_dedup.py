@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize, partitions, read
-from tessera.llm.exchange import answers, chunk_table, each_chunk, joined, received, send, pack_arrays, unpack_arrays
+from tessera.llm.exchange import answers, chunk_table, each_chunk, joined, received, send, pack_arrays, unpack_arrays, unpack_docs
 from tessera.llm.ngrams import mix
 
 LENGTH = 50
@@ -366,10 +366,14 @@ def removed_ranges(entries: Entries, n_texts: int, code, masks, hot, hot_answer)
     return ranges
 
 
-def removals(docs: DataFrame, schema: str, output) -> DataFrame:
-    """output(ids, texts, ranges) -> record batch, over all chunks with the byte ranges to remove."""
+def removals(docs: DataFrame, schema: str, output, carry: bool = False) -> DataFrame:
+    """output(ids, texts, ranges) -> record batch, over all chunks with the byte ranges to remove.
+
+    With carry, output's fourth argument is the JSON of each row's other columns.
+    """
     n_buckets = 3 * partitions(docs.sparkSession)
-    chunks = chunk_table(docs)
+    whole = chunk_table(docs, carry=carry)
+    chunks = whole.select("chunk", "docs")
 
     def emit_anchors(chunk, ids, texts):
         e = Entries(ids, texts, n_buckets)
@@ -401,16 +405,16 @@ def removals(docs: DataFrame, schema: str, output) -> DataFrame:
     sent = each_chunk(joined(chunks, codes), emit_contexts, "bucket int, chunk long, packed binary")
     masks = answers(sent, decide)
 
-    def finish(chunk, ids, texts, found, decided):
+    def finish(chunk, ids, texts, found, decided, rest=None):
         e = Entries(ids, texts, n_buckets)
         code = received(found)[0] if found else np.zeros(len(e.gram), np.uint8)
         mask = received([x for x in decided or [] if x["bucket"] < n_buckets])
         answer = received([x for x in decided or [] if x["bucket"] >= n_buckets])
         hot = hot_windows(e, code, texts, n_buckets)
         ranges = removed_ranges(e, len(texts), code, mask[0] if mask else None, hot, answer[0] if answer else None)
-        yield output(ids, texts, ranges)
+        yield output(ids, texts, ranges, *([unpack_docs(rest)[1]] if carry else []))
 
-    return each_chunk(joined(chunks, codes, masks), finish, schema)
+    return each_chunk(joined(whole, codes, masks), finish, schema)
 
 
 def kept_bytes(text: bytes, ranges: list[tuple[int, int]]) -> bytes:
@@ -444,5 +448,35 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     return removals(docs, "doc_id long, spans array<struct<start:long,end:long>>", output)
 
 
+def whole_characters(text: bytes, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The ranges without the characters that they cut at either end."""
+    out = []
+    for a, b in ranges:
+        while a < b and a < len(text) and text[a] & 0xC0 == 0x80:
+            a += 1
+        while a < b < len(text) and text[b] & 0xC0 == 0x80:
+            b -= 1
+        if a < b:
+            out.append((a, b))
+    return out
+
+
+def strip_repeats(docs: DataFrame) -> DataFrame:
+    """docs with the repeated bytes cut out of text, whole characters only; n_chars, where there is one, is counted anew."""
+    small = docs.select(*(c for c in docs.columns if c != "text"))
+    kind = f"struct<{', '.join(f'`{f.name}`: {f.dataType.simpleString()}' for f in small.schema.fields)}, __null: boolean>"
+
+    def output(ids, texts, ranges, rest):
+        kept = [kept_bytes(t, whole_characters(t, r)).decode("utf-8", "replace") for t, r in zip(texts, ranges)]
+        return pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), pa.array([r.decode() for r in rest], pa.string())], ["__text", "__rest"])
+
+    rows = removals(docs, "__text string, __rest string", output, carry=True)
+    rows = rows.withColumn("__rest", F.from_json("__rest", kind)).withColumn("__text", F.when(~F.col("__rest.__null"), F.col("__text")))
+    made = {c: F.col(f"__rest.`{c}`") for c in small.columns} | {"text": F.col("__text")}
+    if "n_chars" in made:
+        made["n_chars"] = F.length("__text").cast(docs.schema["n_chars"].dataType)
+    return rows.select(*(made[c].alias(c) for c in docs.columns))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(read(spark, sf_dir, "documents"))
