@@ -67,7 +67,7 @@ def held_out_column(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def map_texts(df: DataFrame, schema, row_function_factory, key: str = "doc_id", text: str = "text") -> DataFrame:
+def map_texts(df: DataFrame, schema, row_function_factory, key: str = "doc_id", text: str = "text", limit: int = 4 << 20) -> DataFrame:
     """Apply a function to whole texts, batch by batch, in Python.
 
     row_function_factory() is called once for each task and returns f(keys, texts) -> pyarrow.RecordBatch columns;
@@ -79,13 +79,24 @@ def map_texts(df: DataFrame, schema, row_function_factory, key: str = "doc_id",
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = row_function_factory()
         for batch in batches:
-            for keys, texts in slices(batch.column(0), batch.column(1)):
+            for keys, texts in slices(batch.column(0), batch.column(1), limit):
                 columns = function(keys, texts)
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     return df.select(key, F.col(text).cast("string").alias("text")).mapInArrow(apply, schema)
 
 
+def worker_cache(key, make):
+    """What make() gave first for this key in this Python worker: functions are sent by value, so their globals do not last."""
+    import sys
+    import types
+
+    store = sys.modules.setdefault("_tessera_worker_cache", types.ModuleType("_tessera_worker_cache")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def slices(keys: pa.Array, texts: pa.Array, limit: int = 4 << 20):
     """Lists of keys and texts of some limit bytes; a longer text comes alone."""
     if not len(texts):
