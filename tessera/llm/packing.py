@@ -19,18 +19,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_texts, materialize, read
+from tessera.llm.common import map_texts, materialize, read, worker_cache
 
 WINDOW = 2048
 END_ID = 1
 #: Parts in which the rests of one length are numbered.
-SALTS = 256
+SALTS = 64
 MEMO_CHARS = 40
-MEMO_SIZE = 400_000
+MEMO_SIZE = 1_200_000
 #: Characters on which the tokenizer's normalizer does no more than lower-casing: Latin-1 without its controls and spaces beyond ASCII.
 PLAIN = r"[\t\n\v\f\r\x20-\x7e\xa1-\xff]*"
-#: The tokenizer's own cut into pieces (fixed value of the vocabulary file).
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The tokenizer's own cut into pieces: 's|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+, its classes written out for plain texts.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zA-ZªµºÀ-ÖØ-öø-ÿ]+|[0-9²³¹¼½¾]|[^\ta-zA-ZªµºÀ-ÖØ-öø-ÿ0-9²³¹¼½¾\n\v\f\r ]+"
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -41,13 +41,14 @@ class WordIds:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        import regex
+        import re
+
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.plain = regex.compile(PLAIN).fullmatch
-        self.find = regex.compile(PIECES).findall
+        self.plain = re.compile(PLAIN).fullmatch
+        self.find = re.compile(PIECES).findall
         self.memo: dict[str, bytes] = {}
 
     def batch(self, texts: list[str]) -> list[bytes]:
@@ -56,28 +57,21 @@ class WordIds:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(texts)
-        memo, rest = self.memo, []
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        memo, plain, find = self.memo, self.plain, self.find
+        if len(memo) > MEMO_SIZE:
+            memo.clear()
+        found = [find(t.lower()) if t and plain(t) else None for t in texts]
+        fresh = [p for p in set().union(*(f for f in found if f)) if p not in memo]
+        for k in range(0, len(fresh), 50_000):
+            memo.update(zip(fresh[k : k + 50_000], self.batch(fresh[k : k + 50_000])))
+        out = [b"".join(map(memo.__getitem__, f)) if f else b"" for f in found]
+        for p in fresh:
+            if len(p) > MEMO_CHARS:
+                del memo[p]
         for k, text in enumerate(texts):
-            if not text:
-                continue
-            if not self.plain(text):
-                rest.append(k)
-                continue
-            pieces = self.find(text.lower())
-            new = [p for p in set(pieces) if p not in memo]
-            if new:
-                if len(memo) > MEMO_SIZE:
-                    memo.clear()
-                    new = list(set(pieces))
-                memo.update(zip(new, self.batch(new)))
-            out[k] = b"".join(map(memo.__getitem__, pieces))
-            for p in new:
-                if len(p) > MEMO_CHARS:
-                    del memo[p]
-        for k in rest:
-            out[k] = self.batch([texts[k]])[0]
+            if text and found[k] is None:
+                out[k] = self.batch([text])[0]
         return out
 
 
@@ -85,7 +79,7 @@ def cut(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID)
     """The pieces of each document: full windows and a rest, with the checksum of their ids."""
 
     def factory():
-        words = WordIds(path)
+        words = worker_cache(("word_ids", path), lambda: WordIds(path))
         end = end_id.to_bytes(4, "little")
 
         def apply(keys, texts):
@@ -203,7 +197,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id:
     starts = order[:, 0] * span + order[:, 1]
 
     local = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "start")) - 1
-    numbered = parts.withColumn("local", local).join(firsts.select("length", "salt", "first"), ["length", "salt"])
+    numbered = parts.withColumn("local", local).join(firsts.select("length", "salt", "first").hint("merge"), ["length", "salt"])
     ranked = numbered.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("first") + F.col("local")).alias("rank"))
     schema = f"{PIECE_SCHEMA}, sequence_id long, offset long"
 
