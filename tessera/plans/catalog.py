@@ -1,4 +1,708 @@
-"""The registered queries of the link engine and their SQL."""
+"""The registered queries of the link engine and their SQL.
+
+The driver's tables hold no entity lists, so entities and registry are derived from part, customer and supplier by SQL
+that both engines read. Everything runs over whole tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.config import Config
+from tessera.functions import documents, names, urls
+from tessera.operators import entities as E
+from tessera.operators import links as L
+from tessera.operators import matching, registry, state
 
 QUERIES = {}
 ORACLES = {}
+
+CONFIG = Config(llm_key="replay")
+
+# --- Derived inputs: the same SQL in both engines. {part}, {customer}, ... are tables.
+
+_SURNAME = "CASE {k} % 7 WHEN 0 THEN 'Ёлкин' WHEN 1 THEN 'Тестов' WHEN 2 THEN 'Полев' WHEN 3 THEN 'Лугов' WHEN 4 THEN 'Боров' WHEN 5 THEN 'Речнов' ELSE 'Горин' END"
+_GIVEN = "CASE {k} % 5 WHEN 0 THEN 'Пётр' WHEN 1 THEN 'Иван' WHEN 2 THEN 'Анна' WHEN 3 THEN 'Олег' ELSE 'Вера' END"
+_CODE = "concat('код', CAST({k} AS VARCHAR(20)))"
+
+
+def _person(key: str) -> str:
+    return f"concat({_SURNAME.format(k=key)}, ' ', {_GIVEN.format(k=key)}, ' ', {_CODE.format(k=key)})"
+
+
+ENTITIES = f"""
+SELECT concat('o', CAST(p_partkey AS VARCHAR(20))) AS entity_id, concat('ООО «', p_name, ' ', p_brand, '» (', p_type, ')') AS name, 'organization' AS entity_type, CAST(p_partkey AS BIGINT) AS row_no FROM {{part}}
+UNION ALL
+SELECT concat('c', CAST(c_custkey AS VARCHAR(20))), {_person("c_custkey")}, CASE WHEN c_custkey % 4 = 0 THEN 'unknown' ELSE 'person' END, CAST(1000000000000 + c_custkey AS BIGINT) FROM {{customer}}
+"""
+
+#: One raw registry row for each brand and name of part (the least key of it), and one for each supplier.
+RAW = f"""
+SELECT concat('p', CAST(k AS VARCHAR(20))) AS id, CAST(k AS VARCHAR(20)) AS field_1_i, concat('Фонд "', p_name, ' ', p_brand, '"') AS field_2_s, '2020-01-01' AS field_4_s,
+  CASE WHEN s % 5 = 0 THEN '2024-05-06' ELSE '' END AS field_5_s,
+  concat('сайт https://www.', lower(replace(p_brand, '#', '-')), '.example.org//a/', CAST(k AS VARCHAR(20)), '/; ', CASE WHEN k % 3 = 0 THEN concat('https://t.me/s/chan', CAST(k AS VARCHAR(20)), ', ') ELSE '' END,
+    CASE WHEN k % 4 = 0 THEN concat('https://Х.com/u', CAST(k AS VARCHAR(20)), '.') ELSE 'http://vk.com/' END) AS field_6_s,
+  'Организации' AS field_7_s
+FROM (SELECT p_name, p_brand, CASE WHEN p_size % 2 = 0 THEN 1 ELSE 2 END AS half, min(p_partkey) AS k, max(p_size) AS s FROM {{part}} GROUP BY p_name, p_brand, CASE WHEN p_size % 2 = 0 THEN 1 ELSE 2 END)
+UNION ALL
+SELECT concat('s', CAST(s_suppkey AS VARCHAR(20))), CAST(s_suppkey AS VARCHAR(20)), {_person("s_suppkey")}, '2021-02-03', CASE WHEN s_suppkey % 6 = 0 THEN '2023-01-01' ELSE '' END,
+  concat('https://ok.ru/p', CAST(s_suppkey AS VARCHAR(20)), '; http://www.youtube.eom/@p', CAST(s_suppkey AS VARCHAR(20))), 'Физические лица'
+FROM {{supplier}}
+"""
+
+#: A record's links with evidence and sources of several kinds, for the merge queries: one list of links for each customer.
+LINK_ROWS = """
+SELECT c_custkey AS k, 1 AS pos, concat('https://www.t.me/s/c', CAST(c_custkey % 50 AS VARCHAR(20)), '/') AS url, 0.9 AS confidence, 'a' AS evidence, 'https://one.example.org/' AS source_url FROM {customer}
+UNION ALL SELECT c_custkey, 2, concat('https://t.me/c', CAST(c_custkey % 50 AS VARCHAR(20))), CASE WHEN c_custkey % 2 = 0 THEN 0.95 ELSE 0.4 END, 'b', 'https://two.example.org/x/' FROM {customer}
+UNION ALL SELECT c_custkey, 3, CASE WHEN c_custkey % 3 = 0 THEN 'https://x.com/a/status/1' ELSE 'HTTPS://Site.example.org//p/' END, 0.8, 'c', 'no-url' FROM {customer}
+UNION ALL SELECT c_custkey, 4, 'https://vk.com/', 0.99, 'd', 'https://one.example.org/' FROM {customer}
+UNION ALL SELECT c_custkey, 5, 'https://site.example.org/p', CASE WHEN c_custkey % 5 = 0 THEN 0.3 ELSE 0.85 END, 'ab', 'https://three.example.org/' FROM {customer}
+"""
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    used = [t for t in ("part", "customer", "supplier", "orders", "events", "pages", "conversations") if f"{{{t}}}" in sql]
+    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in used})
+
+
+def entities(spark, sf_dir) -> DataFrame:
+    return E.keyed(derived(spark, sf_dir, ENTITIES), plain=True)
+
+
+def unique_entities(spark, sf_dir) -> DataFrame:
+    return matching.with_search_names(E.first_of_each(entities(spark, sf_dir)), plain=True)
+
+
+def records(spark, sf_dir) -> DataFrame:
+    raw = derived(spark, sf_dir, RAW)
+    missing = [c.split()[0] for c in registry.RAW.split(", ") if c.split()[0] not in raw.columns]
+    return registry.parse(raw.withColumns({c: F.lit(None).cast("string") for c in missing}), plain=True)
+
+
+def link_lists(spark, sf_dir) -> DataFrame:
+    rows = derived(spark, sf_dir, LINK_ROWS)
+    one = L.link(F.lit("website"), F.col("url"), F.col("confidence").cast("double"), F.col("evidence"), F.lit("registry"), F.array("source_url"))
+    made = rows.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("pos", one.alias("link")))).alias("l"))
+    return made.select("k", F.transform("l", lambda x: x["link"]).alias("links"))
+
+
+# --- The same functions in DuckDB's SQL.
+
+
+def _plain(sql: str) -> str:
+    """Braces of the derived tables taken off: in DuckDB they are views."""
+    for t in ("part", "customer", "supplier", "orders", "events", "pages"):
+        sql = sql.replace(f"{{{t}}}", t)
+    return sql
+
+
+_LEGAL = "[" + ", ".join(f"'{w}'" for w in names.LEGAL_FORM_WORDS) + "]"
+
+
+def d_norm(x: str) -> str:
+    return f"trim(regexp_replace(replace(lower({x}), 'ё', 'е'), '[^a-zа-я0-9]+', ' ', 'g'))"
+
+
+def d_tokens(x: str) -> str:
+    return f"[t FOR t IN string_split({x}, ' ') IF t <> '']"
+
+
+def d_key(x: str) -> str:
+    return f"array_to_string(list_sort({d_tokens(x)}), ' ')"
+
+
+def d_core(x: str) -> str:
+    return f"list_sort([t FOR t IN string_split({x}, ' ') IF t <> '' AND NOT list_contains({_LEGAL}, t)])"
+
+
+def d_distinct(x: str) -> str:
+    return f"list_filter({x}, lambda x, i: list_position({x}, x) = i)"
+
+
+def d_cache_key(name: str, kind: str) -> str:
+    return f"sha256(concat('{names.CACHE_KEY_VERSION}:', {kind}, ':', {d_norm(name)}))"
+
+
+_SPLIT = urls.SPLIT.replace("(?s)", "")
+
+
+def d_part(x: str, k: int) -> str:
+    return f"regexp_extract({x}, '{_SPLIT}', {k}, 's')"
+
+
+def d_repair(x: str) -> str:
+    trimmed = f"regexp_replace(regexp_replace({x}, '^\\s+|\\s+$', '', 'g'), chr(160), '', 'g')"
+    return f"regexp_replace(regexp_replace({trimmed}, '^(https?://)[хХ]\\.com', '\\1x.com'), '^(https?://)(www\\.)?youtube\\.eom', '\\1youtube.com', 'i')"
+
+
+def d_url(x: str) -> str:
+    """normalize_url() of non-empty URLs with a host whose brackets pair."""
+    v = d_repair(x)
+    host = f"regexp_replace(lower({d_part(v, 2)}), '^www\\.', '')"
+    path = f"regexp_replace({d_part(v, 3)}, ';[^/]*$', '')"
+    path = f"regexp_replace(CASE WHEN {path} = '' THEN '/' ELSE {path} END, '/+', '/', 'g')"
+    path = f"(CASE WHEN {host} IN ('t.me', 'telegram.me') AND starts_with({path}, '/s/') THEN substr({path}, 3) ELSE {path} END)"
+    path = f"(CASE WHEN {path} <> '/' THEN regexp_replace({path}, '/+$', '') ELSE {path} END)"
+    query = d_part(v, 4)
+    return f"concat(lower({d_part(v, 1)}), '://', {host}, {path}, CASE WHEN {query} <> '' THEN concat('?', {query}) ELSE '' END)"
+
+
+def d_host(x: str) -> str:
+    return f"lower(regexp_replace(regexp_replace({d_part(x, 2)}, '^.*@', ''), ':[^\\]:]*$', ''))"
+
+
+def d_platform(x: str) -> str:
+    host = f"regexp_replace({d_host(x)}, '^www\\.', '')"
+    cases = " ".join(f"WHEN {' OR '.join(f'''({host} = '{d}' OR ends_with({host}, '.{d}'))''' for d in ds)} THEN '{p}'" for p, ds in urls.PLATFORM_DOMAINS.items())
+    return f"(CASE {cases} ELSE 'website' END)"
+
+
+def d_bad(x: str) -> str:
+    return f"(NOT (lower({d_part(x, 1)}) IN ('http', 'https') AND {d_host(x)} <> '') OR {' OR '.join(f'''contains(lower({x}), '{p}')''' for p in urls.BAD_PARTS)})"
+
+
+def d_profile(x: str) -> str:
+    path = f"regexp_replace(regexp_replace({d_part(x, 3)}, ';[^/]*$', ''), '^/+|/+$', '', 'g')"
+    parts = f"[p FOR p IN string_split({path}, '/') IF p <> '']"
+    platform = d_platform(x)
+    return (
+        f"(CASE WHEN {d_bad(x)} THEN false WHEN {platform} = 'website' THEN true WHEN {path} = '' THEN false WHEN {platform} IN ({', '.join(f'''{chr(39)}{p}{chr(39)}''' for p in urls.PATH_PLATFORMS)}) THEN len({parts}) >= 1 "
+        f"WHEN {platform} = 'tiktok' THEN len({parts}) = 1 AND starts_with({parts}[1], '@') WHEN {platform} = 'linkedin' THEN len({parts}) >= 2 AND {parts}[1] IN ('in', 'company', 'school') "
+        f"WHEN {platform} = 'youtube' THEN regexp_matches({path}, '^(@|channel/|user/|c/)') ELSE true END)"
+    )
+
+
+def d_found(x: str) -> str:
+    """urls_in_text() of texts whose URLs all have hosts."""
+    raw = f"regexp_extract_all({x}, '(?i)(https?://[^\\s;,]+)', 1)"
+    return f"list_transform({raw}, lambda u: {d_url('''regexp_replace(u, '[.,:!?)\\]}»\"]+$', '')''')})"
+
+
+D_ENT = f"e0 AS ({_plain(ENTITIES)}), ent AS (SELECT *, {d_norm('name')} AS normalized_name, {d_cache_key('name', 'entity_type')} AS cache_key FROM e0)"
+D_FIRST = "uni AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cache_key ORDER BY row_no) AS rn FROM ent) WHERE rn = 1)"
+
+
+def d_variants(name: str) -> str:
+    """raw_variants(): names here have no semicolons or commas inside quotes and blanks only as spaces."""
+    quoted = f"list_transform(regexp_extract_all({name}, '(\"[^\"]+\"|«[^»]+»)', 1), lambda q: trim(substr(q, 2, length(q) - 2)))"
+    parts = f"flatten(list_transform(list_filter({quoted}, lambda q: q <> ''), lambda q: list_concat([q], list_filter(list_transform(regexp_split_to_array(q, '[,;]'), lambda p: trim(p)), lambda p: p <> ''))))"
+    prefix = f"regexp_replace(regexp_extract({name}, '^([^\"«]*)[\"«]', 1), '^[ ,;:-]+|[ ,;:-]+$', '', 'g')"
+    inner = f"list_filter(list_transform(regexp_extract_all({name}, '\\(([^)]+)\\)', 1), lambda p: trim(p)), lambda p: p <> '')"
+    return f"list_concat(list_concat([{name}], list_filter([{prefix}], lambda p: p <> '')), list_concat({parts}, {inner}))"
+
+
+def d_search_names(name: str, kind: str) -> str:
+    value = d_norm("v")
+    tokens = d_tokens("n")
+    pairs = f"CASE WHEN {kind} = 'person' AND len({tokens}) >= 3 THEN [concat({tokens}[1], ' ', {tokens}[2]), concat({tokens}[2], ' ', {tokens}[1]), concat({tokens}[1], ' ', {tokens}[-1]), concat({tokens}[-1], ' ', {tokens}[1])] ELSE [] END"
+    short = f"CASE WHEN {kind} = 'organization' THEN [array_to_string({d_core('n')}, ' ')] ELSE [] END"
+    made = f"flatten(list_transform(list_transform({d_variants(name)}, lambda v: {value}), lambda n: list_concat(list_concat([n], {short}), {pairs})))"
+    return d_distinct(f"list_filter({made}, lambda s: s <> '')")
+
+
+D_UNI = f"{D_ENT}, {D_FIRST}, uns AS (SELECT *, {d_search_names('name', 'entity_type')} AS search_names FROM uni)"
+D_REC = (
+    f"raw AS ({_plain(RAW)}), rec AS (SELECT id AS record_id, TRY_CAST(field_1_i AS BIGINT) AS registry_number, field_2_s AS display_name, field_6_s AS resources_raw, field_5_s AS date_excluded, "
+    f"CASE WHEN field_7_s = '{registry.PERSON_CATEGORY}' THEN 'person' ELSE 'organization' END AS entity_type, {d_norm('field_2_s')} AS normalized_name FROM raw), "
+    f"recs AS (SELECT *, {d_search_names('display_name', 'entity_type')} AS search_names FROM rec)"
+)
+D_FITS = "(e.entity_type = 'unknown' OR e.entity_type = r.record_type)"
+D_EXACT = (
+    f"le AS (SELECT DISTINCT cache_key, entity_type, {d_key('s')} AS k FROM (SELECT cache_key, entity_type, unnest(search_names) AS s FROM uns)), "
+    f"re AS (SELECT DISTINCT record_id, entity_type AS record_type, {d_key('s')} AS k FROM (SELECT record_id, entity_type, unnest(search_names) AS s FROM recs)), "
+    f"exact AS (SELECT DISTINCT e.cache_key, r.record_id FROM le e JOIN re r ON e.k = r.k WHERE {D_FITS})"
+)
+D_BLOCK = (
+    f"lt AS (SELECT DISTINCT cache_key, entity_type, unnest({d_tokens('s')}) AS t FROM (SELECT cache_key, entity_type, unnest(search_names) AS s FROM uns)), "
+    f"rt AS (SELECT DISTINCT record_id, entity_type AS record_type, unnest({d_tokens('s')}) AS t FROM (SELECT record_id, entity_type, unnest(search_names) AS s FROM recs)), "
+    f"block AS (SELECT DISTINCT e.cache_key, r.record_id FROM lt e JOIN rt r ON e.t = r.t WHERE {D_FITS} AND e.cache_key NOT IN (SELECT cache_key FROM exact))"
+)
+
+
+def register(name: str, oracle: str | None = None):
+    def take(query):
+        QUERIES[name] = query
+        if oracle:
+            ORACLES[name] = oracle
+        return query
+
+    return take
+
+
+# --- Names and keys
+
+
+@register("name_normalize", f"SELECT doc_id, {d_norm('text')} AS normalized FROM documents WHERE text IS NOT NULL")
+def name_normalize(spark, sf_dir):
+    return table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", names.normalize_plain(F.col("text")).alias("normalized"))
+
+
+@register("token_key", f"WITH {D_ENT} SELECT entity_id, {d_key('normalized_name')} AS token_key FROM ent")
+def token_key(spark, sf_dir):
+    return entities(spark, sf_dir).select("entity_id", names.token_key(F.col("normalized_name")).alias("token_key"))
+
+
+@register("org_token_key", f"WITH {D_ENT} SELECT entity_id, array_to_string({d_core('normalized_name')}, ' ') AS org_key FROM ent WHERE entity_type = 'organization'")
+def org_token_key(spark, sf_dir):
+    return entities(spark, sf_dir).where("entity_type = 'organization'").select("entity_id", names.organization_key(F.col("normalized_name")).alias("org_key"))
+
+
+def _search_names(kinds):
+    def query(spark, sf_dir):
+        rows = entities(spark, sf_dir).where(F.col("entity_type").isin(*kinds))
+        return rows.select("entity_id", F.array_join(names.search_names(F.col("name"), F.col("entity_type"), plain=True), "|").alias("search_names"))
+
+    return query
+
+
+for _name, _kinds in (("search_names_person", ("person", "unknown")), ("search_names_org", ("organization",))):
+    register(_name, f"WITH {D_ENT} SELECT entity_id, array_to_string({d_search_names('name', 'entity_type')}, '|') AS search_names FROM ent WHERE entity_type IN ({', '.join(f'{chr(39)}{k}{chr(39)}' for k in _kinds)})")(_search_names(_kinds))
+
+
+@register("cache_key", f"WITH {D_ENT} SELECT entity_id, cache_key FROM ent")
+def cache_key(spark, sf_dir):
+    return entities(spark, sf_dir).select("entity_id", "cache_key")
+
+
+_D_SHARD = "CAST(CAST(concat('0x', substr(cache_key, 1, 16)) AS UBIGINT) % 4 AS INTEGER)"
+
+
+@register("shard_assign", f"WITH {D_ENT} SELECT entity_id, {_D_SHARD} AS shard FROM ent")
+def shard_assign(spark, sf_dir):
+    return entities(spark, sf_dir).select("entity_id", names.shard_of(F.col("cache_key"), 4).alias("shard"))
+
+
+@register("shard_counts", f"WITH {D_ENT} SELECT {_D_SHARD} AS shard, count(*) AS n FROM ent GROUP BY 1")
+def shard_counts(spark, sf_dir):
+    return entities(spark, sf_dir).groupBy(names.shard_of(F.col("cache_key"), 4).alias("shard")).agg(F.count("*").alias("n"))
+
+
+@register("run_limit", f"WITH {D_ENT} SELECT entity_id, row_no FROM ent WHERE {_D_SHARD} = 1 ORDER BY row_no LIMIT 50")
+def run_limit(spark, sf_dir):
+    return E.first_rows(E.in_shard(entities(spark, sf_dir), 4, 1), 50).select("entity_id", "row_no")
+
+
+@register("dedupe_first", f"WITH {D_ENT}, {D_FIRST} SELECT cache_key, entity_id, row_no FROM uni")
+def dedupe_first(spark, sf_dir):
+    return E.first_of_each(entities(spark, sf_dir)).select("cache_key", "entity_id", "row_no")
+
+
+# --- Matching
+
+
+@register(
+    "match_exact",
+    f"WITH {D_UNI}, {D_REC} SELECT DISTINCT u.cache_key, r.record_id, r.display_name, r.resources_raw FROM uns u JOIN recs r ON u.normalized_name = r.normalized_name OR list_contains(u.search_names, r.normalized_name) WHERE u.entity_type = 'unknown' OR u.entity_type = r.entity_type",
+)
+def match_exact(spark, sf_dir):
+    """Each entity with the records whose very name is one of its search names."""
+    left = unique_entities(spark, sf_dir).select("cache_key", F.col("entity_type").alias("kind"), F.explode("search_names").alias("normalized_name"))
+    right = records(spark, sf_dir).select("record_id", "entity_type", "normalized_name", "display_name", "resources_raw")
+    return left.join(right, "normalized_name").where(matching.type_fits(F.col("kind"), F.col("entity_type"))).select("cache_key", "record_id", "display_name", "resources_raw").distinct()
+
+
+@register("match_token_key", f"WITH {D_UNI}, {D_REC}, {D_EXACT} SELECT cache_key, record_id FROM exact")
+def match_token_key(spark, sf_dir):
+    return matching.exact_pairs(unique_entities(spark, sf_dir), records(spark, sf_dir))
+
+
+@register("match_candidate_counts", f"WITH {D_UNI}, {D_REC}, {D_EXACT}, {D_BLOCK} SELECT cache_key, 'exact' AS tier, count(*) AS n FROM exact GROUP BY 1 UNION ALL SELECT cache_key, 'fuzzy', count(*) FROM block GROUP BY 1")
+def match_candidate_counts(spark, sf_dir):
+    return matching.candidates(unique_entities(spark, sf_dir), records(spark, sf_dir)).groupBy("cache_key", "tier").agg(F.count("*").alias("n"))
+
+
+@register("match_blocking_candidates", f"WITH {D_UNI}, {D_REC}, {D_EXACT}, {D_BLOCK} SELECT cache_key, record_id FROM block")
+def match_blocking_candidates(spark, sf_dir):
+    return matching.candidates(unique_entities(spark, sf_dir), records(spark, sf_dir)).where(F.col("tier") == matching.FUZZY).select("cache_key", "record_id")
+
+
+@register(
+    "match_type_compat",
+    f"WITH {D_UNI}, {D_REC}, {D_EXACT} SELECT u.entity_type, r.entity_type AS record_type, count(*) AS n FROM exact JOIN uns u USING (cache_key) JOIN recs r USING (record_id) GROUP BY 1, 2",
+)
+def match_type_compat(spark, sf_dir):
+    people, rows = unique_entities(spark, sf_dir), records(spark, sf_dir)
+    pairs = matching.exact_pairs(people, rows).join(people.select("cache_key", "entity_type"), "cache_key").join(rows.select("record_id", F.col("entity_type").alias("record_type")), "record_id")
+    return pairs.groupBy("entity_type", "record_type").agg(F.count("*").alias("n"))
+
+
+_D_SETS = (
+    f"WITH {D_UNI}, {D_REC}, {D_EXACT}, p AS (SELECT e.cache_key, e.record_id, CASE WHEN r.entity_type = 'organization' THEN {d_core('u.normalized_name')} ELSE {d_tokens('u.normalized_name')} END AS a, "
+    f"CASE WHEN r.entity_type = 'organization' THEN {d_core('r.normalized_name')} ELSE {d_tokens('r.normalized_name')} END AS b FROM exact e JOIN uns u USING (cache_key) JOIN recs r USING (record_id)), "
+    "q AS (SELECT cache_key, record_id, len(list_intersect(list_distinct(a), list_distinct(b))) AS n_both, len(list_distinct(a)) AS na, len(list_distinct(b)) AS nb FROM p), "
+    "j AS (SELECT cache_key, record_id, n_both / (na + nb - n_both) AS jac, n_both / least(na, nb) AS con FROM q WHERE na > 0 AND nb > 0) "
+)
+
+
+def _pair_sets(spark, sf_dir) -> tuple[DataFrame, Column, Column]:
+    people, rows = unique_entities(spark, sf_dir), records(spark, sf_dir)
+    pairs = matching.exact_pairs(people, rows).join(people.select("cache_key", "normalized_name"), "cache_key").join(rows.select("record_id", F.col("normalized_name").alias("record_name"), F.col("entity_type").alias("kind")), "record_id")
+    organization = F.col("kind") == "organization"
+    a, b = (F.when(organization, names.core_tokens(F.col(c))).otherwise(names.tokens(F.col(c))) for c in ("normalized_name", "record_name"))
+    _, jaccard, containment = names.overlap(a, b)
+    return pairs.where((F.size(a) > 0) & (F.size(b) > 0)), jaccard, containment
+
+
+@register("match_jaccard_containment", _D_SETS + "SELECT cache_key, record_id, round(jac, 6) AS jaccard, round(con, 6) AS containment FROM j")
+def match_jaccard_containment(spark, sf_dir):
+    pairs, jaccard, containment = _pair_sets(spark, sf_dir)
+    return pairs.select("cache_key", "record_id", F.round(jaccard, 6).alias("jaccard"), F.round(containment, 6).alias("containment"))
+
+
+@register("match_score_upper_bound", _D_SETS + "SELECT cache_key, record_id, round(greatest(0.45 + 0.35 * jac + 0.20 * con, 0.55 + 0.30 * jac + 0.15 * con), 6) AS bound FROM j")
+def match_score_upper_bound(spark, sf_dir):
+    pairs, jaccard, containment = _pair_sets(spark, sf_dir)
+    return pairs.select("cache_key", "record_id", F.round(names.score_bound(jaccard, containment), 6).alias("bound"))
+
+
+@register("match_lookup")
+def match_lookup(spark, sf_dir):
+    """The whole cascade. Its scores need a sequence ratio that SQL lacks."""
+    found = matching.lookup(unique_entities(spark, sf_dir), records(spark, sf_dir))
+    ids = F.array_join(F.transform("records", lambda r: r["record_id"]), ",")
+    return found.select("cache_key", F.round("match_score", 6).alias("match_score"), "ambiguous", ids.alias("record_ids"), F.array_join("ambiguity_notes", " ").alias("notes"))
+
+
+@register("match_fuzzy")
+def match_fuzzy(spark, sf_dir):
+    people, rows = unique_entities(spark, sf_dir), records(spark, sf_dir)
+    pairs = matching.candidates(people, rows).where(F.col("tier") == matching.FUZZY)
+    return matching.scored(people, rows, pairs, 0.84, 0.04).select("cache_key", "record_id", F.round("score", 6).alias("score"))
+
+
+_D_NAMED = (
+    f"WITH {D_UNI}, {D_REC}, {D_EXACT}, n AS (SELECT e.cache_key, e.record_id, r.normalized_name AS rn, r.display_name, r.registry_number, r.date_excluded, r.normalized_name = u.normalized_name AS prim FROM exact e JOIN uns u USING (cache_key) JOIN recs r USING (record_id)), "
+    "h AS (SELECT cache_key, bool_or(prim) AS has, count(DISTINCT rn) AS ids FROM n GROUP BY 1) "
+)
+
+
+@register("match_short_name_ambiguous", _D_NAMED + "SELECT cache_key, ids AS identities FROM h WHERE NOT has AND ids > 1")
+def match_short_name_ambiguous(spark, sf_dir):
+    people, rows = unique_entities(spark, sf_dir), records(spark, sf_dir)
+    named = matching.exact_pairs(people, rows).join(people.select("cache_key", "normalized_name"), "cache_key").join(rows.select("record_id", F.col("normalized_name").alias("rn")), "record_id")
+    made = named.groupBy("cache_key").agg(F.bool_or(F.col("rn") == F.col("normalized_name")).alias("has"), F.count_distinct("rn").alias("identities"))
+    return made.where("NOT has AND identities > 1").select("cache_key", "identities")
+
+
+@register(
+    "match_active_preference",
+    _D_NAMED
+    + ", i AS (SELECT n.* FROM n JOIN h USING (cache_key) WHERE CASE WHEN has THEN prim ELSE ids = 1 END), g AS (SELECT *, bool_or(trim(date_excluded) = '') OVER (PARTITION BY cache_key) AS act, max(registry_number) OVER (PARTITION BY cache_key) AS newest FROM i) "
+    "SELECT cache_key, record_id, trim(date_excluded) = '' AS active FROM g WHERE CASE WHEN act THEN trim(date_excluded) = '' ELSE registry_number = newest END",
+)
+def match_active_preference(spark, sf_dir):
+    """The records that the lookup selects for entities with an exact name."""
+    people = unique_entities(spark, sf_dir)
+    rows = records(spark, sf_dir)
+    exact = people.join(matching.exact_pairs(people, rows).select("cache_key").distinct(), "cache_key", "left_semi")
+    found = matching.lookup(exact, rows).where("NOT ambiguous")
+    return found.select("cache_key", F.explode("records").alias("r")).select("cache_key", "r.record_id", "r.active")
+
+
+@register(
+    "match_rank_top1",
+    _D_NAMED + "SELECT cache_key, record_id FROM (SELECT cache_key, record_id, row_number() OVER (PARTITION BY cache_key ORDER BY prim DESC, trim(date_excluded) = '' DESC, registry_number DESC, record_id) AS k FROM n WHERE prim) WHERE k = 1",
+)
+def match_rank_top1(spark, sf_dir):
+    people, rows = unique_entities(spark, sf_dir), records(spark, sf_dir)
+    pairs = matching.exact_pairs(people, rows).join(people.select("cache_key", "normalized_name"), "cache_key").join(rows.select("record_id", F.col("normalized_name").alias("rn")), "record_id").where("rn = normalized_name")
+    ranked = matching.ranked(people, rows, pairs.select("cache_key", "record_id", F.lit(matching.EXACT).alias("tier")), 0.84, 0.04)
+    return ranked.where("place = 1").select("cache_key", "record_id")
+
+
+# --- URLs
+
+
+@register("url_normalize_pages", f"SELECT page_id, {d_url('url')} AS normalized FROM pages")
+def url_normalize_pages(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", urls.normalize_url(F.col("url")).alias("normalized"))
+
+
+_URLS = """
+SELECT c_custkey AS k, concat(CASE c_custkey % 3 WHEN 0 THEN 'https://' WHEN 1 THEN 'HTTP://www.' ELSE 'https://m.' END,
+  CASE c_custkey % 19 WHEN 0 THEN 't.me' WHEN 1 THEN 'Instagram.com' WHEN 2 THEN 'fb.com' WHEN 3 THEN 'twitter.com' WHEN 4 THEN 'youtube.com' WHEN 5 THEN 'vk.com' WHEN 6 THEN 'linkedin.com' WHEN 7 THEN 'tiktok.com' WHEN 8 THEN 'ok.ru'
+    WHEN 9 THEN 'threads.net' WHEN 10 THEN 'boosty.to' WHEN 11 THEN 'patreon.com' WHEN 12 THEN 'dzen.ru' WHEN 13 THEN 'bsky.app' WHEN 14 THEN 'medium.com' WHEN 15 THEN 'livejournal.com' WHEN 16 THEN 'site.example.org' WHEN 17 THEN 'notvk.com' ELSE 'youtube.eom' END,
+  CASE c_custkey % 11 WHEN 0 THEN '' WHEN 1 THEN '/' WHEN 2 THEN '/@name' WHEN 3 THEN '/in/a' WHEN 4 THEN '/channel/x/' WHEN 5 THEN '/s/chan//' WHEN 6 THEN '/a/status/1' WHEN 7 THEN '/a;p?q=1#f' WHEN 8 THEN '//a//b' WHEN 9 THEN '?x=1' ELSE '/watch?v=1' END) AS url
+FROM {customer}
+"""
+_D_URLS = f"WITH u AS ({_plain(_URLS)}) "
+
+
+def _url_query(name: str, column, sql: str) -> None:
+    @register(name, _D_URLS + f"SELECT k, {sql} AS value FROM u")
+    def query(spark, sf_dir):
+        return derived(spark, sf_dir, _URLS).select("k", column(F.col("url")).alias("value"))
+
+
+for _n, _c, _s in (
+    ("url_normalize", urls.normalize_url, d_url("url")),
+    ("url_repair", urls.repair_url, d_repair("url")),
+    ("url_platform", urls.detect_platform, d_platform("url")),
+    ("url_bad", urls.is_bad_url, d_bad("url")),
+    ("url_profile", urls.is_profile_url, d_profile("url")),
+):
+    _url_query(_n, _c, _s)
+
+
+# --- Registry
+
+
+@register("registry_parse", f"WITH {D_REC} SELECT record_id, registry_number, display_name, normalized_name, {d_key('normalized_name')} AS token_key, entity_type, date_excluded, trim(date_excluded) = '' AS active, array_to_string(search_names, '|') AS search_names FROM recs")
+def registry_parse(spark, sf_dir):
+    rows = records(spark, sf_dir)
+    return rows.select("record_id", "registry_number", "display_name", "normalized_name", "token_key", "entity_type", "date_excluded", registry.is_active().alias("active"), F.array_join("search_names", "|").alias("search_names"))
+
+
+_D_LINKS = (
+    f"WITH {D_REC}, l AS (SELECT record_id, registry_number, date_excluded, {d_found('resources_raw')} AS us FROM recs), "
+    "m AS (SELECT record_id, registry_number, date_excluded, unnest(list_filter(us, lambda x, i: list_position(us, x) = i)) AS url FROM l) "
+)
+
+
+@register(
+    "registry_links",
+    _D_LINKS
+    + f"SELECT record_id, url, {d_platform('url')} AS platform, CASE WHEN date_excluded <> '' THEN 0.88 ELSE 0.98 END::DOUBLE AS confidence, concat('{registry.EVIDENCE}', CASE WHEN registry_number <> 0 THEN concat(' (запись № ', registry_number, ')') ELSE '' END, CASE WHEN date_excluded <> '' THEN concat('; запись имеет дату исключения ', date_excluded) ELSE '' END, '.') AS evidence FROM m",
+)
+def registry_links(spark, sf_dir):
+    rows = records(spark, sf_dir).select("record_id", F.explode("links").alias("x"))
+    return rows.select("record_id", "x.url", "x.platform", F.round("x.confidence", 6).alias("confidence"), "x.evidence")
+
+
+@register(
+    "registry_dedupe_last_wins",
+    "SELECT id, pos, value FROM (SELECT concat('r', CAST(o_custkey AS VARCHAR)) AS id, min(o_orderkey) AS pos, max_by(o_orderpriority, o_orderkey) AS value FROM orders GROUP BY o_custkey)",
+)
+def registry_dedupe_last_wins(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.concat(F.lit("r"), F.col("o_custkey").cast("string")).alias("id"), F.col("o_orderkey").alias("pos"), F.col("o_orderpriority").alias("value"))
+    return registry.dedupe_pages(rows).select("id", "pos", "value")
+
+
+# --- Links
+
+_D_LINK_ROWS = f"WITH r AS ({_plain(LINK_ROWS)}) "
+
+
+@register(
+    "links_merge_record",
+    _D_LINK_ROWS + "SELECT k, url, min(pos) AS first_pos, round(max(confidence)::DOUBLE, 6) AS confidence, arg_min(evidence, pos) AS evidence, count(DISTINCT source_url) AS sources FROM r GROUP BY k, url",
+)
+def links_merge_record(spark, sf_dir):
+    rows = derived(spark, sf_dir, LINK_ROWS)
+    merged = link_lists(spark, sf_dir).select("k", F.explode(L.merge_record_links(F.col("links"))).alias("x")).select("k", "x.url", F.round("x.confidence", 6).alias("confidence"), "x.evidence", F.size("x.source_urls").cast("long").alias("sources"))
+    return merged.join(rows.groupBy("k", "url").agg(F.min("pos").alias("first_pos")), ["k", "url"]).select("k", "url", "first_pos", "confidence", "evidence", "sources")
+
+
+_D_NORMAL = _D_LINK_ROWS + f", n AS (SELECT k, pos, {d_url('url')} AS url, confidence, evidence, source_url FROM r) "
+
+
+@register("links_merge_confidence", _D_NORMAL + "SELECT k, url, round(max(confidence)::DOUBLE, 6) AS confidence, count(DISTINCT source_url) AS sources FROM n GROUP BY k, url")
+def links_merge_confidence(spark, sf_dir):
+    merged = link_lists(spark, sf_dir).select("k", F.explode(L.merge_links(L.empty_links(), F.col("links"))).alias("x"))
+    return merged.select("k", "x.url", F.round("x.confidence", 6).alias("confidence"), F.size("x.source_urls").cast("long").alias("sources"))
+
+
+@register("links_merge_evidence")
+def links_merge_evidence(spark, sf_dir):
+    """The evidence fold depends on the order of links; it is tested against a plain loop."""
+    return link_lists(spark, sf_dir).select("k", F.posexplode(L.merge_links(L.empty_links(), F.col("links"))).alias("pos", "x")).select("k", "pos", "x.url", "x.platform", "x.evidence")
+
+
+_D_CLEAN = _D_NORMAL + f", s AS (SELECT * FROM n WHERE {d_profile('url')} AND confidence >= 0.45), g AS (SELECT k, url, max(confidence)::DOUBLE AS confidence, min(pos) AS pos FROM s GROUP BY k, url) "
+
+
+@register("links_sanitize", _D_CLEAN + f"SELECT k, url, {d_platform('url')} AS platform, round(confidence, 6) AS confidence FROM g")
+def links_sanitize(spark, sf_dir):
+    rows = link_lists(spark, sf_dir).select("k", F.explode(L.sanitize(F.col("links"))).alias("x"))
+    return rows.select("k", "x.url", "x.platform", F.round("x.confidence", 6).alias("confidence"))
+
+
+@register("links_finalize", _D_CLEAN + "SELECT k, string_agg(url, ' ' ORDER BY confidence DESC, pos) AS urls FROM g GROUP BY k")
+def links_finalize(spark, sf_dir):
+    rows = link_lists(spark, sf_dir).select("k", F.array_join(F.transform(L.finalize(F.col("links")), lambda x: x["url"]), " ").alias("urls"))
+    return rows.where("urls <> ''")
+
+
+@register("needs_review", _D_CLEAN + "SELECT c_custkey AS k, c_custkey % 10 = 0 OR coalesce(min(g.confidence) < 0.7, true) AS review FROM customer LEFT JOIN g ON g.k = c_custkey GROUP BY c_custkey")
+def needs_review(spark, sf_dir):
+    return link_lists(spark, sf_dir).select("k", L.needs_review(L.finalize(F.col("links")), F.col("k") % 10 == 0).alias("review"))
+
+
+@register(
+    "sites_to_visit",
+    _D_CLEAN + f", f AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY confidence DESC, pos) AS p FROM g WHERE {d_platform('url')} = 'website' AND confidence >= 0.8) SELECT k, url, p AS place FROM f WHERE p <= 3 AND k IN (SELECT k FROM g GROUP BY k HAVING count(*) < 4)",
+)
+def sites_to_visit(spark, sf_dir):
+    rows = link_lists(spark, sf_dir).select("k", F.posexplode(L.sites_to_visit(L.finalize(F.col("links")))).alias("p", "x"))
+    return rows.select("k", "x.url", (F.col("p") + 1).cast("long").alias("place"))
+
+
+# --- Pages and JSON
+
+
+@register("html_anchor_links", "SELECT page_id, pos, href FROM (SELECT page_id, unnest(h) AS href, unnest(range(len(h))) AS pos FROM (SELECT page_id, regexp_extract_all(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<a\\s[^>]*?href=\"([^\"]*)\"', 1) AS h FROM pages WHERE html IS NOT NULL))")
+def html_anchor_links(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").select("page_id", F.posexplode(documents.anchor_hrefs(F.col("html"))).alias("pos", "href"))
+    return rows.select("page_id", F.col("pos").cast("long").alias("pos"), "href")
+
+
+@register("html_social_links")
+def html_social_links(spark, sf_dir):
+    """Social links of every page, social anchors added to each; HTML parsing has no SQL form."""
+    rows = table(spark, sf_dir, "pages")
+    html = F.concat(F.coalesce("html", F.lit("")), F.lit('<a href="https://t.me/s/p'), F.col("page_id").cast("string"), F.lit('/">t</a>'))
+    return rows.select("page_id", F.array_join(documents.social_links(html, F.col("url")), " ").alias("links"))
+
+
+@register("json_props_extract", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_props_extract(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+@register("json_object_extract", "SELECT event_id, regexp_extract(concat('answer: ```json ', props, ' ``` end'), '(\\{.*\\})', 1, 's') AS body FROM events WHERE props IS NOT NULL")
+def json_object_extract(spark, sf_dir):
+    wrapped = F.concat(F.lit("answer: ```json "), F.col("props"), F.lit(" ``` end"))
+    return table(spark, sf_dir, "events").where("props IS NOT NULL").select("event_id", documents.json_object_text(wrapped).alias("body"))
+
+
+# --- Search, budget, state
+
+
+@register("llm_batches", f"WITH {D_ENT}, {D_FIRST} SELECT entity_id, CAST(floor((row_number() OVER (ORDER BY row_no) - 1) / 5) AS BIGINT) AS batch_no FROM uni WHERE entity_type = 'unknown'")
+def llm_batches(spark, sf_dir):
+    pending = E.first_of_each(entities(spark, sf_dir)).where("entity_type = 'unknown'")
+    return state.batches(pending, 5).select("entity_id", "batch_no")
+
+
+@register("llm_gate_modes", "SELECT c_custkey AS k, n = 0 AS economy, n < 1 AS balanced, true AS full_mode FROM (SELECT c_custkey, c_custkey % 4 AS n FROM customer)")
+def llm_gate_modes(spark, sf_dir):
+    rows, n = table(spark, sf_dir, "customer"), F.col("c_custkey") % 4
+    gate = lambda mode: state.needs_search(n, Config(llm_key="replay", resolution_mode=mode))
+    return rows.select(F.col("c_custkey").alias("k"), gate("economy").alias("economy"), gate("balanced").alias("balanced"), gate("full").alias("full_mode"))
+
+
+@register(
+    "llm_item_filter",
+    "SELECT batch_no, item_id, pos FROM (SELECT o_orderkey // 10 AS batch_no, o_custkey % 7 AS item_id, o_orderkey AS pos, row_number() OVER (PARTITION BY o_orderkey // 10, o_custkey % 7 ORDER BY o_orderkey) AS k FROM orders WHERE o_custkey % 7 < 5) WHERE k = 1",
+)
+def llm_item_filter(spark, sf_dir):
+    """Items of unknown ids are dropped and the first of each id is kept: ids 0 to 4 of a batch of ten orders."""
+    rows = table(spark, sf_dir, "orders").select(F.expr("o_orderkey div 10").alias("batch_no"), (F.col("o_custkey") % 7).alias("item_id"), F.col("o_orderkey").alias("pos"))
+    return rows.where("item_id < 5").groupBy("batch_no", "item_id").agg(F.min("pos").alias("pos"))
+
+
+@register(
+    "llm_merge_item",
+    "SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN 'registry name' ELSE c_name END AS canonical_name, c_custkey % 5 = 0 OR c_custkey % 4 = 0 AS ambiguous, CASE WHEN c_custkey % 2 = 0 THEN 'n1' ELSE 'n1 n2' END AS notes, 'registry search' AS sources, 2 AS links FROM customer",
+)
+def llm_merge_item(spark, sf_dir):
+    from tessera.operators.results import with_item
+    from tessera.schemas import ITEM, RESULT
+
+    k = F.col("c_custkey")
+    one = lambda url: L.link(F.lit("website"), F.lit(url), F.lit(0.9), F.lit("e"), F.lit("s"), F.array(F.lit("https://a.example.org/")))
+    null = F.lit(None)
+    fields = {
+        "entity_id": F.lit("1"), "input_name": F.col("c_name"), "canonical_name": F.when(k % 3 == 0, "registry name"), "entity_type": F.lit("person"), "ambiguous": k % 5 == 0, "ambiguity_notes": F.array(F.lit("n1")), "aliases_used": F.array().cast("array<string>"),
+        "links": F.array(one("https://a.example.org/x/")), "search_used": F.lit(False), "search_queries": F.array().cast("array<string>"), "grounding_sources": F.array().cast("array<string>"), "registry_record_ids": F.array().cast("array<string>"),
+        "registry_numbers": F.array().cast("array<bigint>"), "registry_names": F.array().cast("array<string>"), "registry_match_score": null.cast("double"), "registry_has_active_record": null.cast("boolean"), "resolution_sources": F.array(F.lit("registry")), "needs_human_review": F.lit(False),
+    }
+    result = F.struct(*(v.alias(n) for n, v in fields.items())).cast(RESULT)
+    item = F.struct(F.lit("1").alias("entity_id"), F.col("c_name").alias("canonical_name"), (k % 4 == 0).alias("ambiguous"), F.when(k % 2 == 0, F.array(F.lit("n1"))).otherwise(F.array(F.lit("n2"))).alias("ambiguity_notes"), F.array().cast("array<string>").alias("aliases_used"), F.array(one("https://www.a.example.org//x"), one("https://b.example.org/")).alias("links")).cast(ITEM)
+    made = table(spark, sf_dir, "customer").select("c_custkey", with_item(result, item, F.lit(True), F.array(F.lit("q")), F.array().cast("array<string>")).alias("r"))
+    return made.select(k.alias("k"), "r.canonical_name", "r.ambiguous", F.array_join("r.ambiguity_notes", " ").alias("notes"), F.array_join("r.resolution_sources", " ").alias("sources"), F.size("r.links").alias("links"))
+
+
+@register(
+    "budget_daily_usage",
+    "SELECT strftime((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Los_Angeles', '%Y-%m-%d') AS usage_date, event_type AS model, count(*) AS requests, CAST(sum(user_id % 5 + 1) AS BIGINT) AS entities_sent, CAST(sum(user_id % 3) AS BIGINT) AS successful_entities, CAST(sum(CASE WHEN user_id % 7 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS failed_requests FROM events GROUP BY 1, 2",
+)
+def budget_daily_usage(spark, sf_dir):
+    rows = table(spark, sf_dir, "events")
+    user = F.col("user_id")
+    log = rows.select(F.col("ts").cast("timestamp").alias("at"), F.col("event_type").alias("model"), F.lit(1).cast("long").alias("requests"), (user % 5 + 1).alias("entities_sent"), (user % 3).alias("successful_entities"), F.when(user % 7 == 0, 1).otherwise(0).alias("failed_requests"))
+    return state.usage(log, "America/Los_Angeles")
+
+
+@register("rate_window_60s", "SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW) AS in_window FROM events")
+def rate_window_60s(spark, sf_dir):
+    return state.request_windows(table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")), "user_id", "ts").select("event_id", "in_window")
+
+
+_STORED = "CASE o_orderkey % 4 WHEN 0 THEN 'success' WHEN 1 THEN 'unresolved' WHEN 2 THEN 'failed' ELSE NULL END"
+
+
+@register("cache_decision", f"SELECT o_orderkey AS k, CASE WHEN s IS NULL THEN false WHEN s = 'success' THEN true ELSE a >= 2 END AS reused FROM (SELECT o_orderkey, {_STORED} AS s, o_custkey % 4 AS a FROM orders)")
+def cache_decision(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders")
+    return rows.select(F.col("o_orderkey").alias("k"), state.reuse(F.expr(_STORED), F.col("o_custkey") % 4, CONFIG).alias("reused"))
+
+
+@register(
+    "attempts_upsert",
+    "WITH o AS (SELECT o_custkey AS k, count(*) % 3 AS attempts FROM orders GROUP BY 1), s AS (SELECT c_custkey AS k, c_custkey % 2 AS inc FROM customer WHERE c_custkey % 3 = 0) SELECT CAST(coalesce(o.k, s.k) AS VARCHAR) AS cache_key, CAST(coalesce(o.attempts, 0) + coalesce(s.inc, 0) AS BIGINT) AS attempts, CASE WHEN s.k IS NULL THEN 'old' ELSE 'new' END AS status FROM o FULL JOIN s ON o.k = s.k",
+)
+def attempts_upsert(spark, sf_dir):
+    stored = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").cast("string").alias("cache_key")).agg((F.count("*") % 3).alias("attempts")).withColumn("status", F.lit("old"))
+    k = F.col("c_custkey")
+    saved = table(spark, sf_dir, "customer").where(k % 3 == 0).select(k.cast("string").alias("cache_key"), (k % 2).alias("increment"), F.lit("new").alias("status"))
+    return state.upsert(stored, saved)
+
+
+_EVENT = "CASE o_orderkey % 6 WHEN 0 THEN 'final' WHEN 1 THEN 'item' WHEN 2 THEN 'missing' WHEN 3 THEN 'error' WHEN 4 THEN 'quota' ELSE 'resolve' END"
+
+
+@register(
+    "state_transition",
+    f"SELECT k, CASE WHEN e = 'resolve' THEN 'failed' WHEN n > 0 THEN 'success' ELSE 'unresolved' END AS status, CASE WHEN e = 'resolve' THEN 1 WHEN n > 0 OR e IN ('final', 'quota') THEN 0 ELSE 1 END::BIGINT AS increment FROM (SELECT o_orderkey AS k, {_EVENT} AS e, o_custkey % 2 AS n FROM orders)",
+)
+def state_transition(spark, sf_dir):
+    made = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), state.outcome(F.expr(_EVENT), F.col("o_custkey") % 2, F.lit("e")).alias("o"))
+    return made.select("k", "o.status", "o.increment")
+
+
+def _output(spark, sf_dir) -> DataFrame:
+    """Output rows of all entities; stored results come from customers with an even key."""
+    from tessera.sources.files import output_rows
+
+    rows = entities(spark, sf_dir)
+    keep = E.first_of_each(rows).where("row_no % 2 = 0")
+    status = F.expr("CASE row_no % 3 WHEN 0 THEN 'success' WHEN 1 THEN 'unresolved' ELSE 'failed' END")
+    stored = keep.select("cache_key", status.alias("status"), (F.col("row_no") % 4).alias("attempts"), F.when(status != "success", "e").alias("last_error"), F.struct(F.col("name").alias("input_name")).alias("result"))
+    return output_rows(rows, stored)
+
+
+_D_OUT = (
+    f"WITH {D_ENT}, {D_FIRST}, st AS (SELECT cache_key, CASE row_no % 3 WHEN 0 THEN 'success' WHEN 1 THEN 'unresolved' ELSE 'failed' END AS status, row_no % 4 AS attempts, name AS stored_name FROM uni WHERE row_no % 2 = 0), "
+    "out AS (SELECT entity_id AS id, name, entity_type, coalesce(status, 'not_processed') AS status, coalesce(attempts, 0) AS attempts, CASE WHEN status <> 'success' THEN 'e' END AS error, stored_name, row_no FROM ent LEFT JOIN st USING (cache_key)) "
+)
+
+
+@register("results_output", _D_OUT + "SELECT id, name, entity_type, status, attempts, error, stored_name FROM out")
+def results_output(spark, sf_dir):
+    return _output(spark, sf_dir).select("id", "name", "entity_type", "status", "attempts", "error", F.col("result.input_name").alias("stored_name"))
+
+
+@register("unresolved_output", _D_OUT + "SELECT id, name, entity_type, status, attempts, coalesce(error, '') AS error FROM out WHERE status <> 'success'")
+def unresolved_output(spark, sf_dir):
+    from tessera.sources.files import unresolved
+
+    return unresolved(_output(spark, sf_dir)).drop("row_no")
+
+
+@register("run_stats", _D_OUT + "SELECT count(*) AS total, count(*) FILTER (status = 'success') AS success, count(*) FILTER (status = 'unresolved') AS unresolved, count(*) FILTER (status NOT IN ('success', 'unresolved', 'not_processed')) AS failed, count(*) FILTER (status = 'not_processed') AS not_processed FROM out")
+def run_stats(spark, sf_dir):
+    return state.run_counts(_output(spark, sf_dir).withColumn("status", F.nullif("status", F.lit("not_processed"))))
+
+
+@register("result_lines")
+def result_lines(spark, sf_dir):
+    """The text of the results file, line by line."""
+    from tessera.sources.files import json_lines
+
+    return json_lines(_output(spark, sf_dir))
