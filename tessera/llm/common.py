@@ -7,12 +7,15 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of one Arrow batch handed to Python; long documents make batches short.
 BATCH_ROWS = 2000
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
+#: Bytes in memory of a file of a compact table.
+FILE_BYTES = 16 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -37,11 +40,21 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def materialize(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """Write df to the shared folder and read it back: lineage is cut, and a lost executor costs a reread only."""
+def materialize(df: DataFrame, codec: str = "zstd", compact: bool = False) -> DataFrame:
+    """Write df to the shared folder and read it back: lineage is cut, and a lost executor costs a reread only.
+
+    compact is for tables that may be small: they are measured first and written as few files as their size asks for.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tessera-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    if not compact:
+        df.write.option("compression", codec).parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    held = df.persist(StorageLevel.DISK_ONLY)
+    held.count()
+    size = int(str(held._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    held.coalesce(max(1, -(-size // FILE_BYTES))).write.option("compression", codec).parquet(path)
+    held.unpersist()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -16,7 +16,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     of all edges meet is only ever summed (map-side minima) or split by the skew join.
     """
     ends = edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
-    stars, before = materialize(ends.distinct()), None
+    stars, before = materialize(ends.distinct(), compact=True), None
     for _ in range(most_rounds):
         both = stars.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(stars.select("lo", "hi"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -24,7 +24,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(least, "hi")
         small = small.select(F.col("hi"), F.col("m").alias("lo")).union(small.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
-        stars = materialize(small.distinct())
+        stars = materialize(small.distinct(), compact=True)
         state = stars.agg(F.count("*").alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("s")).first()
         if state == before:
             break

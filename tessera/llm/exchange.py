@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from tessera.llm.common import materialize, partitions, shared_dir, small_batches
 
 #: Bytes of text in a chunk; a longer text makes a chunk of its own.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
+#: Bits of a chunk's number within its part.
+SEQUENCE = 20
 CHUNK_SCHEMA = "chunk long, docs binary"
 PACKED_SCHEMA = "bucket int, chunk long, packed binary"
 
@@ -75,12 +77,13 @@ def chunk_table(docs: DataFrame, limit: int = CHUNK, carry: bool = False) -> Dat
     """
     spark = docs.sparkSession
     small_batches(spark)
+    n_buckets = buckets(spark)
     names = ["chunk", "docs", *(["rest"] if carry else [])]
 
     def apply(batches):
         from pyspark import TaskContext
 
-        number = TaskContext.get().partitionId() << 32
+        number = part_key(TaskContext.get().partitionId(), n_buckets) << SEQUENCE
         ids: list[int] = []
         texts: list[bytes] = []
         rest: list[bytes] = []
@@ -109,16 +112,49 @@ def chunk_table(docs: DataFrame, limit: int = CHUNK, carry: bool = False) -> Dat
     rows = docs.select(*columns).mapInArrow(apply, CHUNK_SCHEMA + (", rest binary" if carry else ""))
     name = f"tessera_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/tessera-{name}"
-    rows.write.format("parquet").option("compression", "none").option("path", path).bucketBy(buckets(spark), "chunk").saveAsTable(name)
+    rows = rows.select(part_of("chunk"), "*")
+    rows.write.format("parquet").option("compression", "none").option("path", path).bucketBy(n_buckets, "part").saveAsTable(name)
     return spark.table(name)
 
 
+def part_of(chunk: str):
+    """The part of a chunk: all chunks that one task packed."""
+    return F.shiftright(chunk, SEQUENCE).alias("part")
+
+
+def _bucket(key: int, n: int) -> int:
+    """The bucket that Spark gives a long key (Murmur3, seed 42)."""
+    mask = 0xFFFFFFFF
+
+    def turn(x: int, by: int) -> int:
+        return ((x << by) | (x >> (32 - by))) & mask
+
+    h = 42
+    for word in (key & mask, (key >> 32) & mask):
+        word = (turn((word * 0xCC9E2D51) & mask, 15) * 0x1B873593) & mask
+        h = (turn(h ^ word, 13) * 5 + 0xE6546B64) & mask
+    h ^= 8
+    h = ((h ^ (h >> 16)) * 0x85EBCA6B) & mask
+    h = ((h ^ (h >> 13)) * 0xC2B2AE35) & mask
+    h ^= h >> 16
+    return (h - (1 << 32) if h >> 31 else h) % n
+
+
+def part_key(task: int, n: int) -> int:
+    """A key of the task's own that falls into bucket task modulo n, so that parts lie evenly in the buckets."""
+    key = task << 16
+    while _bucket(key, n) != task % n and key - (task << 16) < 65535:
+        key += 1
+    return key
+
+
 def buckets(spark) -> int:
     return max(1, partitions(spark))
 
 
 def each_chunk(rows: DataFrame, function, schema: str) -> DataFrame:
     """function(chunk, ids, texts, *rest) over each chunk row (chunk, docs, rest...), giving record batches."""
+    rows = rows.drop("part")
     names = rows.columns[2:]
 
     def apply(batches):
@@ -141,26 +177,27 @@ def send(chunk: int, bucket: np.ndarray, *columns: np.ndarray):
 
 
 def answers(sent: DataFrame, reduce) -> DataFrame:
-    """One row for each chunk: chunk and its answers {bucket: packed}, from reduce(list of packed) -> list of packed."""
+    """One row for each part: its chunks' answers (chunk, bucket, packed), from reduce(list of packed) -> list of packed."""
 
     def apply(table: pa.Table) -> pa.Table:
         table = table.sort_by("chunk")
         made = reduce(table.column("packed").to_pylist())
         return pa.table({"bucket": table.column("bucket").combine_chunks(), "chunk": table.column("chunk").combine_chunks(), "packed": pa.array(made, pa.binary())})
 
-    replied = materialize(sent.groupBy("bucket").applyInArrow(apply, PACKED_SCHEMA), codec="none")
-    return replied.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "packed"))).alias("answers"))
+    replied = sent.groupBy("bucket").applyInArrow(apply, PACKED_SCHEMA)
+    return replied.groupBy(part_of("chunk")).agg(F.collect_list(F.struct("chunk", "bucket", "packed")).alias("answers"))
 
 
 def joined(chunks: DataFrame, *replies: DataFrame) -> DataFrame:
     """Chunks with one column of answers for each exchange; a chunk without answers has null."""
     out = chunks
     for k, reply in enumerate(replies):
-        out = out.join(reply.withColumnRenamed("answers", f"answers{k}").hint("shuffle_hash"), "chunk", "left")
-    return out.select("chunk", "docs", *(f"answers{k}" for k in range(len(replies))), *(c for c in chunks.columns if c == "rest"))
+        out = out.join(reply.withColumnRenamed("answers", f"answers{k}").hint("shuffle_hash"), "part", "left")
+    own = [F.filter(f"answers{k}", lambda x: x["chunk"] == F.col("chunk")).alias(f"answers{k}") for k in range(len(replies))]
+    return out.select("chunk", "docs", *own, *(c for c in chunks.columns if c == "rest"))
 
 
 def received(found) -> list[np.ndarray]:
     """The answers of a chunk, in order of bucket, each column joined."""
-    parts = [unpack_arrays(x["packed"]) for x in found or []]
+    parts = [unpack_arrays(x["packed"]) for x in sorted(found or [], key=lambda x: x["bucket"])]
     return [np.concatenate(c) for c in zip(*parts)] if parts else []
