@@ -49,6 +49,7 @@ BAD_NAME = re.compile(
 )
 TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<!--|<[!?]")
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+CLOSING = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in SILENT}
 HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
 GAP = re.compile(r"\s+")
 WORD = re.compile(r"\w+")
@@ -100,7 +101,7 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool, bool]]:
             continue
         name, closing = found[2].lower(), bool(found[1])
         if name in SILENT and not closing:
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(html, position)
+            end = CLOSING[name].search(html, position)
             if end:
                 position = end.end()
             elif name in ("script", "style", "textarea", "title", "iframe"):
@@ -159,7 +160,7 @@ def second_pass(labels: list[str]) -> list[bool]:
     """Near-good and short blocks take the label of their nearest decided neighbours.
 
     Between two good neighbours they are good, between two bad ones bad; between unlike ones a near-good block is
-    good and a short one follows the nearer (the earlier of two as near). The page's ends count as bad.
+    good and a short one follows the nearer (bad, if both are as near). The page's ends count as bad.
     """
     n = len(labels)
     before, after = [(-1, False)] * n, [(n, False)] * n
@@ -183,7 +184,7 @@ def second_pass(labels: list[str]) -> list[bool]:
         elif label == "near":
             out.append(True)
         else:
-            out.append(left if i - j <= k - i else right)
+            out.append((left if i - j < k - i else right) if i - j != k - i else False)
     return out
 
 
@@ -198,7 +199,7 @@ def main_text(html: str | None) -> str:
             label = "bad"
         else:
             label = first_pass(text, linked)
-            if marked and not (linked > LINK_HIGH * len(text)) and not NOTICE.match(text):
+            if marked and linked <= LINK_HIGH * len(text):
                 label = "good"  # the page itself says that this is its article
             elif heading and label in ("bad", "short") and linked <= LINK_HIGH * len(text):
                 label = "short"

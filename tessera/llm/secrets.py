@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import read
 
 #: Whole runs of token characters of some length.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=\-])[A-Za-z0-9+/_\-][A-Za-z0-9+/_\-]{15,}={0,2}"
+CANDIDATE = r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-][A-Za-z0-9+/_\-]{15,}={0,2}"
 BEFORE, AFTER = 64, 32
 TREES, DEPTH, LEAST = 15, 6, 4
 #: Labelled findings used for training, at most.
