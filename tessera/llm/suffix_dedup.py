@@ -99,30 +99,62 @@ def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix((sums[end - 7] - sums[start]) * powers().down[start] + (end - start).astype(np.uint64))
 
 
-def anchors(text: bytes):
-    """Anchor hash, context hash, first window and last window (places in the text) of each anchor, and piece sums.
+def anchors(texts: list[bytes]):
+    """Anchor hash, context hash, text, first window and last window (places in the text) of each anchor.
 
-    A window's anchor is its gram of least hash, the leftmost of equals.
+    A window's anchor is its gram of least hash, the leftmost of equals. Texts are handled end to end, some at a time;
+    a longer one in overlapping pieces.
     """
     out = []
-    for at in range(0, max(1, len(text) - LENGTH + 1), PIECE - LENGTH):
-        data = np.frombuffer(text[at : at + PIECE - 1], np.uint8)
-        if len(data) < LENGTH:
-            break
+
+    def run(data: np.ndarray, rows: np.ndarray, bases: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> None:
+        """Windows starts[i] ... starts[i] + counts[i] - 1 of the data are those of text rows[i] from bases[i] on."""
         w = words_at(data)
         gram = mix(w[: len(w) - 16] * np.uint64(3) ^ mix(w[8 : len(w) - 8] + mix(w[16:])))
         key = (gram & ~_LOW) | np.arange(len(gram), dtype=np.uint64)
         place = (least_in(key, SPAN) & _LOW).astype(np.int64)  # for each window
-        fresh = len(place) if at + PIECE - 1 >= len(text) else min(len(place), PIECE - LENGTH)
-        place = place[:fresh]
-        first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        last = np.r_[first[1:] - 1, len(place) - 1]
+        edge = np.zeros(len(place) + 1, np.int8)
+        edge[starts] += 1
+        np.subtract.at(edge, starts + counts, 1)
+        window = np.flatnonzero(np.cumsum(edge[:-1], dtype=np.int8))
+        at = place[window]
+        head = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (window[1:] != window[:-1] + 1)])
+        first, last = window[head], window[np.r_[head[1:] - 1, len(window) - 1]]
         sums = piece_hashes(data)
-        context = mix(span_hash(sums, first, last + LENGTH) + (place[first] - first).astype(np.uint64))
-        out.append((gram[place[first]], context, first + at, last + at))
+        context = mix(span_hash(sums, first, last + LENGTH) + (at[head] - first).astype(np.uint64))
+        which = np.searchsorted(starts, first, "right") - 1
+        shift = bases[which] - starts[which]
+        # Least hashes are small ones: mixed again, anchors lie evenly in ranges.
+        out.append((mix(gram[at[head]] ^ np.uint64(0x5DEECE66D)), context, rows[which], first + shift, last + shift))
+
+    group: list[int] = []
+    size = 0
+
+    def flush() -> None:
+        if group:
+            sizes = np.fromiter((len(texts[i]) for i in group), np.int64, len(group))
+            data = np.frombuffer(b"".join(texts[i] for i in group), np.uint8)
+            run(data, np.array(group), np.zeros(len(group), np.int64), np.cumsum(sizes) - sizes, sizes - LENGTH + 1)
+
+    for i, text in enumerate(texts):
+        if len(text) < LENGTH:
+            continue
+        if len(text) >= PIECE:
+            for at in range(0, len(text) - LENGTH + 1, PIECE - LENGTH):
+                data = np.frombuffer(text[at : at + PIECE - 1], np.uint8)
+                # Each window belongs to one piece: the next one begins where this one's windows end.
+                count = min(len(data) - LENGTH + 1, PIECE - LENGTH)
+                run(data, np.array([i]), np.array([at]), np.array([0]), np.array([count]))
+            continue
+        if size + len(text) >= PIECE:
+            flush()
+            group, size = [], 0
+        group.append(i)
+        size += len(text)
+    flush()
     if not out:
         none = np.empty(0, np.uint64)
-        return none, none, none.astype(np.int64), none.astype(np.int64)
+        return none, none, none.astype(np.int64), none.astype(np.int64), none.astype(np.int64)
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
@@ -130,22 +162,24 @@ class Entries:
     """The anchors of a chunk: entries are the distinct (anchor, context) pairs in order of bucket, each with its least document."""
 
     def __init__(self, ids: np.ndarray, texts: list[bytes], n_buckets: int):
-        rows = [anchors(t) for t in texts]
-        self.sizes = [len(r[0]) for r in rows]
-        gram, context, self.first, self.last = (np.concatenate(c) for c in zip(*rows))
-        self.row = np.repeat(np.arange(len(texts)), self.sizes)  # of each member
+        gram, context, self.row, self.first, self.last = anchors(texts)
         doc = ids[self.row]
-        bucket = ((gram >> np.uint64(40)) % np.uint64(n_buckets)).astype(np.int64)
-        order = np.lexsort((doc, context, gram, bucket))
+        order = np.lexsort((doc, context, gram))  # buckets are ranges of anchor hashes
         g, c = gram[order], context[order]
         head = np.r_[True, (g[1:] != g[:-1]) | (c[1:] != c[:-1])][: len(g)]
         self.entry = np.empty(len(g), np.int64)  # of each member
         self.entry[order] = np.cumsum(head) - 1
         lead = order[head]  # the least document's member of each entry
-        self.lead, self.gram, self.context, self.bucket, self.doc = lead, gram[lead], context[lead], bucket[lead], doc[lead]
+        self.lead, self.gram, self.context, self.doc = lead, gram[lead], context[lead], doc[lead]
+        self.bucket = range_bucket(self.gram, n_buckets)
         self.later = doc > self.doc[self.entry] if len(doc) else np.empty(0, bool)  # members behind their entry's least document
 
 
+def range_bucket(keys: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Equal ranges of the upper 32 bits."""
+    return (((keys >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)).astype(np.int64)
+
+
 def five(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (x & np.uint64(0xFFFFFFFF)).astype(np.uint32), ((x >> np.uint64(32)) & np.uint64(0xFF)).astype(np.uint8)
 
@@ -222,26 +256,31 @@ def column_wise(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     m = len(strings)
     sizes = np.fromiter(map(len, strings), np.int64, m)
     width = int(sizes.max(initial=0))
-    text = np.zeros((m, width + 1), np.uint16)  # right-aligned symbols: column width - t is the t-th from the end
+    text = np.zeros((m, width + 1), np.uint8)  # right-aligned symbols: column width - t is the t-th from the end; 0: nothing before
+    used = np.zeros(256, bool)
+    for s in strings:
+        used[np.frombuffer(s, np.uint8)] = True
+    if used.sum() > 255:  # no UTF-8 text has so many
+        text = text.astype(np.uint16)
+    dense = np.cumsum(used).astype(text.dtype)  # symbols from 1 on, in order
     for i, s in enumerate(strings):
-        text[i, width + 1 - len(s) : width + 1] = np.frombuffer(s, np.uint8)
-    text[:, 1:] += 1
-    text[np.arange(width + 1)[None, :] < (width + 1 - sizes)[:, None]] = 0  # 0: nothing before
+        text[i, width + 1 - len(s) : width + 1] = dense[np.frombuffer(s, np.uint8)]
 
-    every = np.arange(m, dtype=np.int32)
-    columns = Columns(symbol=text[:, width].copy(), prefix=np.zeros(m, np.uint8), string=every, place=sizes.astype(np.uint8))
-    newest, rank_of = every, np.arange(m)  # strings whose latest suffix is the newest, and its rank
+    step = width + 1  # a suffix is string * step + place
+    every = np.arange(m, dtype=np.int64)
+    columns = Columns(symbol=text[:, width].copy(), prefix=np.zeros(m, np.uint8), suffix=every * step + sizes)
+    newest, rank_of = every, every  # strings whose latest suffix is the newest, and its rank
     for t in range(1, width + 1):
-        symbol, prefix, string, place = (columns.held[k] for k in ("symbol", "prefix", "string", "place"))
+        symbol, prefix, suffix = (columns.held[k] for k in ("symbol", "prefix", "suffix"))
         going = sizes[newest] >= t
         newest, at = newest[going], rank_of[going]
         by_symbol = np.argsort(symbol, kind="stable")
         by_symbol = by_symbol[np.searchsorted(symbol[by_symbol], 1) :]  # entries with a symbol before them, by it
         rank = np.empty(len(symbol), np.int64)
-        rank[by_symbol] = m + np.arange(len(by_symbol))
+        rank[by_symbol] = np.arange(m, m + len(by_symbol))
         target = rank[at]  # ranks of the new suffixes once all are in
         order = np.argsort(target, kind="stable")
-        newest, at, target = newest[order], at[order], target[order]
+        newest, target = newest[order], target[order]
         total = len(symbol) + len(newest)
 
         # Common prefixes change at the new suffixes and at those right behind them.
@@ -261,23 +300,48 @@ def column_wise(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
         old = np.ones(total, bool)
         old[target] = False
-        new = {k: np.empty(total, columns.held[k].dtype) for k in columns.held}
-        for k in new:
-            new[k][old] = columns.held[k]
-        new["symbol"][target] = text[newest, width - t]
-        new["string"][target] = newest
-        new["place"][target] = (sizes[newest] - t).astype(np.uint8)
-        new["prefix"][target] = 0
-        new["prefix"][touched] = np.minimum(value, 255)
-        columns.put(**new)
+        source = np.cumsum(old) - 1  # where each place's entry comes from: an old one, or a new one behind them
+        source[target] = np.arange(len(symbol), total)
+        made_prefix = np.r_[prefix, np.zeros(len(newest), np.uint8)][source]
+        made_prefix[touched] = np.minimum(value, 255)
+        columns.put(symbol=np.r_[symbol, text[newest, width - t]][source], prefix=made_prefix, suffix=np.r_[suffix, newest * step + sizes[newest] - t][source])
         rank_of = target
-    string, place, prefix = (np.array(columns.held[k]) for k in ("string", "place", "prefix"))
+    suffix, prefix = (np.array(columns.held[k]) for k in ("suffix", "prefix"))
     columns.close()
-    return string, place, prefix
+    return suffix // step, suffix % step, prefix
+
+
+def shared_hulls(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window of each string whose hash is found in another window too; -1 where there is none."""
+    sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+    starts = np.cumsum(sizes) - sizes
+    w = words_at(np.frombuffer(b"".join(strings), np.uint8))
+    n, key = len(w) - LENGTH + 8, None
+    for at in (*range(0, LENGTH - 8, 8), LENGTH - 8):
+        part = w[at : at + n]
+        key = mix(part) if key is None else mix(key ^ mix(part + np.uint64(at)))
+    edge = np.zeros(n + 1, np.int8)
+    edge[starts] += 1
+    np.subtract.at(edge, starts + sizes - LENGTH + 1, 1)
+    window = np.flatnonzero(np.cumsum(edge[:-1], dtype=np.int8))
+    order = np.argsort(key[window])
+    ordered = key[window][order]
+    twice = np.r_[False, ordered[1:] == ordered[:-1]]
+    twice[:-1] |= twice[1:]
+    window = np.sort(window[order[twice]])
+    owner = np.searchsorted(starts, window, "right") - 1
+    first, last = np.full(len(strings), -1), np.full(len(strings), -1)
+    last[owner] = window - starts[owner]  # the last assignment stays
+    first[owner[::-1]] = (window - starts[owner])[::-1]
+    return first, last
 
 
 def owned_windows(packed: list[bytes]) -> list[bytes]:
-    """For each entry of unlike contexts a mask: bit k is set if its k-th window starts in a smaller document."""
+    """For each entry of unlike contexts a mask: bit k is set if its k-th window starts in a smaller document.
+
+    Contexts are cut to the windows that another one may hold by their hashes, and equal ones are taken together;
+    the suffixes of what is left are ordered column by column, and their common prefixes decide.
+    """
     parts = [unpack_arrays(p) for p in packed]
     strings: dict[bytes, int] = {}
     number, docs = [], []
@@ -286,18 +350,33 @@ def owned_windows(packed: list[bytes]) -> list[bytes]:
         for size, end in zip(sizes.tolist(), ends.tolist()):
             number.append(strings.setdefault(raw[end - size : end], len(strings)))
         docs.append(doc)
-    number, docs = np.array(number, np.int64), np.concatenate(docs)
-    least = np.full(len(strings), np.iinfo(np.int64).max)
+    number, docs, names = np.array(number, np.int64), np.concatenate(docs), list(strings)
+    least = np.full(len(names), np.iinfo(np.int64).max)
     np.minimum.at(least, number, docs)
-    names = list(strings)
-    string, place, prefix = column_wise(names)
-    run = np.cumsum(prefix < LENGTH) - 1
-    owner = np.minimum.reduceat(least[string], np.flatnonzero(np.r_[True, run[1:] != run[:-1]]))[run]
-    sizes = np.fromiter(map(len, names), np.int64, len(names))
-    window = place.astype(np.int64) <= sizes[string] - LENGTH
-    table = np.full((len(names), LENGTH - GRAM + 1), np.iinfo(np.int64).max)
-    table[string[window], place[window]] = owner[window]
-    masks = ((table[number] < docs[:, None]) @ (1 << np.arange(table.shape[1], dtype=np.int64))).astype(np.uint32)
+    table = np.repeat(least[:, None], SPAN, 1)  # the least document of each window of each string
+
+    first, last = shared_hulls(names)
+    some = np.flatnonzero(first >= 0)
+    hulls: dict[bytes, int] = {}
+    hull = np.array([hulls.setdefault(names[i][a : b + LENGTH], len(hulls)) for i, a, b in zip(some.tolist(), first[some].tolist(), last[some].tolist())], np.int64)
+    if len(hulls):
+        hull_least = np.full(len(hulls), np.iinfo(np.int64).max)
+        np.minimum.at(hull_least, hull, least[some])
+        string, place, prefix = column_wise(list(hulls))
+        run = np.cumsum(prefix < LENGTH) - 1
+        owner = np.minimum.reduceat(hull_least[string], np.flatnonzero(np.r_[True, run[1:] != run[:-1]]))[run]
+        sizes = np.fromiter(map(len, hulls), np.int64, len(hulls))
+        window = place <= sizes[string] - LENGTH
+        owned = np.full((len(hulls), SPAN), np.iinfo(np.int64).max)
+        owned[string[window], place[window]] = owner[window]
+        column = np.arange(SPAN)[None, :]
+        inside = column <= (last - first)[some][:, None]
+        rows, columns = np.broadcast_to(some[:, None], inside.shape)[inside], (first[some][:, None] + column)[inside]
+        table[rows, columns] = np.minimum(table[rows, columns], owned[hull][inside])
+    masks = ((table[number] < docs[:, None]) @ (1 << np.arange(SPAN, dtype=np.int64))).astype(np.uint32)
+    # Bits beyond a context's windows say nothing.
+    windows = np.fromiter(map(len, names), np.int64, len(names))[number] - LENGTH + 1
+    masks &= ((np.uint64(1) << windows.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
     ends = np.cumsum([len(p[0]) for p in parts])
     return [pack_arrays(x) for x in np.split(masks, ends[:-1])]
 
@@ -330,13 +409,12 @@ def hot_windows(entries: Entries, code: np.ndarray, texts: list[bytes], n_bucket
         joined_windows = [hashlib.blake2b(texts[r][s : s + LENGTH], digest_size=8).digest() for s in start[some].tolist()]
         keys[some] = np.frombuffer(b"".join(joined_windows), np.uint64)
     doc = entries.doc[owner]
-    bucket = ((keys >> np.uint64(40)) % np.uint64(n_buckets)).astype(np.int64)
-    order = np.lexsort((doc, keys, bucket))
+    order = np.lexsort((doc, keys))
     head = np.r_[True, keys[order][1:] != keys[order][:-1]]
     index = np.empty(len(keys), np.int64)
     index[order] = np.cumsum(head) - 1
     lead_of = order[head]
-    return owner, step, index, keys[lead_of], doc[lead_of], bucket[lead_of], doc
+    return owner, step, index, keys[lead_of], doc[lead_of], range_bucket(keys[lead_of], n_buckets), doc
 
 
 def removed_ranges(entries: Entries, n_texts: int, code, masks, hot, hot_answer) -> list[list[tuple[int, int]]]:
@@ -373,13 +451,13 @@ def removals(docs: DataFrame, schema: str, output, carry: bool = False) -> DataF
     """
     n_buckets = 3 * partitions(docs.sparkSession)
     whole = chunk_table(docs, carry=carry)
-    chunks = whole.select("chunk", "docs")
+    chunks = whole.select("part", "chunk", "docs")
 
     def emit_anchors(chunk, ids, texts):
         e = Entries(ids, texts, n_buckets)
         yield from send(chunk, e.bucket, *five(e.gram), *five(e.context), e.doc)
 
-    codes = materialize(answers(each_chunk(chunks, emit_anchors, "bucket int, chunk long, packed binary"), judge), codec="none")
+    codes = materialize(answers(each_chunk(chunks, emit_anchors, "bucket int, chunk long, packed binary"), judge), codec="none", compact=True)
 
     def emit_contexts(chunk, ids, texts, found):
         if not found:
