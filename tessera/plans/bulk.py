@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from tessera.config import Config
 from tessera.operators import entities as E
-from tessera.operators import matching, registry, results, state
+from tessera.operators import links, matching, registry, results, state
 from tessera.operators.search import RegistryError, Searcher, spend
 from tessera.schemas import ITEM, RECORD, RESULT, STORED
-from tessera.sources import files
+from tessera.sources import files, web
 from tessera.sources.store import Store
 
 OUTCOME = f"cache_key string, event string, item {ITEM}, error string, search_used boolean, search_queries array<string>, grounding_sources array<string>"
@@ -38,11 +38,12 @@ class RunStats:
 class Engine:
     """A store, a configuration and the providers of a run.
 
-    registry_rows() -> raw rows (pos and raw fields); provider.ask() answers batches; pages has url and html.
+    registry_rows() -> raw rows (pos and raw fields); provider.ask() answers batches; pages has url and html, without it
+    official sites are fetched.
     """
 
-    def __init__(self, spark: SparkSession, config: Config, registry_rows=None, provider=None, ledger=None, pages: DataFrame | None = None, sleep=None):
-        self.spark, self.config, self.registry_rows, self.pages = spark, config, registry_rows, pages
+    def __init__(self, spark: SparkSession, config: Config, registry_rows=None, provider=None, ledger=None, pages: DataFrame | None = None, sleep=None, fetch=web.fetch_html):
+        self.spark, self.config, self.registry_rows, self.pages, self.fetch = spark, config, registry_rows, pages, fetch
         self.store = Store(spark, config.store_dir)
         self.searcher = None
         if config.llm_enabled and provider is not None:
@@ -90,6 +91,15 @@ class Engine:
         found = matching.lookup(named, records, self.config.registry_match_threshold, self.config.registry_match_margin)
         return results.from_registry(entities, found)
 
+    def _finalized(self, rows: DataFrame) -> DataFrame:
+        pages = self.pages
+        if self.config.crawler_enabled and pages is None:
+            rows = self._snapshot("sites", rows)
+            sites = links.sites_to_visit(F.col("result.links"), self.config.crawler_skip_if_links, self.config.crawler_min_site_confidence, self.config.crawler_max_sites)
+            urls = rows.select(F.explode(F.transform(sites, lambda x: x["url"])).alias("url"))
+            pages = self._snapshot("pages", web.pages_of(urls, self.config, self.fetch))
+        return results.finalized(rows, self.config, pages)
+
     def run(self, entities: DataFrame | None = None) -> tuple[RunStats, DataFrame]:
         """Work on the list; the counts and the output rows, which are also written."""
         c, spark = self.config, self.spark
@@ -108,7 +118,7 @@ class Engine:
         resolved = self.resolve(work, records).withColumn("search", state.needs_search(F.size("result.links"), c) & F.lit(self.searcher is not None))
         resolved = self._snapshot("resolved", resolved)
 
-        final = results.finalized(resolved.where(~F.col("search")), c, self.pages)
+        final = self._finalized(resolved.where(~F.col("search")))
         final = final.withColumn("o", state.outcome(F.lit("final"), F.size("result.links"), F.lit(None).cast("string")))
         self._save(final)
         pending = resolved.where("search")
@@ -150,7 +160,7 @@ class Engine:
         joined = pending.join(made, "cache_key", "left").withColumn("event", F.coalesce("event", F.lit("quota")))
         merged = results.with_item(F.col("result"), F.col("item"), F.col("search_used"), F.col("search_queries"), F.col("grounding_sources"))
         joined = joined.withColumn("result", F.when(F.col("event") == "item", merged).when(F.col("event") == "missing", F.col("result").withField("search_used", F.col("search_used"))).otherwise(F.col("result")).cast(RESULT))
-        final = results.finalized(joined, c, self.pages)
+        final = self._finalized(joined)
         final = final.withColumn("o", state.outcome(F.col("event"), F.size("result.links"), F.col("error")))
         self._save(final)
         return answered
@@ -165,5 +175,5 @@ class Engine:
                 line = json.dumps({"item": found["items"][0]} | {k: found[k] for k in ("search_used", "search_queries", "grounding_sources")}, ensure_ascii=False)
                 o = F.from_json(F.lit(line), OUTCOME)
                 resolved = resolved.withColumn("result", results.with_item(F.col("result"), o["item"], o["search_used"], o["search_queries"], o["grounding_sources"]).cast(RESULT))
-        final = results.finalized(resolved, self.config, self.pages)
+        final = self._finalized(resolved)
         return json.loads(final.select(F.to_json("result").alias("r")).first()["r"])

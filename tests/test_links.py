@@ -68,3 +68,25 @@ def test_arriving_lists(spark, tmp_path):
     spark.createDataFrame([("1", "Никто", "person", 1)], "entity_id string, name string, entity_type string, row_no long").write.parquet(str(tmp_path / "arriving"))
     watch(spark, str(tmp_path / "arriving"), str(tmp_path / "cp"), made).awaitTermination()
     assert made.stored().first()["status"] == "success"
+
+
+def test_sites_are_fetched_under_a_guard(spark, tmp_path):
+    import pytest
+
+    from tessera.operators.search import UnsafeUrl
+    from tessera.sources import web
+    from tests.test_bulk import engine
+
+    public = lambda host, port: [(0, 0, 0, "", ("93.184.216.34", 0))]
+    private = lambda host, port: [(0, 0, 0, "", ("93.184.216.34", 0)), (0, 0, 0, "", ("10.0.0.1", 0))]
+    assert web.is_public_url("https://a.example.org/", public) and not web.is_public_url("https://a.example.org/", private)
+    assert not web.is_public_url("ftp://a.example.org/", public) and not web.is_public_url("http://[abc", public)
+    with pytest.raises(UnsafeUrl):
+        web.fetch_html("http://127.0.0.1/")
+    assert web.read_body([b"ab", b"cd", b"e"], 4) == b"abcd"
+
+    made = engine(spark, tmp_path, [], crawler_enabled=True, resolution_mode="economy")
+    made.fetch = lambda url, timeout, most: '<a href="https://vk.com/club">v</a>' if "test" in url else 1 / 0
+    stats, rows = made.run(spark.createDataFrame([("1", "Тестов Пётр Ильич", "person", 1)], "entity_id string, name string, entity_type string, row_no long"))
+    result = rows.first()["result"]
+    assert "https://vk.com/club" in [x["url"] for x in result["links"]] and "official_site_crawler" in result["resolution_sources"]
