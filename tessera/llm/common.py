@@ -95,6 +95,7 @@ def map_texts(df: DataFrame, schema, row_function_factory, key: str = "doc_id",
             for keys, texts in slices(batch.column(0), batch.column(1), limit):
                 columns = function(keys, texts)
                 yield pa.RecordBatch.from_arrays(columns, names)
+        release()
 
     return df.select(key, F.col(text).cast("string").alias("text")).mapInArrow(apply, schema)
 
@@ -110,6 +111,19 @@ def worker_cache(key, make):
     return store[key]
 
 
+def release() -> None:
+    """Give memory that is free in this Python worker back to the system: workers outlive their tasks."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def slices(keys: pa.Array, texts: pa.Array, limit: int = 4 << 20):
     """Lists of keys and texts of some limit bytes; a longer text comes alone."""
     if not len(texts):

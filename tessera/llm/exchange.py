@@ -16,10 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, partitions, shared_dir, small_batches
+from tessera.llm.common import partitions, release, shared_dir, small_batches
 
 #: Bytes of text in a chunk; a longer text makes a chunk of its own.
 CHUNK = 1 << 20
+#: What stands for a null id inside chunks: less than any other.
+NULL_ID = -(1 << 63)
+#: How JSON holds times, to the microsecond.
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 #: Bits of a chunk's number within its part.
 SEQUENCE = 20
 CHUNK_SCHEMA = "chunk long, docs binary"
@@ -47,6 +51,10 @@ def unpack_docs(packed: bytes) -> tuple[np.ndarray, list[bytes]]:
     return ids, [raw[end - size : end] for end, size in zip(ends.tolist(), sizes.tolist())]
 
 
+def id_array(ids: np.ndarray) -> pa.Array:
+    return pa.array(ids, pa.int64(), mask=ids == NULL_ID)
+
+
 def pack_arrays(*arrays: np.ndarray) -> bytes:
     """Arrays of one-byte planes of integers: alike bytes lie together, which compresses."""
     head = [len(arrays)]
@@ -71,7 +79,7 @@ def unpack_arrays(packed: bytes) -> list[np.ndarray]:
 
 
 def chunk_table(docs: DataFrame, limit: int = CHUNK, carry: bool = False) -> DataFrame:
-    """The chunks of docs (doc_id, text), bucketed by chunk. Null texts are empty; null ids are -1.
+    """The chunks of docs (doc_id, text), bucketed by chunk. Null texts are empty; null ids are NULL_ID.
 
     With carry, a third column holds each row's other columns as JSON, and whether its text is null.
     """
@@ -100,15 +108,16 @@ def chunk_table(docs: DataFrame, limit: int = CHUNK, carry: bool = False) -> Dat
                 if ids and size + len(text) > limit:
                     yield row()
                     number, ids, texts, rest, size = number + 1, [], [], [], 0
-                ids.append(-1 if key is None else key)
+                ids.append(NULL_ID if key is None else key)
                 texts.append(text)
                 rest.append(other)
                 size += len(text)
         if ids:
             yield row()
+        release()
 
     others = F.struct(*(F.col(c) for c in docs.columns if c != "text"), F.col("text").isNull().alias("__null"))
-    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"), *([F.to_json(others).cast("binary").alias("rest")] if carry else [])]
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"), *([F.to_json(others, TIMES).cast("binary").alias("rest")] if carry else [])]
     rows = docs.select(*columns).mapInArrow(apply, CHUNK_SCHEMA + (", rest binary" if carry else ""))
     name = f"tessera_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/tessera-{name}"
@@ -162,6 +171,7 @@ def each_chunk(rows: DataFrame, function, schema: str) -> DataFrame:
             for i in range(batch.num_rows):
                 ids, texts = unpack_docs(batch.column("docs")[i].as_py())
                 yield from function(batch.column("chunk")[i].as_py(), ids, texts, *(batch.column(n)[i].as_py() for n in names))
+        release()
 
     return rows.mapInArrow(apply, schema)
 
@@ -182,6 +192,7 @@ def answers(sent: DataFrame, reduce) -> DataFrame:
     def apply(table: pa.Table) -> pa.Table:
         table = table.sort_by("chunk")
         made = reduce(table.column("packed").to_pylist())
+        release()
         return pa.table({"bucket": table.column("bucket").combine_chunks(), "chunk": table.column("chunk").combine_chunks(), "packed": pa.array(made, pa.binary())})
 
     replied = sent.groupBy("bucket").applyInArrow(apply, PACKED_SCHEMA)

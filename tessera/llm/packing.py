@@ -26,7 +26,7 @@ END_ID = 1
 #: Parts in which the rests of one length are numbered.
 SALTS = 64
 MEMO_CHARS = 40
-MEMO_SIZE = 1_200_000
+MEMO_SIZE = 500_000
 #: Characters on which the tokenizer's normalizer does no more than lower-casing: Latin-1 without its controls and spaces beyond ASCII.
 PLAIN = r"[\t\n\v\f\r\x20-\x7e\xa1-\xff]*"
 #: The tokenizer's own cut into pieces: 's|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+, its classes written out for plain texts.
@@ -187,7 +187,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id:
     # One row for each length and salt; the first rank of each part is a running sum over them.
     sizes = parts.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
-    firsts = materialize(sizes.select("length", "salt", "n", F.coalesce(before, F.lit(0)).alias("first")))
+    firsts = materialize(sizes.select("length", "salt", "n", F.coalesce(before, F.lit(0)).alias("first")), compact=True)
     # At most `window` rows reach the driver.
     counts = {r["length"]: r["n"] for r in firsts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     counts.pop(window, None)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import crc_mod4, held_out_column, map_texts, read, small_batches
+from tessera.llm.common import crc_mod4, held_out_column, map_texts, read, release, small_batches
 from tessera.llm.ngrams import Batch, mix, pieces, raw_bytes
 
 #: Labelled rows in the training sample of each class, at most; their texts have TRAIN_BYTES at most.
@@ -173,6 +173,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
             texts = batch.column(columns.index("text")).cast(pa.large_string()).to_pylist()
             keep = logits([raw_bytes(t) for t in texts], table, bias) >= np.log(THRESHOLD / (1 - THRESHOLD))
             yield batch.filter(pa.array(keep))
+        release()
 
 
 

@@ -17,7 +17,7 @@ collection. So the collection is cut first into short strings, without loss:
   large. Its windows are exchanged one by one by their hashes instead, each once for each chunk.
 
 Defined results: null and empty texts have 0 bytes, nothing removed and the hash of the empty string; matches never
-cross documents; rows that repeat a doc_id do not remove from one another (their ids are equal, not smaller) and get
+cross documents; a null doc_id is less than any other; rows that repeat a doc_id do not remove from one another (their ids are equal, not smaller) and get
 one result row each; an empty table gives an empty result.
 """
 
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize, partitions, read
-from tessera.llm.exchange import answers, chunk_table, each_chunk, joined, received, send, pack_arrays, unpack_arrays, unpack_docs
+from tessera.llm.exchange import TIMES, answers, chunk_table, each_chunk, id_array, joined, received, send, pack_arrays, unpack_arrays, unpack_docs
 from tessera.llm.ngrams import mix
 
 LENGTH = 50
@@ -509,7 +509,7 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     def output(ids, texts, ranges):
         longs = [list(map(len, texts)), [sum(b - a for a, b in r) for r in ranges], list(map(len, ranges))]
         kept = [hashlib.sha256(kept_bytes(t, r)).hexdigest() for t, r in zip(texts, ranges)]
-        return pa.RecordBatch.from_arrays([pa.array(ids), *(pa.array(x, pa.int64()) for x in longs), pa.array(kept)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        return pa.RecordBatch.from_arrays([id_array(ids), *(pa.array(x, pa.int64()) for x in longs), pa.array(kept)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return removals(docs, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", output)
 
@@ -521,7 +521,7 @@ def removed_spans(docs: DataFrame) -> DataFrame:
         some = [i for i, r in enumerate(ranges) if r]
         spans = [[{"start": a, "end": b} for a, b in ranges[i]] for i in some]
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        return pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(spans, kind)], ["doc_id", "spans"])
+        return pa.RecordBatch.from_arrays([id_array(ids[some]), pa.array(spans, kind)], ["doc_id", "spans"])
 
     return removals(docs, "doc_id long, spans array<struct<start:long,end:long>>", output)
 
@@ -549,7 +549,7 @@ def strip_repeats(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), pa.array([r.decode() for r in rest], pa.string())], ["__text", "__rest"])
 
     rows = removals(docs, "__text string, __rest string", output, carry=True)
-    rows = rows.withColumn("__rest", F.from_json("__rest", kind)).withColumn("__text", F.when(~F.col("__rest.__null"), F.col("__text")))
+    rows = rows.withColumn("__rest", F.from_json("__rest", kind, TIMES)).withColumn("__text", F.when(~F.col("__rest.__null"), F.col("__text")))
     made = {c: F.col(f"__rest.`{c}`") for c in small.columns} | {"text": F.col("__text")}
     if "n_chars" in made:
         made["n_chars"] = F.length("__text").cast(docs.schema["n_chars"].dataType)
