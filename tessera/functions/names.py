@@ -124,9 +124,13 @@ def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, a, b).ratio() if a is not None and b is not None else None for a, b in zip(left, right)], dtype="float64")
 
 
-def score_from(left: Column, right: Column, a: Column, b: Column, equal: Column, jaccard: Column, containment: Column) -> Column:
-    """Score of two normalized names with tokens a and b. The ratios are computed only where a set comparison doesn't decide."""
-    plain = F.when((left == "") | (right == ""), 0.0).when(left == right, 1.0).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).when(equal, 0.99)
+def plain_score(left: Column, right: Column, a: Column, b: Column, equal: Column) -> Column:
+    """The score where a comparison as sets decides, else null."""
+    return F.when((left == "") | (right == ""), 0.0).when(left == right, 1.0).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).when(equal, 0.99)
+
+
+def score_from(plain: Column, a: Column, b: Column, jaccard: Column, containment: Column) -> Column:
+    """The plain score of two names with tokens a and b, or else the one from the ratios: only then are they computed."""
     open_ = plain.isNull()
     s1 = sequence_ratio(F.when(open_, F.array_join(a, " ")), F.when(open_, F.array_join(b, " ")))
     s2 = sequence_ratio(F.when(open_, F.array_join(F.sort_array(a), " ")), F.when(open_, F.array_join(F.sort_array(b), " ")))
@@ -137,4 +141,5 @@ def match_score(left: Column, right: Column, entity_type: Column) -> Column:
     """Score of two normalized names, 0 to 1."""
     organization = entity_type == "organization"
     a, b = (F.when(organization, core_tokens(x)).otherwise(tokens(x)) for x in (left, right))
-    return score_from(left, right, a, b, *overlap(a, b))
+    equal, jaccard, containment = overlap(a, b)
+    return score_from(plain_score(left, right, a, b, equal), a, b, jaccard, containment)

@@ -66,9 +66,12 @@ def scored(entities: DataFrame, records: DataFrame, pairs: DataFrame, threshold:
     rows = rows.withColumns({x: F.when(organization, names.core_tokens(F.col(c))).otherwise(names.tokens(F.col(c))) for x, c in (("a", "name_key"), ("b", "search_name"))})
     equal, jaccard, containment = names.overlap(F.col("a"), F.col("b"))
     rows = rows.withColumns({"equal": equal, "jaccard": jaccard, "containment": containment})
-    worth = (F.size("a") > 0) & (F.size("b") > 0) & (names.score_bound(F.col("jaccard"), F.col("containment")) >= threshold - margin - 1e-9)
-    rows = rows.where((F.col("tier") == EXACT) | (F.col("name_key") == F.col("search_name")) | F.coalesce(worth, F.lit(False)))
-    score = names.score_from(F.col("name_key"), F.col("search_name"), F.col("a"), F.col("b"), F.col("equal"), F.col("jaccard"), F.col("containment"))
+    rows = rows.withColumns({"plain": names.plain_score(F.col("name_key"), F.col("search_name"), F.col("a"), F.col("b"), F.col("equal")), "bound": names.score_bound(F.col("jaccard"), F.col("containment"))})
+    rows = rows.where((F.col("tier") == EXACT) | F.col("plain").isNotNull() | (F.col("bound") >= threshold - margin - 1e-9))
+    # A name whose bound does not exceed what another name of the pair scores for sure cannot be the pair's best.
+    rows = rows.withColumn("sure", F.max("plain").over(Window.partitionBy("cache_key", "record_id")))
+    rows = rows.where(F.col("plain").isNotNull() | F.col("sure").isNull() | (F.col("bound") > F.col("sure")))
+    score = names.score_from(F.col("plain"), F.col("a"), F.col("b"), F.col("jaccard"), F.col("containment"))
     return rows.withColumn("score", score).groupBy("cache_key", "record_id", "tier").agg(F.max("score").alias("score"))
 
 
