@@ -43,8 +43,8 @@ MAIN = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Words of class, id or role that mark a container as no main text.
 BAD_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adverts|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|header|masthead|footer|sidebar|side-bar|aside|widget\w*|related|recommend\w*|share|sharing|social"
-    r"|cookies?|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|comments?|comment-\w+|disqus|replies|reply|responses|discussion|pagination|pager|toolbar|copyright|legal|disclaimer|skip|complementary|contentinfo|navigation|search)(?=$|[\s_-])",
+    r"(?:^|[\s_-])(?<!with[_-])(?<!has[_-])(?<!no[_-])(?<!and[_-])(?:ads?|ad(?:box|slot|space|unit|banner|sense|sbygoogle)|advert\w*|sponsor\w*|promo\w*|banner|nav(?:bar|igation|menu|s)?|menu\w*|breadcrumbs?|header|masthead|footer|sidebar|side-bar|sidenav|aside|colophon|widget\w*|related|recommend\w*|share|sharing|social"
+    r"|cookies?|consent|gdpr|notices?|announcements?|alerts?|warning|toast|flash|paywall|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|comments?|comment-\w+|disqus|replies|reply|respond|responses|feedback|discussion|pagination|pager|toolbar|copyright|legal|disclaimer|skip|complementary|contentinfo|navigation|search)(?=$|[\s_-])",
     re.IGNORECASE,
 )
 TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<!--|<[!?]")
@@ -133,8 +133,9 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool, bool]]:
                 bad, inside = bad - was_bad, inside - was_main
         if name not in VOID and not found[0].endswith("/>"):
             words = " ".join(m[1] or m[2] or m[3] or "" for m in NAMED.finditer(found[3]))
-            is_main = name in MAIN
-            marked = name in FRAME and not (name == "header" and inside) or bool(words and BAD_NAME.search(words) and not is_main and name != "body") or bool(found[3] and HIDDEN.search(found[3]))
+            named = bool(words and name not in ("html", "body", "main") and BAD_NAME.search(words))
+            is_main = name in MAIN and not named and not bad  # a comment or a teaser may be marked as an article too
+            marked = name in FRAME and not (name == "header" and inside) or named or bool(found[3] and HIDDEN.search(found[3]))
             stack.append((name, marked, is_main))
             bad, inside = bad + marked, inside + is_main
         close()

@@ -39,3 +39,14 @@ def test_defined_results(spark):
     assert (1, "u", "") in got and (2, None, "") in got and (3, "u", "") in got and (6, "u", "") in got and len(got) == 7
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
     assert blocks("<div>a<div>b</div>c</div>")[1][0] == "b"
+
+
+def test_marks_of_containers():
+    def kept(attributes, tag="div"):
+        return main_text(f"<html class='nav-fixed'><body class='has-sidebar'><article><p>{PROSE}</p><{tag} {attributes}><p>{PROSE} inner</p></{tag}></article></body></html>") != PROSE
+
+    for attributes in ('class="ad-slot"', "id=comments", 'class="box user-comment"', 'role="alert"', 'class="site-notice top"', 'class="adsbygoogle"', 'style="display: none"', "hidden"):
+        assert not kept(attributes), attributes
+    for attributes in ('class="content-with-sidebar"', 'class="lead"', 'class="navy"', 'id="adam"', "data-x=1"):
+        assert kept(attributes), attributes
+    assert not kept('class="comment"', "article") and not kept("", "aside") and kept("", "section")
