@@ -179,7 +179,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             core = [float(np.frombuffer(a) @ np.frombuffer(b)) >= half for a, b in zip(raw, pivot)]
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("component"), batch.column("unit"), pa.array(core)], ["vec_id", "component", "unit", "core"])
 
-    members = materialize(members.join(pivots, "component").select("vec_id", "component", "unit", "pivot").mapInArrow(angles, "vec_id long, component long, unit binary, core boolean"))
+    members = materialize(members.join(pivots, "component").select("vec_id", "component", "unit", "pivot").mapInArrow(angles, "vec_id long, component long, unit binary, core boolean"), compact=True)
     sizes = members.groupBy("component").agg(F.count_if("core").alias("n_core"), F.count_if(~F.col("core")).alias("n_far"))
     far = far_counts(members.join(sizes.where("n_far > 0").select("component"), "component", "left_semi"), threshold)
     counts = members.select("vec_id", "component", "core").join(sizes, "component").join(far, "vec_id", "left")
