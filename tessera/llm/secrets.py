@@ -76,11 +76,11 @@ def labelled_findings(n: int = 1600, seed: int = 3) -> list[tuple[str, str, str,
 
     def secret() -> tuple[str, str, str]:
         name = r.choice(("token", "secret", "api_key", "password", "access_key", "client_secret", "auth_token", "private_key", "SECRET_KEY", "credential"))
-        value = r.choice((lambda: of("0123456789abcdef", r.choice((32, 40, 40, 40, 48, 64))), lambda: of(chars, 20, 64), lambda: of(chars + "+/", 24, 64) + "=" * r.randint(0, 2), lambda: of(chars + "-_", 20, 48)))()
+        value = r.choice((lambda: of("0123456789abcdef", r.choice((16, 18, 20, 24, 32, 40, 40, 40, 48, 64))), lambda: of(chars, 16, 64), lambda: of(chars + "+/", 24, 64) + "=" * r.randint(0, 2), lambda: of(chars + "-_", 20, 48)))()
         form = r.random()
-        if form < 0.15:
-            return f"{prose()} ", r.choice((lambda: "AKIA" + of(string.ascii_uppercase + string.digits, 16), lambda: "ghp_" + of(chars, 36), lambda: "sk_live_" + of(chars, 24), lambda: "xoxb-" + of(chars, 40), lambda: "eyJ" + of(chars, 40, 90)))(), f" {prose(2)}"
-        if form < 0.3:
+        if form < 0.25:
+            return f"{prose()} ", r.choice((lambda: "AKIA" + of(string.ascii_uppercase + r.choice(("", string.digits)), 16), lambda: "ghp_" + of(chars, 36), lambda: "sk_live_" + of(chars, 24), lambda: "xoxb-" + of(chars, 40), lambda: "eyJ" + of(chars, 40, 90)))(), f" {prose(2)}"
+        if form < 0.4:
             return f"{prose()} Authorization: Bearer ", value, f"\n{prose(2)}"
         quote = r.choice('"\'"" ').strip()
         return f"{prose()} {name}{r.choice((' = ', '=', ': ', ' := '))}{quote}", value, f"{quote} {prose(2)}"
@@ -100,7 +100,8 @@ def labelled_findings(n: int = 1600, seed: int = 3) -> list[tuple[str, str, str,
         if kind == 5:
             return f"{prose()} {r.choice(('', 'token = ' + chr(34), 'api_key: '))}", r.choice(("your_api_key_here", "example-token-value-0", "xxxxxxxxxxxxxxxxxxxxxxxx", "changeme_changeme_123", "0000000000000000000000", "placeholder-secret-here")), f"{prose(2)}"
         if kind == 6:
-            return f"{prose()} ", fragments(5, 12) or "understandingthat", f"{r.choice((' ', '. '))}{prose(2)}"
+            word = fragments(5, 12) or "understandingthat"
+            return f"{prose()} ", r.choice((word, word.upper())), f"{r.choice((' ', '. ', '!! '))}{prose(2)}"
         if kind == 7:
             return f"{prose()} ", "-".join(r.choice(DICTIONARY[:40]) for _ in range(4)) + f"-{r.randint(1, 2030)}", f" {prose(2)}"
         return f"{prose()} {r.choice(('', '- ', '| '))}", r.choice("-=_+") * r.randint(16, 60), f" {prose(2)}"
@@ -124,7 +125,7 @@ class Forest:
             return share
         best = (1e-9, None, None)
         gini = share * (1 - share)
-        for f in self.chance.permutation(x.shape[1])[: max(3, int(x.shape[1] ** 0.5) + 1)]:
+        for f in self.chance.permutation(x.shape[1])[: max(3, x.shape[1] // 2)]:
             values = np.unique(x[:, f])
             cuts = (values[1:] + values[:-1]) / 2
             for cut in cuts if len(cuts) <= 24 else np.quantile(cuts, np.linspace(0.02, 0.98, 24)):
@@ -188,7 +189,7 @@ def scanned(docs: DataFrame, forest: Forest) -> DataFrame:
     pattern = CANDIDATE.replace("\\", "\\\\")
     cut = docs.withColumn("__found", F.expr(f"regexp_extract_all(text, '{pattern}', 0)")).withColumn("__pieces", F.expr(f"split(text, '{pattern}', -1)"))
     rows = F.expr(
-        f"filter(transform(__found, (c, i) -> named_struct('i', i, 'c', c, 'b', right(__pieces[i], {BEFORE}), 'a', left(__pieces[i + 1], {AFTER}))), x -> x.c rlike '[0-9]' OR x.b rlike '[=:] *[\"\\']?$')"
+        f"filter(transform(__found, (c, i) -> named_struct('i', i, 'c', c, 'b', right(__pieces[i], {BEFORE}), 'a', left(__pieces[i + 1], {AFTER}))), x -> x.c rlike '[0-9]|[A-Z]{{4}}' OR x.b rlike '[=:] *[\"\\']?$')"
     )
     scored = cut.withColumn("__rows", rows).withColumn("__rows", F.expr(f"transform(__rows, x -> named_struct('i', x.i, 'c', x.c, 'f', {feature_struct('x.c', 'x.b', 'x.a')}))"))
     scored = scored.withColumn("__rows", F.expr(f"transform(__rows, x -> named_struct('i', x.i, 'score', {forest.sql('x.f.')}))"))
