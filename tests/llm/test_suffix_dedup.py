@@ -85,7 +85,7 @@ def test_strip_keeps_columns_and_characters(spark):
     shared = "é" * 40
     frame = spark.createDataFrame([(1, shared + "x", "a", 9, None), (2, "y" + shared + "z", None, 9, "k"), (3, None, "c", 0, "k")], "doc_id long, text string, __null2 string, n_chars long, chunk string")
     rows = {r.doc_id: r for r in M.strip_repeats(frame).collect()}
-    assert rows[2].text == "yz" and rows[2].n_chars == 2 and rows[2].__null2 is None and rows[2].chunk == "k"
+    assert rows[2].text == "yz" and rows[2].n_chars == 2 and rows[2]["__null2"] is None and rows[2].chunk == "k"
     times = frame.selectExpr("doc_id", "text", "timestamp'2024-01-02 03:04:05.123456' AS at", "array(doc_id) AS ids")
     assert {(r.at.microsecond, tuple(r.ids) == (r.doc_id,)) for r in M.strip_repeats(times).collect()} == {(123456, True)}
     assert rows[1].text == shared + "x" and rows[3].text is None and M.strip_repeats(frame).columns == frame.columns
