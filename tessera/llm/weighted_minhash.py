@@ -3,9 +3,10 @@
 Shingles of five words weigh tf * idf; document frequencies are counted over all documents by an exchange of packed
 hashes. Consistent weighted samples (with a pool of gamma and uniform variates addressed by the hash of the shingle)
 agree for two documents with the probability of their weighted Jaccard similarity. Bands of samples give
-candidate buckets; in each bucket every document is paired with two leaders, not with all others, and rows whose
-leaders did not verify are paired once more within finer buckets. Pairs are verified by exact weighted Jaccard
-similarity >= 0.8 and united to components. Equal word sequences are joined before, so copies cost nothing.
+candidate buckets; in each bucket every document is paired with two leaders first. Then all pairs of a bucket that are
+not in one component yet are compared, save those whose whole weights differ too much to be similar; large buckets are
+compared in blocks. Pairs are verified by exact weighted Jaccard similarity >= 0.8 and united to components. Equal word
+sequences are joined before, so copies cost nothing.
 
 The idf is damped: 1 + 0.25 * log((n + 1) / (df + 1)) / log(n + 1). A rare shingle then weighs up to a quarter more than
 one found everywhere, so the copies of a large group, whose common shingles are frequent, stay similar. The tf is damped
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize, partitions, read, release
 from tessera.llm.components import components
+from tessera.llm.embedding_dedup import local_roots
 from tessera.llm.exchange import answers, chunk_table, each_chunk, joined, part_of, received, send, unpack_arrays, pack_arrays
 from tessera.llm.ngrams import Batch, mix, pieces
 
@@ -34,8 +36,9 @@ WIDTH = 5
 SIMILAR = 0.8
 BANDS, ROWS = 10, 3
 DAMPING = 0.25
-#: Samples added to a bucket's key for the rows whose leaders did not verify.
-FINER = 2
+#: Buckets of more documents are compared in blocks, of at most about so many rows and so much weight.
+SMALL = 64
+BLOCK_ROWS, BLOCK_WEIGHT = 512, 250_000
 POOL_BITS = 16
 _SPACES = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -151,7 +154,7 @@ def coded(texts, found, n_buckets):
 
 
 def signatures(chunks: DataFrame, found: DataFrame, n_buckets: int, n_docs: int) -> DataFrame:
-    """doc_id, chunk, a digest of the word sequence and the samples of each document with words."""
+    """doc_id, chunk, a digest of the word sequence, the samples and the whole weight of each document with words."""
 
     def emit(chunk, ids, texts, found):
         sampler = worker_sampler()
@@ -172,11 +175,11 @@ def signatures(chunks: DataFrame, found: DataFrame, n_buckets: int, n_docs: int)
             values = sampler.samples(keys, weights, starts)
             digests = [hashlib.blake2b(rows[i][0].tobytes(), digest_size=16).digest() for i in part]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[part]), pa.array(np.full(len(part), chunk, np.int64)), pa.array(digests, pa.binary()), pa.array(values.view(np.int64).tolist(), pa.list_(pa.int64()))],
-                ["doc_id", "chunk", "digest", "samples"],
+                [pa.array(ids[part]), pa.array(np.full(len(part), chunk, np.int64)), pa.array(digests, pa.binary()), pa.array(values.view(np.int64).tolist(), pa.list_(pa.int64())), pa.array(np.add.reduceat(weights, starts))],
+                ["doc_id", "chunk", "digest", "samples", "weight"],
             )
 
-    return each_chunk(joined(chunks, found), emit, "doc_id long, chunk long, digest binary, samples array<long>")
+    return each_chunk(joined(chunks, found), emit, "doc_id long, chunk long, digest binary, samples array<long>, weight double")
 
 
 def worker_sampler() -> Sampler:
@@ -189,18 +192,152 @@ def worker_sampler() -> Sampler:
     return store["sampler"]
 
 
-def bucket_rows(documents: DataFrame, finer: int = 0) -> DataFrame:
-    """band, key and doc_id of each document and band; a finer key takes samples of the following bands too."""
-    total = BANDS * ROWS
-    keys = [F.xxhash64(*(F.element_at("samples", (b * ROWS + k) % total + 1) for k in range(ROWS + finer))) for b in range(BANDS)]
-    return documents.select("doc_id", F.posexplode(F.array(*keys)).alias("band", "key"))
+def band_keys():
+    """The bucket key of each band, as a column."""
+    return F.array(*(F.xxhash64(*(F.element_at("samples", b * ROWS + k + 1) for k in range(ROWS))) for b in range(BANDS)))
+
+
+def bucket_rows(documents: DataFrame) -> DataFrame:
+    """band, key, doc_id and weight of each document and band, of buckets with two documents at least."""
+    rows = documents.select("doc_id", "weight", F.posexplode(band_keys()).alias("band", "key"))
+    return rows.join(rows.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1"), ["band", "key"])
 
 
 def leader_pairs(rows: DataFrame) -> DataFrame:
-    """band, key, a, b: each document of a bucket with the bucket's least id and with its least hash of an id."""
-    leaders = rows.groupBy("band", "key").agg(F.min("doc_id").alias("first"), F.min(F.struct(F.xxhash64("doc_id", "band").alias("h"), "doc_id"))["doc_id"].alias("second"), F.count("*").alias("n")).where("n > 1").drop("n")
+    """a, b: each document of a bucket with the bucket's least id and with its least hash of an id."""
+    leaders = rows.groupBy("band", "key").agg(F.min("doc_id").alias("first"), F.min(F.struct(F.xxhash64("doc_id", "band").alias("h"), "doc_id"))["doc_id"].alias("second"))
     paired = rows.join(leaders, ["band", "key"])
-    return paired.select("band", "key", F.col("doc_id").alias("a"), F.explode(F.array_distinct(F.array("first", "second"))).alias("b")).where("a <> b")
+    return paired.select(F.col("doc_id").alias("a"), F.explode(F.array_distinct(F.array("first", "second"))).alias("b")).where("a <> b").distinct()
+
+
+def groups(links: DataFrame, hops: int = 2) -> DataFrame:
+    """doc_id and group, the least document within some hops: documents of a group are linked, if not all linked ones are in it."""
+    ends = links.select(F.col("a").alias("doc_id"), F.col("b").alias("other")).union(links.select("b", "a"))
+    found = ends.groupBy("doc_id").agg(F.least(F.min("other"), F.col("doc_id")).alias("group"))
+    for _ in range(hops - 1):
+        further = ends.join(found.select(F.col("doc_id").alias("other"), "group"), "other").groupBy("doc_id").agg(F.min("group").alias("further"))
+        found = found.join(further, "doc_id").select("doc_id", F.least("group", "further").alias("group"))
+    return found
+
+
+def mixed_rows(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of buckets that hold documents of two groups at least, with their group as component."""
+    placed = rows.join(groups(links).withColumnRenamed("group", "component"), "doc_id", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "doc_id"))
+    mixed = placed.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    return placed.join(mixed.select("band", "key"), ["band", "key"])
+
+
+def hub_pairs(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """a, b: each document of a bucket outside the component of the bucket's most linked document, with that document."""
+    degrees = links.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("degree"))
+    known = rows.join(degrees, "doc_id", "left")
+    hubs = known.groupBy("band", "key").agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), F.xxhash64("doc_id").alias("h"), "doc_id", "component")).alias("hub"))
+    return rows.join(hubs, ["band", "key"]).where("component <> hub.component").select(F.col("doc_id").alias("a"), F.col("hub.doc_id").alias("b")).distinct()
+
+
+def can_be(x, y, similar: float):
+    """Sets of weights x and y may have the similarity, which is at most the lesser weight over the greater."""
+    return F.least(x, y) >= F.lit(similar * (1 - 1e-9)) * F.greatest(x, y)
+
+
+def small_pairs(rows: DataFrame, similar: float) -> DataFrame:
+    """a, b: all pairs of buckets whose components are unlike and whose weights allow the similarity."""
+    x = rows.select("band", "key", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("weight").alias("wa"))
+    y = rows.select("band", "key", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("weight").alias("wb"))
+    return x.join(y, ["band", "key"]).where("a > b AND ca <> cb").where(can_be("wa", "wb", similar)).select("a", "b").distinct()
+
+
+def shared_weights(left: list, right: list, n_docs: int) -> np.ndarray:
+    """Sums of the lesser weights of the shared shingles, of each set of left with each of right."""
+    sets = left + right
+    owner = np.repeat(np.arange(len(sets)), [len(x[0]) for x in sets])
+    keys, counts, codes = (np.concatenate([x[k] for x in sets]) for k in range(3))
+    order = np.lexsort((counts, keys))
+    owner, keys, counts, codes = owner[order], keys[order], counts[order].astype(np.int64), codes[order]
+    # A step is a distinct count of a shingle; its weight is what it adds to the step below.
+    new_key = np.r_[True, keys[1:] != keys[:-1]]
+    new = new_key | np.r_[True, counts[1:] != counts[:-1]]
+    step = np.cumsum(new) - 1
+    total = weights_of(counts[new], codes[new], n_docs)
+    gain = np.where(new_key[new], total, total - np.r_[0.0, total[:-1]])
+    first = np.maximum.accumulate(np.where(new_key[new], np.arange(len(total)), 0))
+    spans = step - first[step] + 1
+    entry = np.repeat(np.arange(len(step)), spans)
+    column = np.repeat(first[step], spans) + np.arange(len(entry)) - np.repeat(np.cumsum(spans) - spans, spans)
+    row = owner[entry]
+    both = (np.bincount(column[row < len(left)], minlength=len(total)) > 0) & (np.bincount(column[row >= len(left)], minlength=len(total)) > 0)
+    place = np.cumsum(both) - 1
+    row, column = row[both[column]], column[both[column]]
+    column, value = place[column], np.sqrt(gain[column])
+    order = np.argsort(column, kind="stable")
+    row, column, value = row[order], column[order], value[order]
+    out = np.zeros((len(left), len(right)))
+    for start in range(0, int(both.sum()), 2048):
+        part = slice(*np.searchsorted(column, [start, start + 2048]))
+        dense = np.zeros((len(sets), 2048))
+        dense[row[part], column[part] - start] = value[part]
+        out += dense[: len(left)] @ dense[len(left) :].T
+    return out
+
+
+def block_links(rows: DataFrame, documents: DataFrame, sets: DataFrame, n_docs: int, similar: float) -> DataFrame:
+    """Links a, b among all pairs of unlike components in the buckets, block by block.
+
+    Rows outside a bucket's largest component meet all others; blocks are levels of weight (similar texts lie in one
+    level or in two adjacent ones), salted so that each is bounded in rows and shingles. A pair of documents is compared in
+    the first band that they share only.
+    """
+    largest = rows.groupBy("band", "key", "component").agg(F.count("*").alias("n")).groupBy("band", "key").agg(F.max(F.struct("n", "component"))["component"].alias("main"))
+    level = F.floor(F.log("weight") / F.lit(-np.log(similar) * (1 + 1e-9))).cast("int")
+    placed = rows.drop("n").join(largest, ["band", "key"]).withColumn("rest", F.col("component") != F.col("main")).withColumn("level", level).drop("main")
+    place = ["band", "key", "level", "rest"]
+    sizes = placed.groupBy(*place).agg(F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("weight") / BLOCK_WEIGHT)).alias("blocks"))
+    placed = placed.join(sizes, place).withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks")).drop("blocks")
+    blocks = sizes.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
+    one = blocks.where("rest").select("band", "key", F.col("level").alias("l1"), F.col("block").alias("b1"))
+    two = blocks.select("band", "key", F.col("level").alias("l2"), F.col("block").alias("b2"), F.col("rest").alias("r2"))
+    met = one.join(two, ["band", "key"]).where("abs(l1 - l2) <= 1 AND (NOT r2 OR l1 < l2 OR (l1 = l2 AND b1 <= b2))")
+    met = met.withColumn("pair", F.struct("band", "key", "l1", "b1", "l2", "b2", "r2"))
+    same = F.expr("r2 AND l1 = l2 AND b1 = b2")
+    lefts = met.select("pair", "band", "key", F.col("l1").alias("level"), F.lit(True).alias("rest"), F.col("b1").alias("block"), F.when(same, 2).otherwise(0).alias("side"))
+    rights = met.where(~same).select("pair", "band", "key", F.col("l2").alias("level"), F.col("r2").alias("rest"), F.col("b2").alias("block"), F.lit(1).alias("side"))
+    rows = placed.join(lefts.union(rights), [*place, "block"]).select(F.xxhash64("pair").alias("pair"), "side", "band", "doc_id", "component", "weight")
+    rows = rows.join(documents.select("doc_id", band_keys().alias("keys")), "doc_id").join(sets, "doc_id")
+
+    def compare(table: pa.Table) -> pa.Table:
+        side, ids, component, weight = (table.column(c).to_numpy() for c in ("side", "doc_id", "component", "weight"))
+        band = table.column("band")[0].as_py()
+        keys = np.array(table.column("keys").to_pylist(), np.int64).reshape(len(ids), BANDS)
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        need = component[left][:, None] != component[right]
+        x, y = weight[left][:, None], weight[right]
+        need &= np.minimum(x, y) >= similar * (1 - 1e-9) * np.maximum(x, y)
+        if len(side) and side[0] == 2:
+            need &= left[:, None] < right
+        for k in range(band):
+            need &= keys[left, k][:, None] != keys[right, k]
+        i, j = np.flatnonzero(need.any(1)), np.flatnonzero(need.any(0))
+        left, right, need = left[i], right[j], need[np.ix_(i, j)]
+        packed = table.column("packed")
+        held = {k: unpack_arrays(packed[k].as_py()) for k in np.union1d(left, right).tolist()}
+        close = np.zeros(need.shape, bool)
+        if need.sum() * 32 < need.size:
+            unsure = need
+        elif need.size:
+            both = shared_weights([held[k] for k in left.tolist()], [held[k] for k in right.tolist()], n_docs)
+            ratio = both / (weight[left][:, None] + weight[right] - both)
+            close, unsure = need & (ratio >= similar), need & (np.abs(ratio - similar) < 1e-6)
+        else:
+            unsure = need
+        for i, j in np.argwhere(unsure).tolist():
+            close[i, j] = weighted_jaccard(held[int(left[i])], held[int(right[j])], n_docs) >= similar
+        i, j = np.nonzero(close)
+        root = local_roots(len(ids), left[i], right[j])
+        child = np.flatnonzero(root != np.arange(len(ids)))
+        return pa.table({"a": ids[child], "b": ids[root[child]]})
+
+    return rows.groupBy("pair").applyInArrow(compare, "a long, b long")
 
 
 def weighted_sets(chunks: DataFrame, found: DataFrame, wanted: DataFrame, n_buckets: int) -> DataFrame:
@@ -256,27 +393,29 @@ def near_documents(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     found = materialize(frequencies(chunks, n_buckets), codec="none", compact=True)
     signed = materialize(signatures(chunks, found, n_buckets, n_docs))
     # Equal word sequences: one of them goes on.
-    firsts = materialize(signed.groupBy("digest").agg(F.min(F.struct("doc_id", "chunk", "samples")).alias("r")).select("digest", "r.*"), compact=True)
+    firsts = materialize(signed.groupBy("digest").agg(F.min(F.struct("doc_id", "chunk", "samples", "weight")).alias("r")).select("digest", "r.*"), compact=True)
     copies = signed.select("doc_id", "digest").join(firsts.select("digest", F.col("doc_id").alias("first")), "digest").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
 
-    rows = materialize(leader_pairs(bucket_rows(firsts)), compact=True)
-    pairs = rows.select("a", "b").distinct()
-    links = materialize(check_pairs(chunks, found, firsts, pairs, n_buckets, n_docs, similar), compact=True)
-    # Rows of a bucket none of whose leaders verified meet again in finer buckets.
-    failed = rows.join(links.withColumn("good", F.lit(True)), ["a", "b"], "left").groupBy("band", "a").agg(F.coalesce(F.max("good"), F.lit(False)).alias("good")).where("NOT good")
-    again = bucket_rows(firsts, FINER).join(failed.select("band", F.col("a").alias("doc_id")), ["band", "doc_id"], "left_semi")
-    pairs = materialize(leader_pairs(again).select("a", "b").distinct().join(rows.select("a", "b").distinct(), ["a", "b"], "left_anti"), compact=True)
-    more = check_pairs(chunks, found, firsts, pairs, n_buckets, n_docs, similar) if pairs.head(1) else links.limit(0)
-    found_classes = components(links.union(more).union(copies))
+    rows = materialize(bucket_rows(firsts), compact=True)
+    wanted = firsts.select("doc_id", "chunk").join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
+    sets = materialize(weighted_sets(chunks, found, wanted, n_buckets), codec="none", compact=True)
+    tried = leader_pairs(rows)
+    links = materialize(verified(tried, sets, n_docs, similar), compact=True)
+    mixed = materialize(mixed_rows(rows, links), compact=True)
+    large = F.col("n") > SMALL
+    if mixed.where(large).head(1):
+        # Large buckets: the most linked document is a third leader, so that most rows of a group are united.
+        links = links.union(materialize(verified(hub_pairs(mixed.where(large), links), sets, n_docs, similar), compact=True))
+        mixed = materialize(mixed_rows(rows, links), compact=True)
+        links = links.union(materialize(block_links(mixed.where(large), firsts, sets, n_docs, similar), compact=True))
+    pairs = materialize(small_pairs(mixed.where(~large), similar).join(tried, ["a", "b"], "left_anti"), compact=True)
+    if pairs.head(1):
+        links = links.union(verified(pairs, sets, n_docs, similar))
+    found_classes = components(links.union(copies))
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(found_classes, F.col("doc_id") == F.col("vertex"), "left")
     return out.select("doc_id", F.coalesce("component", "doc_id").alias("class_id"), F.coalesce(F.col("component") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def check_pairs(chunks, found, firsts, pairs, n_buckets, n_docs, similar):
-    wanted = firsts.select("doc_id", "chunk").join(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id", "left_semi")
-    return verified(pairs, materialize(weighted_sets(chunks, found, wanted, n_buckets), codec="none", compact=True), n_docs, similar)
-
-
 def keep_one(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """One document of each class, with all columns; of rows that repeat a kept doc_id all stay."""
     gone = near_documents(docs, similar).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()

@@ -87,3 +87,54 @@ def test_a_line_repeated_in_unlike_texts_joins_nothing(spark):
     r = random.Random(4)
     rows = [(i, " ".join(f"w{r.randrange(9000)}" for _ in range(90)) + " again and again" * 300) for i in range(40)]
     assert all(x.kept for x in M.near_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+
+
+def star(r, copies, at):
+    """Copies of one text with 4 scattered edits each; the text itself at place `at` of the ids."""
+    base = [f"w{r.randrange(3000)}" for _ in range(300)]
+    rows = []
+    for i in range(copies + 1):
+        words = list(base)
+        for k in range(4 if i != at else 0):
+            words[k * 75 + 10 + r.randrange(55)] = f"new{r.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def bucket_classes(spark, rows):
+    """Classes by the pairs that share a bucket and are similar, by plain loops over the operator's own samples."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    n = 3 * M.partitions(spark)
+    chunks = M.chunk_table(docs)
+    signed = M.signatures(chunks, M.materialize(M.frequencies(chunks, n)), n, len(rows)).collect()
+    keys = {x.doc_id: [tuple(x.samples[b * M.ROWS : b * M.ROWS + M.ROWS]) for b in range(M.BANDS)] for x in signed}
+    root = {i: i for i, _ in rows}
+    for (a, b), s in similarity(rows, len(rows)).items():
+        if s >= M.SIMILAR and any(x == y for x, y in zip(keys[a], keys[b])):
+            low, high = sorted((root[a], root[b]))
+            root = {i: low if x == high else x for i, x in root.items()}
+    return root
+
+
+@pytest.mark.parametrize("small", [64, 4])
+def test_original_in_the_middle_of_the_ids_meets_all_its_copies(spark, monkeypatch, small):
+    monkeypatch.setattr(M, "SMALL", small, raising=False)
+    monkeypatch.setattr(M, "BLOCK_ROWS", 16, raising=False)
+    rows = star(random.Random(3), 60, 30)
+    got = {x.doc_id: x.class_id for x in M.near_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == bucket_classes(spark, rows)
+
+
+def test_sums_of_shared_weights_equal_single_pairs():
+    r = np.random.default_rng(5)
+    codes = r.integers(0, 60, 200).astype(np.uint8)
+    sets = []
+    for _ in range(9):
+        k = np.sort(r.choice(200, 120, replace=False))
+        sets.append([k.astype(np.uint64), r.integers(1, 5, 120).astype(np.uint32), codes[k]])
+    whole = [M.weights_of(x[1], x[2], 500).sum() for x in sets]
+    got = M.shared_weights(sets[:4], sets[4:], 500)
+    for i in range(4):
+        for j in range(5):
+            both = got[i, j]
+            assert both / (whole[i] + whole[4 + j] - both) == pytest.approx(M.weighted_jaccard(sets[i], sets[4 + j], 500))
