@@ -2,8 +2,11 @@
 
 In each pass a vector's key is the concatenated signs of random projections. The vectors of one label are ordered
 lexicographically by key, each is compared with the neighbours in a bounded window before it, and pairs of cosine
->= the threshold are united across passes. The number of passes follows from the largest label, so that a pair
-at the threshold is missed with probability MISS at most.
+>= the threshold are united across passes. Windows are short where vectors are dense and end with their range partition, so
+they only unite most vectors early. What is left is decided in cells, the vectors of a label that share the first bits of
+a key: all pairs of a cell that are not in one component yet are compared, in salted blocks. The number of cell passes
+follows from these bits alone, so that a pair at the threshold is missed with probability MISS at most whatever
+the density; a label of at most 2 * CELL vectors is one cell, compared whole.
 
 Components then get exact link counts without listing pairs. Vectors within half the threshold's angle of their
 component's pivot (its least id) are all linked with one another, by the triangle inequality on angles: they are
@@ -34,6 +37,8 @@ BITS = 48
 MISS = 1e-4
 #: Vectors in a block of the exact comparison.
 BLOCK = 1024
+#: Vectors in a cell if keys are evenly spread, and the most in a block of a cell.
+CELL, CELL_BLOCK = 1024, 2048
 
 
 def passes_for(vectors: int, threshold: float = THRESHOLD, width: int = WIDTH, miss: float = MISS) -> int:
@@ -43,6 +48,13 @@ def passes_for(vectors: int, threshold: float = THRESHOLD, width: int = WIDTH, m
     return max(4, math.ceil(math.log(miss) / math.log(1 - meet)))
 
 
+def cells_for(vectors: int, threshold: float = THRESHOLD, miss: float = MISS) -> tuple[int, int]:
+    """Key bits of a cell, and the passes in which a pair at the threshold shares a cell once but for the chance to miss."""
+    bits = int(math.log2(max(1.0, vectors / CELL)))
+    meet = (1 - math.acos(threshold) / math.pi) ** bits
+    return bits, 1 if bits == 0 else math.ceil(math.log(miss) / math.log(1 - meet))
+
+
 def sound_vectors(vectors: DataFrame) -> DataFrame:
     """vec_id, label and the unit vector as bytes of doubles, of vectors that can link."""
     fine = (F.size("embedding") > 0) & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("embedding", lambda x: x != 0)
@@ -134,6 +146,39 @@ def neighbour_links(sorted_rows: DataFrame, threshold: float = THRESHOLD, width:
     return sorted_rows.mapInArrow(apply, "a long, b long")
 
 
+def cell_links(units: DataFrame, found: DataFrame, largest: int, threshold: float = THRESHOLD) -> DataFrame:
+    """Links a, b among all pairs of a cell that are of unlike components: rows outside a cell's largest component meet all others."""
+    bits, passes = cells_for(largest, threshold)
+    rows = keyed(units, passes).select("pass", "label", F.shiftrightunsigned("key", BITS - bits).alias("cell"), "vec_id")
+    rows = rows.join(found.withColumnRenamed("vertex", "vec_id"), "vec_id", "left").withColumn("component", F.coalesce("component", "vec_id"))
+    rows = materialize(rows, compact=True)
+    cell = ["pass", "label", "cell"]
+    parts = rows.groupBy(*cell, "component").agg(F.count("*").alias("n")).groupBy(*cell).agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n"))
+    placed = rows.join(parts.where("n > main.n").select(*cell, F.col("main.component").alias("main")), cell).withColumn("rest", F.col("component") != F.col("main")).drop("main")
+    sizes = placed.groupBy(*cell, "rest").agg(F.ceil(F.count("*") / CELL_BLOCK).alias("blocks"))
+    placed = placed.join(sizes, [*cell, "rest"]).withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks")).drop("blocks")
+    blocks = sizes.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
+    one = blocks.where("rest").select(*cell, F.col("block").alias("b1"))
+    met = one.join(blocks.select(*cell, F.col("block").alias("b2"), F.col("rest").alias("r2")), cell).where("NOT r2 OR b1 <= b2")
+    met = met.withColumn("pair", F.xxhash64(*cell, "b1", "b2", "r2"))
+    same = F.expr("r2 AND b1 = b2")
+    lefts = met.select(*cell, F.lit(True).alias("rest"), F.col("b1").alias("block"), "pair", F.when(same, 2).otherwise(0).alias("side"))
+    rights = met.where(~same).select(*cell, F.col("r2").alias("rest"), F.col("b2").alias("block"), "pair", F.lit(1).alias("side"))
+    rows = placed.join(lefts.union(rights), [*cell, "rest", "block"]).select("pair", "side", "vec_id", "component").join(units.select("vec_id", "unit"), "vec_id")
+
+    def compare(table: pa.Table) -> pa.Table:
+        side, ids, component = (table.column(c).to_numpy() for c in ("side", "vec_id", "component"))
+        x = np.frombuffer(b"".join(table.column("unit").to_pylist()), np.float64).reshape(len(ids), -1)
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        close = (x[left] @ x[right].T >= threshold) & (component[left][:, None] != component[right])
+        i, j = np.nonzero(close)
+        root = local_roots(len(ids), left[i], right[j])
+        child = np.flatnonzero(root != np.arange(len(ids)))
+        return pa.table({"a": ids[child], "b": ids[root[child]]})
+
+    return rows.groupBy("pair").applyInArrow(compare, "a long, b long")
+
+
 def far_counts(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id and its links with or as a vector far from its pivot; members of components that have such vectors."""
     sizes = members.groupBy("component", "core").agg(F.count("*").alias("n"))
@@ -168,6 +213,8 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     order = ["pass", "label", "key", F.xxhash64("vec_id")]  # the last deals equal keys out
     ranged = rows.repartitionByRange(max(2, partitions(spark)), *order).sortWithinPartitions(*order)
     found = components(neighbour_links(ranged, threshold))
+    more = cell_links(units, found, largest, threshold)
+    found = components(found.select(F.col("vertex").alias("a"), F.col("component").alias("b")).union(more))
 
     members = found.join(units, F.col("vertex") == F.col("vec_id")).select("vec_id", "component", "unit")
     pivots = members.where("vec_id = component").select("component", F.col("unit").alias("pivot"))

@@ -46,3 +46,23 @@ def test_awkward_vectors(spark):
 
 def test_passes_follow_the_size():
     assert 4 <= M.passes_for(100) < M.passes_for(100_000) < 200
+
+
+def brute_components(x, ids):
+    """The least id that each vector reaches, and its links, of one label."""
+    x = x.astype(np.float32).astype(float)
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    close = x @ x.T >= M.THRESHOLD
+    np.fill_diagonal(close, False)
+    left, right = np.nonzero(close)
+    root = M.local_roots(len(x), left, right)
+    return {ids[i]: (int(close[i].sum()), ids[root[i]], root[i] == i) for i in range(len(x))}
+
+
+def test_dense_cloud_of_thousands_equals_brute_force(spark):
+    r = np.random.default_rng(6)
+    centre = r.standard_normal(64)
+    x = centre / np.sqrt(centre @ centre) * 8 + 0.40 * r.standard_normal((3000, 64))
+    expected = brute_components(x, list(range(3000)))
+    assert 500 < sum(n > 0 for n, _, _ in expected.values()) < 2900
+    assert run(spark, [(i, 0, e) for i, e in enumerate(x.astype(np.float32).tolist())]) == expected
