@@ -138,23 +138,44 @@ class Engine:
     def _snapshot(self, name: str, rows: DataFrame) -> DataFrame:
         return self.store.replace(f"run_{name}", rows)
 
-    def _save(self, rows: DataFrame) -> None:
-        """Rows with result and o (the outcome) into the stored results."""
+    def _save(self, rows: DataFrame, settled: list[str] | None = None) -> None:
+        """Rows with result and o (the outcome) into the stored results; settled names the logged outcomes that they hold."""
+        self._drop_settled()
         saved = rows.select("cache_key", F.col("name").alias("input_name"), "entity_type", "o.status", "result", "o.last_error", F.current_timestamp().alias("updated_at"), "o.increment")
-        self.store.replace("results", state.upsert(self.stored(), saved))
+        self.store.replace("results", state.upsert(self.stored(), saved), settled=settled or [])
+        self._drop_settled()
+
+    def _drop_settled(self) -> None:
+        """Delete logged outcomes that the stored results hold, also after a stop between the two."""
+        self.store.drop((self.store.manifest("results") or {}).get("settled", []))
 
     def _search(self, pending: DataFrame) -> int:
-        """Batches are asked one by one, their outcomes appended as files before the next is asked; at most the run's calls are made."""
+        """Batches are asked one by one, their outcomes appended as files before the next is asked; at most the run's calls are made.
+
+        Outcomes that a stopped run left in these files are taken up, and their entities not asked again.
+        """
         c = self.config
-        rows = state.batches(pending, c.llm_batch_size).select("batch_no", "row_no", "cache_key", "name", "entity_type")
+        logged = {name: [json.loads(x) for x in lines] for name, lines in self.store.logged("asked").items()}
+        left = self.spark.createDataFrame([(name, o["cache_key"]) for name, found in logged.items() for o in found], "file string, cache_key string")
+        known = left.join(pending.select("cache_key"), "cache_key", "left_semi").collect()
+        keys, settled = {r["cache_key"] for r in known}, sorted({r["file"] for r in known})
+        outcomes: list[dict] = list({o["cache_key"]: o for name in settled for o in logged[name] if o["cache_key"] in keys}.values())
+
+        def save(batch: list[dict]) -> None:
+            outcomes.extend(batch)
+            lines = [json.dumps(o, ensure_ascii=False) for o in batch if o["event"] != "quota"]  # deferred ones were not asked
+            if lines:
+                settled.append(self.store.append("asked", lines))
+
+        fresh = pending.join(left.select("cache_key").distinct(), "cache_key", "left_anti")
+        rows = state.batches(fresh, c.llm_batch_size).select("batch_no", "row_no", "cache_key", "name", "entity_type")
         most = (c.llm_max_calls_per_run or c.llm_daily_budget) * c.llm_batch_size
         # What a run can ask is bounded by its calls; entities behind that are deferred without being sent to the driver.
         asked = rows.where(F.col("batch_no") * c.llm_batch_size < most).orderBy("row_no").collect()
         groups: dict[int, list[dict]] = {}
         for r in asked:
             groups.setdefault(r["batch_no"], []).append({"id": r["cache_key"], "name": r["name"], "type": r["entity_type"]})
-        outcomes: list[dict] = []
-        answered = spend([groups[k] for k in sorted(groups)], self.searcher, outcomes.extend)
+        answered = spend([groups[k] for k in sorted(groups)], self.searcher, save)
         lines = [json.dumps(o, ensure_ascii=False) for o in outcomes]
         made = self.spark.createDataFrame([(x,) for x in lines], "line string").select(F.from_json("line", OUTCOME).alias("o")).select("o.*")
         joined = pending.join(made, "cache_key", "left").withColumn("event", F.coalesce("event", F.lit("quota")))
@@ -162,7 +183,7 @@ class Engine:
         joined = joined.withColumn("result", F.when(F.col("event") == "item", merged).when(F.col("event") == "missing", F.col("result").withField("search_used", F.col("search_used"))).otherwise(F.col("result")).cast(RESULT))
         final = self._finalized(joined)
         final = final.withColumn("o", state.outcome(F.col("event"), F.size("result.links"), F.col("error")))
-        self._save(final)
+        self._save(final, settled)
         return answered
 
     def resolve_one(self, name: str, entity_type: str = "unknown", entity_id: str = "1") -> dict:

@@ -65,6 +65,33 @@ class Store:
     def count(self, table: str) -> int:
         return (self.manifest(table) or {}).get("rows", 0)
 
+    def append(self, log: str, lines: list[str]) -> str:
+        """Lines as a new file of a log; it shows whole or not at all. The file's name."""
+        name = f"{log}/{uuid.uuid4().hex}.jsonl"
+        new = self._path(f"{name}.new")
+        stream = self.fs.create(new, True)
+        stream.write(bytearray("".join(x + "\n" for x in lines).encode()))
+        stream.close()
+        self.fs.rename(new, self._path(name))
+        return name
+
+    def logged(self, log: str) -> dict[str, list[str]]:
+        """The lines of each file of a log."""
+        found = {}
+        for status in self.fs.globStatus(self._path(f"{log}/*.jsonl")) or []:
+            stream = self.fs.open(status.getPath())
+            try:
+                text = bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+            finally:
+                stream.close()
+            found[f"{log}/{status.getPath().getName()}"] = text.split("\n")[:-1]
+        return found
+
+    def drop(self, names: list[str]) -> None:
+        """Delete files of logs."""
+        for name in names:
+            self.fs.delete(self._path(name), False)
+
     def expire(self, table: str) -> None:
         """Forget when the table was written, so that it is no longer fresh."""
         found = self.manifest(table)

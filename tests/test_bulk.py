@@ -86,6 +86,22 @@ def test_states_quota_and_second_run(spark, tmp_path, entities):
     assert 'Тестов Пётр Ильич: ["https://t.me/test","https://test.example.org/"]' in printed
 
 
+def test_answers_outlive_a_stopped_run(spark, tmp_path):
+    def stop(batch):
+        raise KeyboardInterrupt
+
+    rows = spark.createDataFrame([(str(i), name, "person", i) for i, name in enumerate(["Никто", "Некто", "Кто"])], "entity_id string, name string, entity_type string, row_no long")
+    first = engine(spark, tmp_path, [lambda e: answer(item(e[0]["id"], "https://x.com/n")), stop])
+    with pytest.raises(KeyboardInterrupt):
+        first.run(rows)
+    asked = []
+    again = engine(spark, tmp_path, [lambda e: asked.append(e[0]["name"]) or answer(item(e[0]["id"], "https://x.com/m"))] * 2)
+    stats, out = again.run(rows)
+    got = {r["name"]: r for r in out.collect()}
+    assert {r["status"] for r in got.values()} == {"success"} and sorted(asked) == ["Кто", "Некто"] and stats.llm_batches == 2
+    assert [x["url"] for x in got["Никто"]["result"]["links"]] == ["https://x.com/n"] and again.store.logged("asked") == {}
+
+
 def test_transient_errors_are_tried_again(spark, tmp_path):
     rows = [("1", "Никто", "person", 1)]
     made = engine(spark, tmp_path, [TimeoutError(), lambda e: answer(item(e[0]["id"], "https://x.com/n"))])
