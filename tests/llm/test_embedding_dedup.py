@@ -66,3 +66,19 @@ def test_dense_cloud_of_thousands_equals_brute_force(spark):
     expected = brute_components(x, list(range(3000)))
     assert 500 < sum(n > 0 for n, _, _ in expected.values()) < 2900
     assert run(spark, [(i, 0, e) for i, e in enumerate(x.astype(np.float32).tolist())]) == expected
+
+
+def test_pairs_across_range_partitions_are_met(spark):
+    r = np.random.default_rng(8)
+    a = r.standard_normal((40, 64))
+    a /= np.sqrt((a * a).sum(1))[:, None]
+    b = r.standard_normal((40, 64))
+    b -= (a * b).sum(1)[:, None] * a
+    b /= np.sqrt((b * b).sum(1))[:, None]
+    x = np.concatenate([a, 0.935 * a + np.sqrt(1 - 0.935**2) * b])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert run(spark, [(i, 0, e) for i, e in enumerate(x.astype(np.float32).tolist())]) == brute_components(x, list(range(80)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
