@@ -35,6 +35,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir("/tmp/checkpoints")
         folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
@@ -67,6 +69,18 @@ def drop_tables(spark: SparkSession) -> None:
         fs.delete(found.getPath(), True)
 
 
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """The names, each made unlike every one of the columns (Spark's names differ by more than case)."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -71,3 +71,100 @@ def test_long_text_and_empty_table(spark, forest, no_docs):
     text = "word " * 200_000 + f'token = "{KEY}" ' + "x1" * 50_000
     assert [(d, s) for d, s, _, _ in found(spark, forest, [text])][:1] == [(0, text.index(KEY))]
     assert S.findings(no_docs, forest).collect() == []
+    assert S.findings(no_docs).collect() == [] and S.dictionary(no_docs) == ()
+
+
+#: Forms that the generator of labelled findings does not make: text with one value between bars, and whether it is a secret.
+EVALUATION = [
+    ('export DB_PASSWORD=|Xk7#pq2!Lw|; run', 1),
+    ("psql -U me password: |horse7battery42|", 1),
+    ('{"client_secret":"|9fQz-1kLmT0_aa83bCd|"}', 1),
+    ('the new password is "|kjhgfdsaqwertzuiopmnbvcxylkj|" until monday', 1),
+    (f"AWS_SECRET_ACCESS_KEY=|{KEY}| and so on", 1),
+    (f'STRIPE_LIVE_SECRET_TOKEN = "|{KEY}|"', 1),
+    (f"curl -H 'Authorization: Bearer |{KEY}|'", 1),
+    (f"git checkout |{KEY}| of the build", 0),
+    ("note: |everything| was said", 0),
+    ("width=|1000000000| pixels", 0),
+    ("the |antidisestablishmentarianism| of old", 0),
+    ("card |4111111111111111| was charged", 0),
+    ("api_key: |your_api_key_here_000|", 0),
+    ("see https://example.org/|static/index/article/page| now", 0),
+    ("|================================|", 0),
+    ("sha256 |" + KEY + KEY[:24] + "| of the file", 0),
+]
+
+
+def test_forms_unlike_the_training_forms(spark, forest):
+    got = found(spark, forest, [text.replace("|", "") for text, _ in EVALUATION])
+    hits = {(d, s) for d, s, _, _ in got}
+    want = {(k, text.index("|")) for k, (text, label) in enumerate(EVALUATION) if label}
+    assert len(hits ^ want) <= 1 and len(want - hits) <= 1
+
+
+def features_of(c, b, a, words):
+    """The features by plain Python."""
+    share = lambda pattern: len(re.sub(pattern, "", c)) / len(c)
+    count = lambda pattern, text: len(re.findall(pattern, text))
+    some = lambda pattern, text: bool(re.search(pattern, text))
+    near = lambda names: next((n for n, p in ((2, f"({'|'.join(names)})[^ ]*[^A-Za-z]{{0,6}}$"), (1, f"({'|'.join(names)})")) if some(p, b.lower())), 0)
+    plain = near(S.PLAIN_WORDS)
+    return {
+        "length": len(c),
+        "digits": share("[^0-9]"),
+        "uppers": share("[^A-Z]"),
+        "hexes": share("[^0-9a-f]"),
+        "marks": share("[A-Za-z0-9]"),
+        "turns": sum(count(p, c) for p in ("[0-9][A-Za-z]", "[A-Za-z][0-9]", "[a-z][A-Z]", "[A-Z][a-z]")) / len(c),
+        "rare_pairs": count("[bcdfghjklmnpqrstvwxz]{3}", c.lower()) / len(c),
+        "words": 1 - len(re.sub("|".join(words) or "(?!)", "", c.lower())) / len(c),
+        "slashes": c.count("/"),
+        "in_path": int(some(r"(://|[/\\.]|www)[^ ]*$", b) or some("^[/.][A-Za-z]", a)),
+        "assigned": int(some("[A-Za-z_\\-][\"']? *(=|:|=>|:=) *[\"']?$", b)),
+        "quoted": int(some("[\"'`]$", b) and some("^[\"'`]", a)),
+        "secret_near": near(S.SECRET_WORDS),
+        "plain_near": plain or int(some(f"({'|'.join(S.PLAIN_WORDS)})", a.lower())),
+        "known_form": int(some("^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk[-_](live|test)?[-_]?[A-Za-z0-9]{20,}|xox[bpars]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{30,}|eyJ[A-Za-z0-9_-]{10,})", c)),
+    }
+
+
+def test_scan_equals_a_plain_scan(spark, sample):
+    import regex
+
+    words = S.dictionary(sample)
+    counted = {}
+    for r in sample.collect():
+        for w in {w for w in re.split("[^a-z]+", (r.text or "").lower()) if 4 <= len(w) <= 12}:
+            counted[w] = counted.get(w, 0) + 1
+    assert list(words) == sorted(sorted(counted, key=lambda w: (-counted[w], w))[: S.WORDS], key=lambda w: (-len(w), w))
+    forest = S.train(spark, words=words)
+    pattern = regex.compile("(?V1)" + S.CANDIDATE.replace("&&[^", "--[").replace(",;]]", ",;]]"))
+    texts = [r.text or "" for r in sample.collect()][:150] + [t.replace("|", "") for t, _ in EVALUATION] + [f'secret="{KEY}",token="{KEY[::-1]}" AAAAAAAAAAAAAAAAAA=x  é{KEY}', f"a: bcdefghijk b= cdefghijkl {KEY}== {KEY}=", "x" * 40 + "é " + "y" * 40]
+    want = []
+    for k, text in enumerate(texts):
+        for m in pattern.finditer(text):
+            f = features_of(m[0], text[max(0, m.start() - S.BEFORE) : m.start()], text[m.end() : m.end() + S.AFTER], words)
+            score = forest.predict([f[n] for n in S.FEATURES])
+            if score >= S.CONFIRMED:
+                want.append((k, m.start(), len(m[0]), hashlib.sha256(m[0].encode()).hexdigest()))
+    assert found(spark, forest, texts) == sorted(want) and len(want) > 8
+
+
+def test_repeated_rows_and_null_ids_have_findings_each(spark, forest):
+    text = f'some words token = "{KEY}" and more'
+    frame = spark.createDataFrame([(1, text), (1, text), (None, text), (None, text)], "doc_id long, text string").repartition(1)
+    assert sorted((r.doc_id or 0, r.start, r.length) for r in S.findings(frame, forest).collect()) == [(0, text.index(KEY), 40)] * 2 + [(1, text.index(KEY), 40)] * 2
+
+
+def test_redaction_leaves_columns_of_any_name(spark, forest):
+    names = ["found", "pieces", "secrets", "at", "found_", "Row", "x.y", "i"]
+    frame = spark.createDataFrame([(1, f'a token = "{KEY}" b', *names)], "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    (row,) = S.redact(frame, forest).collect()
+    assert row.text == 'a token = "[secret]" b' and list(row)[2:] == names
+
+
+def test_a_sample_of_labelled_findings_is_drawn_from_all(spark, monkeypatch):
+    monkeypatch.setattr(S, "TRAIN_ROWS", 200)
+    rows = sorted(S.labelled_findings(600), key=lambda r: r[3])  # a prefix would hold one label only
+    forest = S.train(spark, rows)
+    assert any(isinstance(tree, tuple) for tree in forest.trees)
