@@ -3,17 +3,20 @@
 A page is cut into blocks at block-level tags. Pass one looks at each block alone: its length, the density of
 stop words and the density of linked characters make it good, bad, near-good or short. Pass two gives near-good
 and short blocks the label of their nearest decided neighbours. Marked containers (menus, headers, footers,
-sidebars, notices, adverts, forms, comments) are bad as a whole; where a page marks its article, blocks outside
-are bad and the blocks inside start as near-good at least, so that a short line of an article keeps its label.
+sidebars, notices, adverts, forms, comments) are a veto: their blocks are bad as a whole. Where a page marks its article, the
+blocks outside are bad too, and the two passes decide among the blocks inside: there a lack of stop words or a
+notice leaves a block undecided instead of bad (lists, code and other languages belong to articles), and the article's ends count as good.
 
 Defined results: null, empty or markup-only html gives an empty text; unclosed tags end with their container;
-repeated rows count each; pages of any length are handled whole, in time proportional to it.
+repeated rows count each; a null page_id or url stays null; an empty table gives an empty result; other columns of the input are
+ignored; pages of any length are handled whole, in time proportional to it.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +50,7 @@ BAD_NAME = re.compile(
     r"|cookies?|consent|gdpr|notices?|announcements?|alerts?|warning|toast|flash|paywall|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|comments?|comment-\w+|disqus|replies|reply|respond|responses|feedback|discussion|pagination|pager|toolbar|copyright|legal|disclaimer|skip|complementary|contentinfo|navigation|search)(?=$|[\s_-])",
     re.IGNORECASE,
 )
-TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<!--|<[!?]")
+TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^<>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<!--|<[!?]")
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 CLOSING = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in SILENT}
 HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
@@ -68,6 +71,8 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool, bool]]:
     """(text, linked characters, in a bad container, in a marked article, heading) of each block with text."""
     out: list[tuple[str, int, bool, bool, bool]] = []
     stack: list[tuple[str, bool, bool]] = []  # open block elements: name, bad, article
+    open_names: Counter[str] = Counter()
+    unclosed: set[str] = set()  # silent elements that no later tag closes
     bad = inside = 0
     links = 0
     block = Block(False, False, False)
@@ -81,6 +86,13 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool, bool]]:
                 out.append((text, block.linked, block.bad, block.inside, block.heading))
         block = Block(bad > 0, inside > 0, any(x[0] in HEADINGS for x in stack[-2:]))
 
+    def leave() -> str:
+        nonlocal bad, inside
+        name, was_bad, was_main = stack.pop()
+        open_names[name] -= 1
+        bad, inside = bad - was_bad, inside - was_main
+        return name
+
     def add(raw: str) -> None:
         if raw:
             text = entities.unescape(raw)
@@ -101,10 +113,12 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool, bool]]:
             continue
         name, closing = found[2].lower(), bool(found[1])
         if name in SILENT and not closing:
-            end = CLOSING[name].search(html, position)
+            end = None if name in unclosed else CLOSING[name].search(html, position)
             if end:
                 position = end.end()
-            elif name in ("script", "style", "textarea", "title", "iframe"):
+                continue
+            unclosed.add(name)
+            if name in ("script", "style", "textarea", "title", "iframe"):
                 position = n
             continue
         if name == "a":
@@ -119,24 +133,21 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool, bool]]:
                 continue
         links = 0
         if closing:
-            if any(x[0] == name for x in stack):
-                while stack:
-                    was, was_bad, was_main = stack.pop()
-                    bad, inside = bad - was_bad, inside - was_main
-                    if was == name:
-                        break
+            if open_names[name]:
+                while leave() != name:
+                    pass
             close()
             continue
         if name == "p" or name in ("li", "dt", "dd", "tr", "td", "th"):  # these end their open sibling
             if stack and stack[-1][0] == name:
-                _, was_bad, was_main = stack.pop()
-                bad, inside = bad - was_bad, inside - was_main
+                leave()
         if name not in VOID and not found[0].endswith("/>"):
             words = " ".join(m[1] or m[2] or m[3] or "" for m in NAMED.finditer(found[3]))
             named = bool(words and name not in ("html", "body", "main") and BAD_NAME.search(words))
             is_main = name in MAIN and not named and not bad  # a comment or a teaser may be marked as an article too
             marked = name in FRAME and not (name == "header" and inside) or named or bool(found[3] and HIDDEN.search(found[3]))
             stack.append((name, marked, is_main))
+            open_names[name] += 1
             bad, inside = bad + marked, inside + is_main
         close()
     close()
@@ -157,20 +168,21 @@ def first_pass(text: str, linked: int) -> str:
     return "near" if density >= STOP_LOW else "bad"
 
 
-def second_pass(labels: list[str]) -> list[bool]:
+def second_pass(labels: list[str], ends: bool = False) -> list[bool]:
     """Near-good and short blocks take the label of their nearest decided neighbours.
 
     Between two good neighbours they are good, between two bad ones bad; between unlike ones a near-good block is
-    good and a short one follows the nearer (bad, if both are as near). The page's ends count as bad.
+    good and a short one follows the nearer, or the ends' label if both are as near. ends: what lies before the first block
+    and behind the last counts as good.
     """
     n = len(labels)
-    before, after = [(-1, False)] * n, [(n, False)] * n
-    last = (-1, False)
+    before, after = [(-1, ends)] * n, [(n, ends)] * n
+    last = (-1, ends)
     for i in range(n):
         before[i] = last
         if labels[i] in ("good", "bad"):
             last = (i, labels[i] == "good")
-    last = (n, False)
+    last = (n, ends)
     for i in range(n - 1, -1, -1):
         after[i] = last
         if labels[i] in ("good", "bad"):
@@ -185,7 +197,7 @@ def second_pass(labels: list[str]) -> list[bool]:
         elif label == "near":
             out.append(True)
         else:
-            out.append((left if i - j < k - i else right) if i - j != k - i else False)
+            out.append((left if i - j < k - i else right) if i - j != k - i else ends)
     return out
 
 
@@ -193,19 +205,19 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     found = blocks(html)
-    marked = any(inside and not bad for _, _, bad, inside, _ in found)
-    labels = []
-    for text, linked, bad, inside, heading in found:
-        if bad or marked and not inside:
-            label = "bad"
-        else:
+    article = [b for b in found if b[3] and not b[2]]
+    if article:
+        # The mark of the article and its containers have left these blocks; links and neighbours decide.
+        labels = []
+        for text, linked, _, _, _ in article:
             label = first_pass(text, linked)
-            if marked and linked <= LINK_HIGH * len(text):
-                label = "good"  # the page itself says that this is its article
-            elif heading and label in ("bad", "short") and linked <= LINK_HIGH * len(text):
-                label = "short"
-        labels.append(label)
-    if not marked and "good" not in labels and "near" in labels:
+            labels.append("short" if label == "bad" and linked <= LINK_HIGH * len(text) else label)
+        return "\n\n".join(b[0] for b, keep in zip(article, second_pass(labels, ends=True)) if keep)
+    labels = []
+    for text, linked, bad, _, heading in found:
+        label = "bad" if bad else first_pass(text, linked)
+        labels.append("short" if heading and not bad and label == "bad" and linked <= LINK_HIGH * len(text) else label)
+    if "good" not in labels and "near" in labels:
         labels = ["good" if x == "near" else x for x in labels]  # a page of short paragraphs
     return "\n\n".join(b[0] for b, keep in zip(found, second_pass(labels)) if keep)
 

@@ -1,7 +1,9 @@
 import html
+import random
 import re
+import time
 
-from tessera.llm.html_text import blocks, extract, main_text, second_pass
+from tessera.llm.html_text import STOP_WORDS, blocks, extract, main_text, second_pass
 
 PROSE = "The house of the old man and the sea is a tale that was told by many of the people in the town with great care and love for it, and it has been read by all of them."
 
@@ -33,6 +35,62 @@ def test_short_blocks_take_the_nearest_label():
     assert second_pass(["short", "near", "bad"]) == [False, False, False] and second_pass(["near", "good", "short", "good"]) == [True] * 4
 
 
+def plain_second(labels, ends):
+    """The second pass by looking for the nearest decided block on either side."""
+    out = []
+    for i, label in enumerate(labels):
+        if label in ("good", "bad"):
+            out.append(label == "good")
+            continue
+        left = next(((i - j, labels[j] == "good") for j in range(i - 1, -1, -1) if labels[j] in ("good", "bad")), (i + 1, ends))
+        right = next(((j - i, labels[j] == "good") for j in range(i + 1, len(labels)) if labels[j] in ("good", "bad")), (len(labels) - i, ends))
+        if left[1] == right[1]:
+            out.append(left[1])
+        elif label == "near":
+            out.append(True)
+        else:
+            out.append(ends if left[0] == right[0] else min(left, right)[1])
+    return out
+
+
+def plain_first(text, linked):
+    words = re.findall(r"\w+", text.lower())
+    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    if linked / len(text) > 0.4 or re.match(r"©|\(c\)\s|copyright\b|all rights reserved", text, re.I):
+        return "bad"
+    if len(text) < 70:
+        return "bad" if linked else "short"
+    return "bad" if stops < 0.15 else "near" if stops < 0.25 or len(text) <= 200 else "good"
+
+
+def test_the_two_passes_equal_plain_ones():
+    chance = random.Random(4)
+    words = ["the", "of", "and", "house", "sea", "old", "tale", "people", "zebra", "quartz", "ink"]
+    for number in range(300):
+        blocks_of = []
+        for _ in range(chance.randint(1, 12)):
+            pool = chance.choice([words, words[3:], words[:5]])
+            parts = [" ".join(chance.choice(pool) for _ in range(chance.choice([1, 3, 20, 60]))) for _ in range(2)]
+            link = chance.random() < 0.3
+            blocks_of.append((f"{parts[0]} {parts[1]}", len(parts[0]) if link else 0, f"<p>{f'<a href=x>{parts[0]}</a>' if link else parts[0]} {parts[1]}</p>"))
+        body, labels = "".join(b[2] for b in blocks_of), [plain_first(t, n) for t, n, _ in blocks_of]
+        kept = plain_second(["good" if x == "near" and "good" not in labels else x for x in labels], False)
+        assert main_text(f"<body>{body}</body>") == "\n\n".join(b[0] for b, k in zip(blocks_of, kept) if k)
+        inner = ["short" if x == "bad" and b[1] <= 0.4 * len(b[0]) else x for x, b in zip(labels, blocks_of)]
+        kept = plain_second(inner, True)
+        assert main_text(f"<body><p>{PROSE}</p><main>{body}</main></body>") == "\n\n".join(b[0] for b, k in zip(blocks_of, kept) if k)
+
+
+def test_time_is_in_proportion():
+    def seconds(page):
+        began = time.process_time()
+        main_text(page)
+        return time.process_time() - began
+
+    for make in (lambda n: "<div>" * n + "x</p>" * n, lambda n: "<button>" * n + "x", lambda n: "<" + "a" * 5 * n, lambda n: '<a "' * n, lambda n: "<!--" * n):
+        assert seconds(make(60_000)) < 3
+
+
 def test_defined_results(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<p></p><div>"), (4, "u", "<p>" + "x" * 100_000), (4, "u", "plain text without any tag & more"), (5, "u", "<scr<p>a"), (6, "u", "<script>never closed")]
     got = [(r.page_id, r.url, r.text) for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()]
