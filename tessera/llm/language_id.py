@@ -5,8 +5,13 @@ their hash functions, so they are stored sliced: one word of language bits for e
 slots names all languages that contain it. The hits of a language over a text, less the share that a filter of
 its fill gives by chance, decide.
 
+Learning reads every labelled text that is not held out, cut to pieces of TRAIN_CHARACTERS, and draws at most TRAIN_PIECES
+of them for each language, so a long text is learned from too and the driver holds a bounded sample.
+
 Defined results: `und` with score 0 for null texts and texts without a letter; ties go to the first language in
-order; with nothing to learn from all texts are `und`; texts of any length are scored whole.
+order; with nothing to learn from all texts are `und`; a language of a single text is learned from it; texts of any length are
+scored whole; rows that repeat a doc_id are learned from and scored each; a null doc_id stays null and is not held out; an
+empty table gives an empty result; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -19,11 +24,10 @@ from pyspark.sql import functions as F
 from tessera.llm.common import crc_mod4, held_out_column, map_texts, read
 from tessera.llm.ngrams import Batch, mix, pieces, raw_bytes
 
-#: Training texts of each language and bytes of each, at most.
-TRAIN_ROWS = 1000
-TRAIN_BYTES = 20_000
-#: An n-gram belongs to a language if this share of the language's training texts hold it, two at least.
-LEAST_SHARE = 0.004
+#: The training sample: pieces of each language and of all languages, at most, and the characters of a piece.
+TRAIN_PIECES, ALL_PIECES, TRAIN_CHARACTERS = 1000, 20_000, 5000
+#: An n-gram belongs to a language if this share of the language's training pieces hold it, two at least where there are COMMON pieces.
+LEAST_SHARE, COMMON = 0.004, 20
 N = 5
 BITS = 20
 HASHES = 2
@@ -60,7 +64,7 @@ class Filters:
             if not distinct:
                 continue
             keys, held = np.unique(np.concatenate(distinct), return_counts=True)
-            keys = keys[held >= max(2, LEAST_SHARE * len(texts))]
+            keys = keys[held >= max(2 if len(texts) >= COMMON else 1, LEAST_SHARE * len(texts))]
             for slot in slots(keys):
                 self.table[i // 64, slot] |= np.uint64(1 << (i % 64))
         fill = [((self.table[i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean() for i in range(len(self.languages))]
@@ -99,17 +103,23 @@ class Filters:
         return [self.languages[i] for i in best], fair[np.arange(len(texts)), best] / fair.sum(1)
 
 
-def fit(docs: DataFrame, rows: int = TRAIN_ROWS) -> Filters:
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out_column())
-    totals = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row for each language
-    draw, share = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1_000_000)), F.lit(0)
+def fit(docs: DataFrame, most: int = TRAIN_PIECES) -> Filters:
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out_column()).select("doc_id", "lang", "text")
+    size = F.lit(TRAIN_CHARACTERS)
+    known = known.withColumn("pieces", F.greatest(F.ceil(F.length("text") / size), F.lit(1)).cast("int"))
+    totals = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.sum("pieces").alias("n")).collect()}  # one row for each language
+    # Numbers are drawn before the text is cut, so only the drawn pieces are made.
+    numbered = known.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).withColumn("draw", F.xxhash64("doc_id", "piece", F.left("text", F.lit(200)), F.lit(9)))
+    most = min(most, max(1, ALL_PIECES // max(1, len(totals))))
+    share = F.lit(0)
     for lang, n in totals.items():
-        share = F.when(F.col("lang") == lang, int(1_000_000 * min(1.0, 1.1 * rows / n))).otherwise(share)
-    drawn = known.where((draw < share) & (F.octet_length("text") <= TRAIN_BYTES)).select("doc_id", "lang", "text")
+        share = F.when(F.col("lang") == lang, int(1_000_000 * min(1.0, 1.1 * most / n))).otherwise(share)
+    drawn = numbered.where(F.pmod("draw", F.lit(1_000_000)) < share).select("lang", "draw", F.substring("text", F.col("piece") * size + 1, size).alias("text"))
     by_language: dict[str, list[bytes]] = {lang: [] for lang in totals}
-    for r in sorted(drawn.collect(), key=lambda r: (r["lang"], r["doc_id"])):
-        if len(by_language[r["lang"]]) < rows:
-            by_language[r["lang"]].append(prepared(r["text"]))
+    # Equal rows are drawn together: the least draws stay, whatever the order in which they come.
+    for r in sorted(drawn.groupBy("lang", "draw", "text").agg(F.count("*").alias("n")).collect(), key=lambda r: (r["lang"], r["draw"], r["text"])):
+        held = by_language[r["lang"]]
+        held += [prepared(r["text"])] * min(r["n"], most - len(held))
     return Filters(by_language)
 
 

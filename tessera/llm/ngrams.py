@@ -76,6 +76,36 @@ class Batch:
         return np.add.reduceat(full, self.starts)
 
 
+class Characters(Batch):
+    """The characters of a batch of UTF-8 byte strings, each as one number, with the place where each text starts."""
+
+    def __init__(self, batch: Batch):
+        raw = batch.data
+        head = (raw & 0xC0) != 0x80
+        head[batch.starts] = True  # a piece may be cut inside a character
+        first = np.flatnonzero(head)
+        self.data = raw[first].astype(np.uint64)
+        if len(first) < len(raw):
+            size = np.diff(np.r_[first, len(raw)])
+            for k in range(1, min(4, int(size.max()))):
+                some = np.flatnonzero(size > k)
+                self.data[some] |= raw[first[some] + k].astype(np.uint64) << np.uint64(8 * k)
+        self.sizes = np.add.reduceat(head.astype(np.int64), batch.starts)
+        self.ends = np.cumsum(self.sizes)
+        self.starts = self.ends - self.sizes
+
+    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """64-bit keys of all windows of n characters, and which of them cross two texts (indices)."""
+        size = len(self.data) - n + 1
+        if size <= 0:
+            return np.empty(0, np.uint64), np.empty(0, np.int64)
+        key = self.data[:size].copy()
+        for k in range(1, n):
+            key = key * np.uint64(0xD6E8FEB86659FD93) + self.data[k : k + size]
+        cross = (self.ends[:-1, None] - np.arange(1, n)).ravel()
+        return key, np.unique(cross[(cross >= 0) & (cross < size)])
+
+
 def mix(key: np.ndarray) -> np.ndarray:
     """Spread 64-bit keys."""
     key = key * _ODD

@@ -1,14 +1,18 @@
 """Supervised subword embeddings for quality.
 
-A document is the mean of the learned vectors of its hashed words, word pairs and byte n-grams; a softmax layer
+A document is the mean of the learned vectors of its hashed words, word pairs and character n-grams; a softmax layer
 on that mean gives the classes. numpy stochastic gradient descent trains both on the driver, from a bounded
 sample of labelled rows. As the layer is linear in the mean, a trained model scores with one number for each
 bucket (vector times layer), so whole texts are scored by table lookups.
 
-Defined results: null and empty texts have the mean 0 and score by the layer's bias; texts of any length are
-scored whole; null labels are not learned from; repeated labels of one document count each; with no labelled
-row of either class all scores are the smoothed share of label 1 (0.5 without labels). doc_id must not be null in a scored row's held_out test: a null id
-counts as not held out.
+The sample is drawn by hashes, so it depends neither on partitions nor on the order of rows: distinct labelled documents
+first, then pieces of TRAIN_CHARACTERS of their texts, so that a long text is learned from too.
+
+Defined results: null and empty texts have the mean 0 and score by the layer's bias; texts of any length are scored whole;
+null labels and null ids are not learned from; a label repeated for one document counts once, unlike labels of it once each;
+rows that repeat a doc_id are learned from and scored each; with no labelled row of either class all scores are the smoothed
+share of label 1 (0.5 without labels); a null doc_id stays null and is not held out; an empty table gives an empty result; other
+columns of the input are ignored (kept by keep_good).
 """
 
 from __future__ import annotations
@@ -19,11 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import crc_mod4, held_out_column, map_texts, read, release, small_batches
-from tessera.llm.ngrams import Batch, mix, pieces, raw_bytes
+from tessera.llm.ngrams import Batch, Characters, mix, pieces, raw_bytes
 
-#: Labelled rows in the training sample of each class, at most; their texts have TRAIN_BYTES at most.
-TRAIN_ROWS = 1500
-TRAIN_BYTES = 40_000
+#: The training sample: pieces of labelled texts of each class, at most, and the characters of a piece.
+TRAIN_ROWS, TRAIN_CHARACTERS = 1500, 20_000
 BITS = 18
 DIM = 16
 EPOCHS = 6
@@ -37,10 +40,11 @@ TWICE = 0x5EED << 48
 def buckets(batch: Batch) -> list[tuple[np.ndarray, np.ndarray]]:
     """Bucket and text of each feature, by kind."""
     shift, out = np.uint64(64 - BITS), []
+    characters = Characters(batch)
     for n in SIZES:
-        key, cross = batch.windows(n)
+        key, cross = characters.windows(n)
         key = (mix(key + np.uint64(n << 56)) >> shift).astype(np.int32)
-        owner = np.repeat(np.arange(len(batch.sizes)), batch.sizes)[: len(key)]
+        owner = np.repeat(np.arange(len(characters.sizes)), characters.sizes)[: len(key)]
         out.append((np.delete(key, cross), np.delete(owner, cross)))
     words, owner = batch.words()
     out.append(((words >> shift).astype(np.int32), owner))
@@ -100,12 +104,13 @@ def logits(texts: list[bytes], table: np.ndarray, bias: float) -> np.ndarray:
         batch = Batch(group)
         shift = np.uint64(64 - BITS)
         sums, n = np.zeros(len(rows)), np.zeros(len(rows))
+        characters = Characters(batch)
         for size in SIZES:
-            key, cross = batch.windows(size)
+            key, cross = characters.windows(size)
             value = table[mix(key + np.uint64(size << 56)) >> shift]
             value[cross] = 0
-            sums += batch.sums(value.astype(np.float64))
-            n += np.maximum(batch.sizes - size + 1, 0)
+            sums += characters.sums(value.astype(np.float64))
+            n += np.maximum(characters.sizes - size + 1, 0)
         words, owner = batch.words()
         sums += np.bincount(owner, table[words >> shift], len(rows))
         n += np.bincount(owner, minlength=len(rows))
@@ -117,22 +122,31 @@ def logits(texts: list[bytes], table: np.ndarray, bias: float) -> np.ndarray:
     return total / np.maximum(count, 1) + bias
 
 
+def share_of(counts: dict[int, int], most: int):
+    """A column of label: how many millionths of its rows to draw, so that a little over `most` are."""
+    share = F.lit(0)
+    for label, n in counts.items():
+        share = F.when(F.col("label") == label, int(1_000_000 * min(1.0, 1.1 * most / max(n, 1)))).otherwise(share)
+    return share
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list[tuple[bytes, int]]:
-    """At most `rows` texts of each class, dealt by the hash of doc_id; held-out rows are left out."""
-    known = labels.where(F.col("quality").isin(0, 1) & ~held_out_column()).select("doc_id", F.col("quality").cast("int").alias("label"))
+    """At most `rows` pieces of texts of each class, those of the least draws; held-out rows are left out."""
+    known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out_column()).select("doc_id", F.col("quality").cast("int").alias("label")).distinct()
     totals = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000))
-    share = F.lit(0)
-    for label, n in totals.items():
-        share = F.when(F.col("label") == label, int(1_000_000 * min(1.0, 1.1 * rows / n))).otherwise(share)
-    drawn = known.where(draw < share)
-    texts = docs.where(F.octet_length("text") <= TRAIN_BYTES).select("doc_id", "text")
+    drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < share_of(totals, rows))
     # The drawn labels have a fixed size (about 1.1 * rows for each class); they are broadcast, so no text is shuffled.
-    joined = texts.join(F.broadcast(drawn), "doc_id")
-    found = [joined.where(F.col("label") == label).limit(rows) for label in sorted(totals)]
-    out = [(r["doc_id"], raw_bytes(r["text"]), r["label"]) for frame in found for r in frame.collect()]
-    out.sort()
-    return [(text, label) for _, text, label in out]
+    size = F.lit(TRAIN_CHARACTERS)
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(drawn), "doc_id").withColumn("pieces", F.greatest(F.ceil(F.length("text") / size), F.lit(1)).cast("int"))
+    counts = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.sum("pieces").alias("n")).collect()}
+    numbered = texts.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).withColumn("draw", F.xxhash64("doc_id", "piece", "text", F.lit(6)))
+    some = numbered.where(F.pmod("draw", F.lit(1_000_000)) < share_of(counts, rows)).select("label", "draw", F.substring("text", F.col("piece") * size + 1, size).alias("text"))
+    # Equal rows are drawn together and come as one with their number.
+    found: dict[int, list[bytes]] = {label: [] for label in sorted(counts)}
+    for r in sorted(some.groupBy("label", "draw", "text").agg(F.count("*").alias("n")).collect(), key=lambda r: (r["label"], r["draw"], r["text"])):
+        held = found[r["label"]]
+        held += [raw_bytes(r["text"])] * min(r["n"], rows - len(held))
+    return [(text, label) for label, texts in found.items() for text in texts]
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
@@ -175,8 +189,6 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
             yield batch.filter(pa.array(keep))
         release()
 
-
-
     small_batches(docs.sparkSession)
     return docs.mapInArrow(apply, docs.schema)
 
