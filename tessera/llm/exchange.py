@@ -78,10 +78,10 @@ def unpack_arrays(packed: bytes) -> list[np.ndarray]:
     return out
 
 
-def chunk_table(docs: DataFrame, limit: int = CHUNK, carry: bool = False) -> DataFrame:
+def chunk_table(docs: DataFrame, limit: int = CHUNK, carry: str = "") -> DataFrame:
     """The chunks of docs (doc_id, text), bucketed by chunk. Null texts are empty; null ids are NULL_ID.
 
-    With carry, a third column holds each row's other columns as JSON, and whether its text is null.
+    With carry, a third column holds each row's other columns as JSON, and by that name whether its text is null.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -116,7 +116,7 @@ def chunk_table(docs: DataFrame, limit: int = CHUNK, carry: bool = False) -> Dat
             yield row()
         release()
 
-    others = F.struct(*(F.col(c) for c in docs.columns if c != "text"), F.col("text").isNull().alias("__null"))
+    others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text"), F.col("text").isNull().alias(carry or "null"))
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"), *([F.to_json(others, TIMES).cast("binary").alias("rest")] if carry else [])]
     rows = docs.select(*columns).mapInArrow(apply, CHUNK_SCHEMA + (", rest binary" if carry else ""))
     name = f"tessera_{uuid.uuid4().hex}"

@@ -14,7 +14,7 @@ collection. So the collection is cut first into short strings, without loss:
   from sequential files of the task's temporary folder when they are large. Suffixes with a common prefix of 50
   bytes and more are equal windows, and the least document of such a run owns the window.
 - An anchor with very many unlike contexts (a passage found in a third of all documents, say) would make one bucket
-  large. Its windows are exchanged one by one by their hashes instead, each once for each chunk.
+  large. Its windows are exchanged one by one by hashes of 128 bits instead, each once for each chunk.
 
 Defined results: null and empty texts have 0 bytes, nothing removed and the hash of the empty string; matches never
 cross documents; a null doc_id is less than any other; rows that repeat a doc_id do not remove from one another (their ids are equal, not smaller) and get
@@ -31,8 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.llm.common import materialize, partitions, read
+from tessera.llm.common import free_names, materialize, partitions, read
 from tessera.llm.exchange import TIMES, answers, chunk_table, each_chunk, id_array, joined, received, send, pack_arrays, unpack_arrays, unpack_docs
 from tessera.llm.ngrams import mix
 
@@ -382,10 +383,12 @@ def owned_windows(packed: list[bytes]) -> list[bytes]:
 
 
 def smaller_owner(packed: list[bytes]) -> list[bytes]:
-    """For each (window hash, document): whether a smaller document has that hash."""
+    """For each (window hash of 128 bits, document): whether a smaller document has that hash."""
     parts = [unpack_arrays(p) for p in packed]
-    keys, docs = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    _, at = np.unique(keys, return_inverse=True)
+    keys, docs, more = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    order = np.lexsort((more, keys))
+    at = np.empty(len(keys), np.int64)
+    at[order] = np.cumsum(np.r_[True, (keys[order][1:] != keys[order][:-1]) | (more[order][1:] != more[order][:-1])]) - 1
     least = np.full(at.max() + 1, np.iinfo(np.int64).max)
     np.minimum.at(least, at, docs)
     ends = np.cumsum([len(p[0]) for p in parts])
@@ -401,20 +404,20 @@ def hot_windows(entries: Entries, code: np.ndarray, texts: list[bytes], n_bucket
     count = entries.last[lead] - entries.first[lead] + 1
     owner = np.repeat(hot, count)
     step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    keys = np.empty(len(owner), np.uint64)
+    keys, more = np.empty(len(owner), np.uint64), np.empty(len(owner), np.uint64)
     start = np.repeat(entries.first[lead], count) + step
     row = np.repeat(entries.row[lead], count)
     for r in np.unique(row):
         some = np.flatnonzero(row == r)
-        joined_windows = [hashlib.blake2b(texts[r][s : s + LENGTH], digest_size=8).digest() for s in start[some].tolist()]
-        keys[some] = np.frombuffer(b"".join(joined_windows), np.uint64)
+        digests = np.frombuffer(b"".join(hashlib.blake2b(texts[r][s : s + LENGTH], digest_size=16).digest() for s in start[some].tolist()), np.uint64)
+        keys[some], more[some] = digests[::2], digests[1::2]
     doc = entries.doc[owner]
-    order = np.lexsort((doc, keys))
-    head = np.r_[True, keys[order][1:] != keys[order][:-1]]
+    order = np.lexsort((doc, more, keys))
+    head = np.r_[True, (keys[order][1:] != keys[order][:-1]) | (more[order][1:] != more[order][:-1])]
     index = np.empty(len(keys), np.int64)
     index[order] = np.cumsum(head) - 1
     lead_of = order[head]
-    return owner, step, index, keys[lead_of], doc[lead_of], range_bucket(keys[lead_of], n_buckets), doc
+    return owner, step, index, keys[lead_of], doc[lead_of], range_bucket(keys[lead_of], n_buckets), doc, more[lead_of]
 
 
 def removed_ranges(entries: Entries, n_texts: int, code, masks, hot, hot_answer) -> list[list[tuple[int, int]]]:
@@ -424,7 +427,7 @@ def removed_ranges(entries: Entries, n_texts: int, code, masks, hot, hot_answer)
     if masks is not None:
         entry_mask[code == UNLIKE] = masks
     if hot is not None:
-        owner, step, index, _, least, _, doc = hot
+        owner, step, index, _, least, _, doc, _ = hot
         gone = (hot_answer[index] > 0) | (doc > least[index])
         np.bitwise_or.at(entry_mask, owner[gone], np.left_shift(1, step[gone]))
     mask = np.where(entries.later, -1, entry_mask[entries.entry]) if len(entries.entry) else np.empty(0, np.int64)
@@ -444,7 +447,7 @@ def removed_ranges(entries: Entries, n_texts: int, code, masks, hot, hot_answer)
     return ranges
 
 
-def removals(docs: DataFrame, schema: str, output, carry: bool = False) -> DataFrame:
+def removals(docs: DataFrame, schema: str, output, carry: str = "") -> DataFrame:
     """output(ids, texts, ranges) -> record batch, over all chunks with the byte ranges to remove.
 
     With carry, output's fourth argument is the JSON of each row's other columns.
@@ -474,7 +477,7 @@ def removals(docs: DataFrame, schema: str, output, carry: bool = False) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), pa.array(np.full(len(starts), chunk, np.int64)), pa.array(packed, pa.binary())], ["bucket", "chunk", "packed"])
         hot = hot_windows(e, code, texts, n_buckets)
         if hot is not None:  # these buckets are numbered behind the others
-            for batch in send(chunk, hot[5], hot[3], hot[4]):
+            for batch in send(chunk, hot[5], hot[3], hot[4], hot[7], np.zeros(len(hot[3]), np.uint8)):
                 yield batch.set_column(0, "bucket", pa.compute.add(batch.column(0), pa.scalar(n_buckets, pa.int32())))
 
     def decide(packed: list[bytes]) -> list[bytes]:
@@ -541,18 +544,19 @@ def whole_characters(text: bytes, ranges: list[tuple[int, int]]) -> list[tuple[i
 
 def strip_repeats(docs: DataFrame) -> DataFrame:
     """docs with the repeated bytes cut out of text, whole characters only; n_chars, where there is one, is counted anew."""
-    small = docs.select(*(c for c in docs.columns if c != "text"))
-    kind = f"struct<{', '.join(f'`{f.name}`: {f.dataType.simpleString()}' for f in small.schema.fields)}, __null: boolean>"
+    small = [f for f in docs.schema.fields if f.name != "text"]
+    (null,) = free_names(docs.columns, "null")
+    kind = T.StructType([T.StructField(f.name, f.dataType) for f in small] + [T.StructField(null, T.BooleanType())])
 
     def output(ids, texts, ranges, rest):
         kept = [kept_bytes(t, whole_characters(t, r)).decode("utf-8", "replace") for t, r in zip(texts, ranges)]
-        return pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), pa.array([r.decode() for r in rest], pa.string())], ["__text", "__rest"])
+        return pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), pa.array([r.decode() for r in rest], pa.string())], ["left", "rest"])
 
-    rows = removals(docs, "__text string, __rest string", output, carry=True)
-    rows = rows.withColumn("__rest", F.from_json("__rest", kind, TIMES)).withColumn("__text", F.when(~F.col("__rest.__null"), F.col("__text")))
-    made = {c: F.col(f"__rest.`{c}`") for c in small.columns} | {"text": F.col("__text")}
+    rows = removals(docs, "left string, rest string", output, carry=null)
+    rows = rows.withColumn("rest", F.from_json("rest", kind, TIMES)).withColumn("left", F.when(~F.col("rest")[null], F.col("left")))
+    made = {f.name: F.col("rest")[f.name] for f in small} | {"text": F.col("left")}
     if "n_chars" in made:
-        made["n_chars"] = F.length("__text").cast(docs.schema["n_chars"].dataType)
+        made["n_chars"] = F.length("left").cast(docs.schema["n_chars"].dataType)
     return rows.select(*(made[c].alias(c) for c in docs.columns))
 
 

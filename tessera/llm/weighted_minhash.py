@@ -13,8 +13,9 @@ one found everywhere, so the copies of a large group, whose common shingles are
 alike, 1 + 0.25 * log(count), so that one line repeated hundreds of times does not make two texts alike.
 
 Defined results: null texts, and texts without a word, are each a class of their own; a text of fewer than five words
-is one shingle; words are compared in lower case without ASCII punctuation; rows that repeat a doc_id are one document
-(their texts may unite classes) and get one result row each; an empty table gives an empty result.
+is one shingle; texts of any length are compared whole; words are compared in lower case without ASCII punctuation; rows that repeat
+a doc_id are one document (their texts may unite classes) and get one result row each; rows without a doc_id are not compared: each
+is kept, with a null class_id; an empty table gives an empty result; other columns of the input are ignored (kept by keep_one).
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, partitions, read, release
+from tessera.llm.common import free_names, materialize, partitions, read, release
 from tessera.llm.components import components
 from tessera.llm.embedding_dedup import local_roots
 from tessera.llm.exchange import answers, chunk_table, each_chunk, joined, part_of, received, send, unpack_arrays, pack_arrays
@@ -388,8 +389,9 @@ def near_documents(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """doc_id, class_id (the least doc_id of the class) and kept (the document of that id) of each document."""
     spark = docs.sparkSession
     n_buckets = 3 * partitions(spark)
-    chunks = chunk_table(docs)
-    n_docs = docs.count()
+    sound = docs.where(F.col("doc_id").isNotNull())
+    chunks = chunk_table(sound)
+    n_docs = sound.count()
     found = materialize(frequencies(chunks, n_buckets), codec="none", compact=True)
     signed = materialize(signatures(chunks, found, n_buckets, n_docs))
     # Equal word sequences: one of them goes on.
@@ -418,8 +420,9 @@ def near_documents(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
 
 def keep_one(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """One document of each class, with all columns; of rows that repeat a kept doc_id all stay."""
-    gone = near_documents(docs, similar).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("__gone"), "left_anti")
+    (name,) = free_names(docs.columns, "gone")
+    gone = near_documents(docs, similar).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(name), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
