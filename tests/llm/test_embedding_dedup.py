@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from tessera.llm import embedding_dedup as M
 
@@ -44,8 +45,35 @@ def test_awkward_vectors(spark):
     assert run(spark, []) == {}
 
 
-def test_passes_follow_the_size():
-    assert 4 <= M.passes_for(100) < M.passes_for(100_000) < 200
+def test_cell_passes_follow_the_size():
+    assert M.cells_for(2 * M.CELL - 1) == (0, 1) and 2 <= M.cells_for(20_000)[1] < M.cells_for(10**9)[1] < 200
+
+
+def test_double_vectors_and_repeated_ids(spark):
+    x = [1.0, 1e-9]
+    rows = [(1, 0, x), (2, 0, [1.0, 0.0]), (2, 0, [0.0, 1.0]), (3, 0, [1e-12, 1.0]), (None, 0, x)]
+    frame = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    for n in (1, 5):  # of vector 2 the row of least components counts
+        got = sorted((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in M.near_vectors(frame.repartition(n)).collect())
+        assert got == [(0, 0, None, True), (1, 0, 1, True), (2, 1, 2, True), (2, 1, 2, True), (3, 1, 2, False)]
+
+
+@pytest.mark.parametrize("cell", [M.CELL, 1024])
+def test_clusters_around_a_common_direction_equal_brute_force(spark, monkeypatch, cell):
+    """Vectors at a common cosine of 0.85, some with a partner at 0.935; one cell, and many."""
+    monkeypatch.setattr(M, "CELL", cell)
+    r = np.random.default_rng(12)
+    n, dim, rho = 8000, 64, 0.85
+    centre = np.zeros(dim)
+    centre[0] = 1
+    x = np.sqrt(rho) * centre + np.sqrt((1 - rho) / (dim - 1)) * np.c_[np.zeros((n, 1)), r.standard_normal((n, dim - 1))]
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    y = r.standard_normal((n // 4, dim))
+    y -= (y * x[: n // 4]).sum(1)[:, None] * x[: n // 4]
+    y /= np.sqrt((y * y).sum(1))[:, None]
+    x[n // 4 : n // 2] = 0.935 * x[: n // 4] + np.sqrt(1 - 0.935**2) * y
+    rows = [(i, 0, e) for i, e in enumerate(x.astype(np.float32).tolist())]
+    assert run(spark, rows) == brute_components(x, list(range(n)))
 
 
 def brute_components(x, ids):
