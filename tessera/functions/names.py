@@ -17,6 +17,8 @@ LEGAL_FORM_WORDS = (
     "акционерное", "учреждение", "limited", "ltd", "llc", "inc", "corp", "corporation", "foundation",
 )
 
+#: Between variants in one text: a control character that NFKC leaves alone and that no letter combines with.
+VARIANT_END = "\x00"
 #: Texts of these characters are their own NFKC form, so they need no Python.
 STABLE = r"^[\x00-\x7FЁА-яё«»]*$"
 
@@ -80,10 +82,14 @@ def raw_variants(name: Column) -> Column:
 def search_names(name: Column, entity_type: Column, plain: bool = False) -> Column:
     """Normalized variants under which a name is found, in order, without repeats.
 
-    name is brought to NFKC form first, unless plain says that it is; quotes and parentheses are found in the name as given.
+    Quotes and parentheses are found in the name as given; each variant is then normalized, through its NFKC form unless plain
+    says that the name is in that form. The variants go to the Arrow UDF as one text, and only where one is not plain.
     """
-    known = name if plain else nfkc(name)
-    variants = F.transform(raw_variants(known), normalize_plain)
+    variants = raw_variants(name)
+    if not plain:
+        whole = F.array_join(variants, VARIANT_END)
+        variants = F.when(name.rlike(STABLE), variants).otherwise(F.split(nfkc(whole), VARIANT_END))
+    variants = F.transform(variants, normalize_plain)
 
     def more(value: Column) -> Column:
         t = tokens(value)
@@ -113,9 +119,16 @@ def overlap(left: Column, right: Column) -> tuple[Column, Column, Column]:
     return (both == F.size(a)) & (both == F.size(b)), F.try_divide(both, union), F.try_divide(both, F.least(F.size(a), F.size(b)))
 
 
-def score_bound(jaccard: Column, containment: Column) -> Column:
-    """No match score of a pair is higher: both sequence ratios are 1 at most."""
-    return F.greatest(0.45 + 0.35 * jaccard + 0.20 * containment, 0.55 + 0.30 * jaccard + 0.15 * containment)
+def score_bound(jaccard: Column, containment: Column, ratio: Column | None = None) -> Column:
+    """No match score of a pair is higher: both sequence ratios are `ratio` at most, 1 if it is not given."""
+    ratio = F.lit(1.0) if ratio is None else ratio
+    return F.greatest(0.45 * ratio + 0.35 * jaccard + 0.20 * containment, 0.55 * ratio + 0.30 * jaccard + 0.15 * containment)
+
+
+def ratio_bound(a: Column, b: Column) -> Column:
+    """The sequence ratio of two joined token lists is at most twice the shorter's length over the sum of both."""
+    x, y = (F.length(F.array_join(t, " ")) for t in (a, b))
+    return F.coalesce(F.try_divide(2.0 * F.least(x, y), x + y), F.lit(1.0))
 
 
 @F.pandas_udf(DoubleType())

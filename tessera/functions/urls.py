@@ -33,6 +33,8 @@ PLATFORM_DOMAINS = {
 BAD_PARTS = ("/search", "/hashtag/", "/explore/", "/status/", "/posts/", "/post/", "/share", "/sharer", "/intent/", "/reel/", "/stories/", "/watch", "/results", "/tag/")
 PATH_PLATFORMS = ("telegram", "instagram", "x", "vk", "ok", "threads", "boosty", "patreon", "bluesky", "medium", "facebook")
 
+REPAIRS = ((r"^(https?://)[хХ]\.com", "$1x.com"), (r"(?i)^(https?://)(?:www\.)?youtube\.eom", "$1youtube.com"))
+
 SPLIT = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
 
 
@@ -47,8 +49,9 @@ def strip(value: Column) -> Column:
 def repair_url(url: Column) -> Column:
     """Trimmed, without no-break spaces, with two usual misspellings of hosts mended."""
     value = F.translate(strip(url), "\u00a0", "")
-    value = F.regexp_replace(value, r"^(https?://)[хХ]\.com", "$1x.com")
-    return F.regexp_replace(value, r"(?i)^(https?://)(?:www\.)?youtube\.eom", "$1youtube.com")
+    for wrong, right in REPAIRS:
+        value = F.regexp_replace(value, wrong, right)
+    return value
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -63,14 +66,17 @@ def broken(url: Column) -> Column:
 
 def normalize_url(url: Column) -> Column:
     """Lower-case scheme and host without one leading www., single slashes, no closing slash, parameters or fragment."""
-    value = repair_url(url)
-    scheme = F.regexp_replace(F.lower(_part(value, 1)), "^(.+)$", "$1:")
-    host = F.regexp_replace(F.regexp_replace(F.lower(_part(value, 2)), r"^www\.", ""), "^(.+)$", "//$1")
-    path = F.regexp_replace(F.regexp_replace(F.regexp_replace(_part(value, 3), ";[^/]*$", ""), "^$", "/"), "/+", "/")
-    place = F.regexp_replace(F.concat(host, path), r"^//(t\.me|telegram\.me)/s/", "//$1/")
-    place = F.regexp_replace(F.regexp_replace(place, "(?s)^(//[^/]+/.*[^/])/+$", "$1"), "(?s)^((?!//).*[^/])/+$", "$1")
-    query = F.regexp_replace(_part(value, 4), "(?s)^(.+)$", "?$1")
-    return F.when(value == "", "").when(broken(value), F.lit(None)).otherwise(F.concat(scheme, place, query))
+
+    def put(v: Column) -> Column:
+        scheme = F.regexp_replace(F.lower(_part(v, 1)), "^(.+)$", "$1:")
+        host = F.regexp_replace(F.regexp_replace(F.lower(_part(v, 2)), r"^www\.", ""), "^(.+)$", "//$1")
+        path = F.regexp_replace(F.regexp_replace(F.regexp_replace(_part(v, 3), ";[^/]*$", ""), "^$", "/"), "/+", "/")
+        place = F.regexp_replace(F.concat(host, path), r"^//(t\.me|telegram\.me)/s/", "//$1/")
+        place = F.regexp_replace(F.regexp_replace(place, "(?s)^(//[^/]+/.*[^/])/+$", "$1"), "(?s)^((?!//).*[^/])/+$", "$1")
+        query = F.regexp_replace(_part(v, 4), "(?s)^(.+)$", "?$1")
+        return F.when(v == "", "").when(broken(v), F.lit(None)).otherwise(F.concat(scheme, place, query))
+
+    return let(repair_url(url), put)
 
 
 def hostname(url: Column) -> Column:

@@ -1,6 +1,7 @@
 """Entities against the registry: exact, token-set and fuzzy tiers, with explicit ambiguity.
 
-Every tier is an equi-join on exploded keys. The registry side is never forced: it is broadcast by Spark where its
+Every tier is an equi-join on exploded keys; the fuzzy tier's keys are the rare tokens that a pair of names must share to reach
+the score asked for, so a token that most names hold joins few of them. The registry side is never forced: it is broadcast by Spark where its
 size is below the broadcast threshold, and shuffled (with skew handling) beyond.
 """
 
@@ -51,22 +52,72 @@ def candidates(entities: DataFrame, records: DataFrame) -> DataFrame:
     return exact.withColumn("tier", F.lit(EXACT)).unionByName(blocking_pairs(rest, records).withColumn("tier", F.lit(FUZZY)))
 
 
-def scored(entities: DataFrame, records: DataFrame, pairs: DataFrame, threshold: float, margin: float) -> DataFrame:
-    """Pairs with the record's score: the best over its search names.
+def name_rows(entities: DataFrame, records: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs with the entity's name, each of the record's search names and the tokens of both."""
+    left = entities.select("cache_key", F.col("normalized_name").alias("name_key"))
+    right = records.select("record_id", F.col("entity_type").alias("kind"), F.explode("search_names").alias("search_name"))
+    rows = pairs.join(left, "cache_key").join(right, "record_id")
+    return rows.withColumns({"a": kind_tokens("name_key"), "b": kind_tokens("search_name")}).select("cache_key", "record_id", "tier", "name_key", "search_name", "a", "b")
+
+
+def kind_tokens(name: str) -> Column:
+    """Tokens of a name; those of organizations without legal forms. Types fit, so the record's type is the pair's."""
+    return F.when(F.col("kind") == "organization", names.core_tokens(F.col(name))).otherwise(names.tokens(F.col(name)))
+
+
+def least_shared(least: float, one: Column, other: Column) -> Column:
+    """How many tokens names of `one` and `other` distinct tokens must share, one at least, to reach the bound `least`; null if none do."""
+    fewer = F.least(one, other)
+    reach = F.filter(F.sequence(F.lit(1), fewer), lambda k: names.score_bound(k / (one + other - k), k / fewer) >= least - 1e-9)
+    return F.get(reach, F.lit(0))
+
+
+def near_rows(entities: DataFrame, records: DataFrame, least: float) -> DataFrame:
+    """As name_rows, of all pairs of an entity and a search name that share a token, fit in type and have a bound of `least`.
+
+    The tokens of a name are ordered from the rarest on among the records. If two names of na and nb tokens share k of them, the first
+    na - k + 2 of the one and nb - k + 2 of the other have two tokens in common (if k is 1, all tokens one). So pairs of these
+    first tokens, with both sizes, are the keys of an equi-join, and names meet at the first key that they share: one
+    token that most names hold is no key, unless it is enough.
+    """
+    kinds = F.when(F.col("entity_type") == "unknown", F.array(F.lit("person"), F.lit("organization"))).otherwise(F.array("entity_type"))
+    left = entities.select("cache_key", F.col("normalized_name").alias("name_key"), F.explode(kinds).alias("kind")).withColumn("a", kind_tokens("name_key"))
+    right = records.select("record_id", F.col("entity_type").alias("kind"), F.explode("search_names").alias("search_name")).withColumn("b", kind_tokens("search_name"))
+    held = right.select("kind", F.explode(F.array_distinct("b")).alias("token")).groupBy("kind", "token").agg(F.count("*").alias("n"))
+    # The sizes of names that may reach the bound follow from the Jaccard similarity needed; without one any size may.
+    jaccard = min((least - 0.70) / 0.30, (least - 0.65) / 0.35)
+    largest = None if jaccard > 0 else max(frame.agg(F.max(F.size(c))).first()[0] or 0 for frame, c in ((left, "a"), (right, "b")))
+
+    def keyed(rows: DataFrame, tokens: str, own: str, other: str, key: list[str]) -> DataFrame:
+        known = rows.select(*key, "kind", F.explode(F.array_distinct(tokens)).alias("token")).join(held, ["kind", "token"])
+        order = known.groupBy(*key, "kind").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ordered"))
+        placed = rows.join(order, [*key, "kind"]).withColumn(own, F.size(F.array_distinct(tokens))).withColumn("ordered", F.col("ordered.token"))
+        most = F.floor(F.col(own) / jaccard + 1e-6).cast("int") if largest is None else F.lit(largest)
+        sized = placed.where(F.col(own) > 0).withColumn(other, F.explode(F.sequence(F.lit(1), F.greatest(most, F.lit(1)))))
+        sized = sized.withColumn("need", least_shared(least, F.col(own), F.col(other))).where("need IS NOT NULL")
+        # Tokens that no record holds come first: they are in the order, but join nothing.
+        first = F.col(f"first_{tokens}")
+        sized = sized.withColumn(f"first_{tokens}", F.expr("slice(ordered, 1, greatest(0, size(ordered) - greatest(need, 2) + 2))"))
+        pairs = F.flatten(F.transform(first, lambda x, i: F.transform(F.slice(first, i + 2, F.size(first)), lambda y: F.concat(x, F.lit(" "), y))))
+        return sized.drop("ordered").withColumn("token", F.explode(F.when(F.col("need") == 1, first).otherwise(pairs)))
+
+    x = keyed(left, "a", "na", "nb", ["cache_key"])
+    y = keyed(right, "b", "nb", "na", ["record_id", "search_name"]).drop("need")
+    both = F.slice(F.array_intersect("first_a", "first_b"), 1, F.least(F.col("need"), F.lit(2)))
+    met = x.join(y, ["kind", "na", "nb", "token"]).where(F.array_join(both, " ") == F.col("token"))
+    met = met.where((F.col("need") <= 2) | (F.size(F.array_intersect("a", "b")) >= F.col("need")))
+    return met.select("cache_key", "record_id", F.lit(FUZZY).alias("tier"), "name_key", "search_name", "a", "b")
+
+
+def best_scores(rows: DataFrame, threshold: float, margin: float) -> DataFrame:
+    """Pairs of name rows with the record's score: the best over its search names.
 
     A fuzzy pair of names that cannot reach threshold - margin is not scored: neither can it match, nor make a match
     ambiguous. The bound is a plain expression before the UDF, so those pairs never reach Python.
     """
-    left = entities.select("cache_key", F.col("normalized_name").alias("name_key"), "entity_type")
-    right = records.select("record_id", F.col("entity_type").alias("record_type"), F.explode("search_names").alias("search_name"))
-    rows = pairs.join(left, "cache_key").join(right, "record_id")
-    kind = F.when(F.col("entity_type") == "unknown", F.col("record_type")).otherwise(F.col("entity_type"))
-    organization = F.col("kind") == "organization"
-    rows = rows.withColumn("kind", kind)
-    rows = rows.withColumns({x: F.when(organization, names.core_tokens(F.col(c))).otherwise(names.tokens(F.col(c))) for x, c in (("a", "name_key"), ("b", "search_name"))})
     equal, jaccard, containment = names.overlap(F.col("a"), F.col("b"))
     rows = rows.withColumns({"equal": equal, "jaccard": jaccard, "containment": containment})
-    rows = rows.withColumns({"plain": names.plain_score(F.col("name_key"), F.col("search_name"), F.col("a"), F.col("b"), F.col("equal")), "bound": names.score_bound(F.col("jaccard"), F.col("containment"))})
+    rows = rows.withColumns({"plain": names.plain_score(F.col("name_key"), F.col("search_name"), F.col("a"), F.col("b"), F.col("equal")), "bound": names.score_bound(F.col("jaccard"), F.col("containment"), names.ratio_bound(F.col("a"), F.col("b")))})
     rows = rows.where((F.col("tier") == EXACT) | F.col("plain").isNotNull() | (F.col("bound") >= threshold - margin - 1e-9))
     # A name whose bound does not exceed what another name of the pair scores for sure cannot be the pair's best.
     rows = rows.withColumn("sure", F.max("plain").over(Window.partitionBy("cache_key", "record_id")))
@@ -75,12 +126,44 @@ def scored(entities: DataFrame, records: DataFrame, pairs: DataFrame, threshold:
     return rows.withColumn("score", score).groupBy("cache_key", "record_id", "tier").agg(F.max("score").alias("score"))
 
 
-def ranked(entities: DataFrame, records: DataFrame, pairs: DataFrame, threshold: float, margin: float) -> DataFrame:
-    """Scored candidates with their place: by score, active before excluded, number, then record_id."""
+def scored(entities: DataFrame, records: DataFrame, pairs: DataFrame, threshold: float, margin: float) -> DataFrame:
+    """The scores of given pairs (cache_key, record_id, tier)."""
+    return best_scores(name_rows(entities, records, pairs), threshold, margin)
+
+
+def placed_scores(scores: DataFrame, records: DataFrame) -> DataFrame:
+    """Scored pairs with their place: by score, active before excluded, number, then record_id."""
     facts = records.select("record_id", F.col("normalized_name").alias("record_name"), "display_name", is_active().alias("active"), F.coalesce("registry_number", F.lit(0)).alias("number"))
-    rows = scored(entities, records, pairs, threshold, margin).join(facts, "record_id")
     order = Window.partitionBy("cache_key").orderBy(F.desc("score"), F.desc("active"), F.desc("number"), "record_id")
-    return rows.withColumn("place", F.row_number().over(order))
+    return scores.join(facts, "record_id").withColumn("place", F.row_number().over(order))
+
+
+def ranked(entities: DataFrame, records: DataFrame, pairs: DataFrame, threshold: float, margin: float) -> DataFrame:
+    """Given pairs with their score and place."""
+    return placed_scores(scored(entities, records, pairs, threshold, margin), records)
+
+
+def primary_names(entities: DataFrame, records: DataFrame, exact: DataFrame) -> DataFrame:
+    """Exact pairs with record_name: records of the very name, where there are any, are the only candidates (has_primary)."""
+    named = exact.join(entities.select("cache_key", "normalized_name"), "cache_key").join(records.select("record_id", F.col("normalized_name").alias("record_name")), "record_id")
+    primary = F.col("record_name") == F.col("normalized_name")
+    named = named.withColumn("primary", primary).withColumn("has_primary", F.max("primary").over(Window.partitionBy("cache_key")))
+    return named.where("primary OR NOT has_primary").select("cache_key", "record_id", "record_name", "has_primary")
+
+
+def short_names(named: DataFrame) -> DataFrame:
+    """cache_key and identities of entities whose short name alone fits records of several names (named: from primary_names)."""
+    distinct = named.where("NOT has_primary").groupBy("cache_key").agg(F.count_distinct("record_name").alias("identities"))
+    return distinct.where("identities > 1")
+
+
+def quoted(value: Column) -> Column:
+    """A name in a note: in single quotes, in double ones if it holds single quotes only, what is special behind a backslash."""
+    plain = F.replace(value, F.lit("\\"), F.lit("\\\\"))
+    for mark, letter in (("\n", "n"), ("\r", "r"), ("\t", "t")):
+        plain = F.replace(plain, F.lit(mark), F.lit(f"\\{letter}"))
+    double = F.contains(value, F.lit("'")) & ~F.contains(value, F.lit('"'))
+    return F.when(double, F.concat(F.lit('"'), plain, F.lit('"'))).otherwise(F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'")))
 
 
 def lookup(entities: DataFrame, records: DataFrame, threshold: float = 0.84, margin: float = 0.04) -> DataFrame:
@@ -91,19 +174,15 @@ def lookup(entities: DataFrame, records: DataFrame, threshold: float = 0.84, mar
     # Names and pairs are used several times below: they are settled once.
     entities = cut(entities.select("cache_key", "normalized_name", "entity_type", "search_names"))
     records = cut(records.select("record_id", "registry_number", "display_name", "normalized_name", "search_names", "entity_type", "date_excluded", "links"))
-    pairs = cut(candidates(entities, records))
-    names_of = entities.select("cache_key", "normalized_name")
-    record_names = records.select("record_id", F.col("normalized_name").alias("record_name"))
-    # Exact tier: records of the very name, if there are any, are the only candidates.
-    named = pairs.join(names_of, "cache_key").join(record_names, "record_id")
     by_key = Window.partitionBy("cache_key")
-    primary = (F.col("tier") == EXACT) & (F.col("record_name") == F.col("normalized_name"))
-    named = named.withColumn("primary", primary).withColumn("has_primary", F.max("primary").over(by_key)).where("primary OR NOT has_primary")
-    distinct = named.groupBy("cache_key", "tier", "has_primary").agg(F.count_distinct("record_name").alias("identities"))
-    short = distinct.where((F.col("tier") == EXACT) & ~F.col("has_primary") & (F.col("identities") > 1)).select("cache_key")
-    clear = named.join(short, "cache_key", "left_anti").select("cache_key", "record_id", "tier")
+    exact = cut(exact_pairs(entities, records))
+    named = primary_names(entities, records, exact)
+    short = short_names(named).select("cache_key")
+    clear = cut(named.join(short, "cache_key", "left_anti").select("cache_key", "record_id"))
+    rest = entities.join(exact.select("cache_key").distinct(), "cache_key", "left_anti")
+    found = name_rows(entities, records, clear.withColumn("tier", F.lit(EXACT))).unionByName(near_rows(rest, records, threshold - margin))
 
-    rows = cut(ranked(entities, records, clear, threshold, margin))
+    rows = cut(placed_scores(best_scores(found, threshold, margin), records))
     top = F.max_by(F.struct("record_name", "display_name", "score", "tier"), -F.col("place"))
     best = rows.groupBy("cache_key").agg(top.alias("best"))
     rows = rows.join(best, "cache_key")
@@ -116,12 +195,14 @@ def lookup(entities: DataFrame, records: DataFrame, threshold: float = 0.84, mar
     )
     decided = decided.withColumn("score", floor).where(F.col("score") >= threshold)
     decided = decided.withColumn("ambiguous", (F.col("score") < 0.99) & (F.col("score") - F.col("second") < margin))
-    note = F.concat(F.lit(CLOSE_NOTE), F.lit("'"), F.col("best.display_name"), F.lit("' и "), F.when(F.col("second_name").isNull(), "None").otherwise(F.concat(F.lit("'"), F.col("second_name"), F.lit("'"))), F.lit("."))
-
-    # The whole identity of the best record: every candidate of its name, also those that the bound left unscored.
-    identity = clear.join(decided.where("NOT ambiguous").select("cache_key", F.col("best.record_name").alias("record_name")), "cache_key").join(
-        records.select("record_id", F.col("normalized_name").alias("record_name"), "registry_number", "display_name", "date_excluded", "links"), ["record_id", "record_name"]
-    )
+    note = F.concat(F.lit(CLOSE_NOTE), quoted(F.col("best.display_name")), F.lit(" и "), F.coalesce(quoted(F.col("second_name")), F.lit("None")), F.lit("."))
+
+    # The whole identity of the best record: every candidate of its name, also those that the bound left unscored. Records of one
+    # name share its tokens, so each of them that fits in type is a fuzzy candidate if one is.
+    facts = records.select("record_id", F.col("normalized_name").alias("record_name"), F.col("entity_type").alias("record_type"), "registry_number", "display_name", "date_excluded", "links")
+    best_names = decided.where("NOT ambiguous").select("cache_key", "best.tier", F.col("best.record_name").alias("record_name")).join(entities.select("cache_key", "entity_type"), "cache_key")
+    identity = best_names.join(facts, "record_name").where(type_fits(F.col("entity_type"), F.col("record_type"))).drop("entity_type", "record_type")
+    identity = identity.where(F.col("tier") == FUZZY).unionByName(identity.where(F.col("tier") == EXACT).join(clear, ["cache_key", "record_id"], "left_semi"))
     placed = identity.join(rows.select("cache_key", "record_id", "place", F.col("score").alias("record_score")), ["cache_key", "record_id"], "left")
     number, active = F.coalesce("registry_number", F.lit(0)), is_active()
     placed = placed.withColumn("any_active", F.max(active).over(by_key)).withColumn("newest", F.max(number).over(by_key))

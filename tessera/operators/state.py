@@ -32,12 +32,14 @@ def needs_search(n_links: Column, config) -> Column:
     return {"full": F.lit(True), "economy": n_links == 0, "balanced": n_links < config.registry_min_links_to_skip_llm}[config.resolution_mode]
 
 
-def batches(pending: DataFrame, size: int) -> DataFrame:
-    """With batch_no: consecutive rows in order of row_no.
+def batches(pending: DataFrame, size: int, most: int) -> DataFrame:
+    """The first `most` rows in order of row_no, with batch_no: consecutive rows.
 
-    pending is bounded by what the daily budget can serve; numbering it by ranges keeps it off one task otherwise.
+    `most` is what a run can ask. The first rows are found by partial top-k in each task before they are numbered by one, so
+    that task holds `most` rows whatever the list.
     """
-    return pending.withColumn("batch_no", F.floor((F.row_number().over(Window.orderBy("row_no")) - 1) / size).cast("long"))
+    first = pending.orderBy("row_no").limit(most)
+    return first.withColumn("batch_no", F.floor((F.row_number().over(Window.orderBy("row_no")) - 1) / size).cast("long"))
 
 
 def outcome(event: Column, n_links: Column, error: Column) -> Column:

@@ -168,10 +168,9 @@ class Engine:
                 settled.append(self.store.append("asked", lines))
 
         fresh = pending.join(left.select("cache_key").distinct(), "cache_key", "left_anti")
-        rows = state.batches(fresh, c.llm_batch_size).select("batch_no", "row_no", "cache_key", "name", "entity_type")
-        most = (c.llm_max_calls_per_run or c.llm_daily_budget) * c.llm_batch_size
         # What a run can ask is bounded by its calls; entities behind that are deferred without being sent to the driver.
-        asked = rows.where(F.col("batch_no") * c.llm_batch_size < most).orderBy("row_no").collect()
+        most = (c.llm_max_calls_per_run or c.llm_daily_budget) * c.llm_batch_size
+        asked = sorted(state.batches(fresh, c.llm_batch_size, most).select("batch_no", "row_no", "cache_key", "name", "entity_type").collect(), key=lambda r: r["row_no"])
         groups: dict[int, list[dict]] = {}
         for r in asked:
             groups.setdefault(r["batch_no"], []).append({"id": r["cache_key"], "name": r["name"], "type": r["entity_type"]})

@@ -371,8 +371,8 @@ def match_lookup(spark, sf_dir):
 @register("match_fuzzy")
 def match_fuzzy(spark, sf_dir):
     people, rows = unique_entities(spark, sf_dir), records(spark, sf_dir)
-    pairs = matching.candidates(people, rows).where(F.col("tier") == matching.FUZZY)
-    return matching.scored(people, rows, pairs, 0.84, 0.04).select("cache_key", "record_id", F.round("score", 6).alias("score"))
+    rest = people.join(matching.exact_pairs(people, rows).select("cache_key").distinct(), "cache_key", "left_anti")
+    return matching.best_scores(matching.near_rows(rest, rows, 0.84 - 0.04), 0.84, 0.04).select("cache_key", "record_id", F.round("score", 6).alias("score"))
 
 
 _D_NAMED = (
@@ -384,9 +384,7 @@ _D_NAMED = (
 @register("match_short_name_ambiguous", _D_NAMED + "SELECT cache_key, ids AS identities FROM h WHERE NOT has AND ids > 1")
 def match_short_name_ambiguous(spark, sf_dir):
     people, rows = unique_entities(spark, sf_dir), records(spark, sf_dir)
-    named = matching.exact_pairs(people, rows).join(people.select("cache_key", "normalized_name"), "cache_key").join(rows.select("record_id", F.col("normalized_name").alias("rn")), "record_id")
-    made = named.groupBy("cache_key").agg(F.bool_or(F.col("rn") == F.col("normalized_name")).alias("has"), F.count_distinct("rn").alias("identities"))
-    return made.where("NOT has AND identities > 1").select("cache_key", "identities")
+    return matching.short_names(matching.primary_names(people, rows, matching.exact_pairs(people, rows)))
 
 
 @register(
@@ -573,10 +571,11 @@ def json_object_extract(spark, sf_dir):
 # --- Search, budget, state
 
 
-@register("llm_batches", f"WITH {D_ENT}, {D_FIRST} SELECT entity_id, CAST(floor((row_number() OVER (ORDER BY row_no) - 1) / 5) AS BIGINT) AS batch_no FROM uni WHERE entity_type = 'unknown'")
+@register("llm_batches", f"WITH {D_ENT}, {D_FIRST} SELECT entity_id, CAST(floor((row_number() OVER (ORDER BY row_no) - 1) / 5) AS BIGINT) AS batch_no FROM uni ORDER BY row_no LIMIT {CONFIG.llm_daily_budget * 5}")
 def llm_batches(spark, sf_dir):
-    pending = E.first_of_each(entities(spark, sf_dir)).where("entity_type = 'unknown'")
-    return state.batches(pending, 5).select("entity_id", "batch_no")
+    """The entities that a day's budget of calls serves."""
+    pending = E.first_of_each(entities(spark, sf_dir))
+    return state.batches(pending, CONFIG.llm_batch_size, CONFIG.llm_daily_budget * CONFIG.llm_batch_size).select("entity_id", "batch_no")
 
 
 @register("llm_gate_modes", "SELECT c_custkey AS k, n = 0 AS economy, n < 1 AS balanced, true AS full_mode FROM (SELECT c_custkey, c_custkey % 4 AS n FROM customer)")
