@@ -1,4 +1,4 @@
-"""JSON answers and HTML pages."""
+"""Links of HTML pages."""
 
 from __future__ import annotations
 
@@ -12,52 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from tessera.functions.urls import detect_platform, is_profile_url, normalize_url
-from tessera.schemas import PAYLOAD
-
-
-def json_object_text(text: Column) -> Column:
-    """From the first { to the last } of an answer, fences and prose dropped; null without an object."""
-    found = F.regexp_extract(text, r"(?s)(\{.*\})", 1)
-    return F.when(found != "", found)
-
-
-def parse_payload(text: Column) -> Column:
-    """The answer of a batch, or null if any part breaks the schema: one bad link fails the whole batch."""
-    body = json_object_text(text)
-    loose = F.from_json(body, PAYLOAD)
-    kinds = F.from_json(
-        body,
-        "struct<results: array<struct<entity_id: string, canonical_name: string, ambiguous: string, ambiguity_notes: array<string>, aliases_used: array<string>, "
-        "links: array<struct<platform: string, url: string, confidence: string, evidence: string, source: string, source_urls: array<string>>>>>>",
-    )
-    link_fine = lambda link: link["platform"].isNotNull() & link["url"].isNotNull() & link["evidence"].isNotNull() & F.coalesce(link["confidence"].try_cast("double").between(0, 1), F.lit(False))
-    item_fine = lambda item: (
-        item["entity_id"].isNotNull()
-        & (item["ambiguous"].isNull() | F.lower(item["ambiguous"]).isin("true", "false"))
-        & F.forall(F.coalesce(item["links"], F.array().cast("array<struct<platform: string, url: string, confidence: string, evidence: string, source: string, source_urls: array<string>>>")), link_fine)
-    )
-    fine = F.coalesce(F.forall(F.coalesce(kinds["results"], F.array().cast(kind_of_results())), item_fine), F.lit(False))
-    return F.when(body.isNotNull() & loose.isNotNull() & fine, loose)
-
-
-def kind_of_results() -> str:
-    return (
-        "array<struct<entity_id: string, canonical_name: string, ambiguous: string, ambiguity_notes: array<string>, aliases_used: array<string>, "
-        "links: array<struct<platform: string, url: string, confidence: string, evidence: string, source: string, source_urls: array<string>>>>>"
-    )
-
-
-def grounding(candidates: Column) -> Column:
-    """used, queries and source URLs of an answer's grounding metadata.
-
-    candidates: array<struct<entry_point: string, queries: array<string>, uris: array<string>>>.
-    """
-    queries = F.flatten(F.transform(candidates, lambda c: F.coalesce(c["queries"], F.array().cast("array<string>"))))
-    uris = F.flatten(F.transform(candidates, lambda c: F.coalesce(c["uris"], F.array().cast("array<string>"))))
-    queries = F.array_distinct(F.filter(F.transform(queries, F.trim), lambda q: q != ""))
-    uris = F.array_distinct(F.filter(uris, lambda u: u.rlike("^https?://")))
-    used = (F.size(queries) > 0) | (F.size(uris) > 0) | F.exists(candidates, lambda c: c["entry_point"].isNotNull())
-    return F.struct(used.alias("search_used"), queries.alias("search_queries"), uris.alias("grounding_sources"))
 
 
 class _Anchors(HTMLParser):

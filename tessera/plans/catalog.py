@@ -6,14 +6,17 @@ that both engines read. Everything runs over whole tables.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tessera.config import Config
 from tessera.functions import documents, names, urls
 from tessera.operators import entities as E
 from tessera.operators import links as L
 from tessera.operators import matching, registry, state
+from tessera.operators.search import first_known, read_object
 
 QUERIES = {}
 ORACLES = {}
@@ -237,9 +240,16 @@ def register(name: str, oracle: str | None = None):
 # --- Names and keys
 
 
-@register("name_normalize", f"SELECT doc_id, {d_norm('text')} AS normalized FROM documents WHERE text IS NOT NULL")
+@register("name_normalize", f"SELECT doc_id, {d_norm('text')} AS normalized FROM documents")
 def name_normalize(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", names.normalize_plain(F.col("text")).alias("normalized"))
+    return table(spark, sf_dir, "documents").select("doc_id", names.normalize_plain(F.col("text")).alias("normalized"))
+
+
+@register("name_normalize_nfkc", f"WITH {D_ENT} SELECT entity_id, {d_norm("concat('Ltd No5 1 fi ', name)")} AS normalized FROM ent")
+def name_normalize_nfkc(spark, sf_dir):
+    """Full-width letters, a numero sign, a circled digit and a ligature before each name."""
+    name = F.concat(F.lit("Ｌｔｄ №5 ① ﬁ "), F.col("name"))
+    return entities(spark, sf_dir).select("entity_id", names.normalize_name(name).alias("normalized"))
 
 
 @register("token_key", f"WITH {D_ENT} SELECT entity_id, {d_key('normalized_name')} AS token_key FROM ent")
@@ -360,25 +370,42 @@ def match_score_upper_bound(spark, sf_dir):
     return pairs.select("cache_key", "record_id", F.round(names.score_bound(jaccard, containment), 6).alias("bound"))
 
 
-@register("match_lookup")
+_D_NAMED = (
+    f"WITH {D_UNI}, {D_REC}, {D_EXACT}, n AS (SELECT e.cache_key, e.record_id, r.normalized_name AS rn, r.display_name, r.registry_number, r.date_excluded, r.normalized_name = u.normalized_name AS prim FROM exact e JOIN uns u USING (cache_key) JOIN recs r USING (record_id)), "
+    "h AS (SELECT cache_key, bool_or(prim) AS has, count(DISTINCT rn) AS ids FROM n GROUP BY 1) "
+)
+
+
+@register(
+    "match_lookup",
+    _D_NAMED
+    + ", i AS (SELECT n.*, has FROM n JOIN h USING (cache_key) WHERE CASE WHEN has THEN prim ELSE ids = 1 END), "
+    "g AS (SELECT *, bool_or(trim(date_excluded) = '') OVER (PARTITION BY cache_key) AS act, max(registry_number) OVER (PARTITION BY cache_key) AS newest FROM i), "
+    "o AS (SELECT cache_key, has, string_agg(record_id, ',' ORDER BY trim(date_excluded) = '' DESC, registry_number DESC, record_id) AS record_ids FROM g WHERE CASE WHEN act THEN trim(date_excluded) = '' ELSE registry_number = newest END GROUP BY cache_key, has) "
+    f"SELECT cache_key, CASE WHEN has THEN 1.0 ELSE 0.99 END::DOUBLE AS match_score, false AS ambiguous, record_ids, '' AS notes FROM o UNION ALL SELECT cache_key, 0.99, true, '', '{matching.SHORT_NAME_NOTE}' FROM h WHERE NOT has AND ids > 1",
+)
 def match_lookup(spark, sf_dir):
-    """The whole cascade. Its scores need a sequence ratio that SQL lacks."""
+    """The whole cascade. No fuzzy pair of the derived lists reaches the threshold, so the SQL needs no sequence ratio (it is tested against a plain loop)."""
     found = matching.lookup(unique_entities(spark, sf_dir), records(spark, sf_dir))
     ids = F.array_join(F.transform("records", lambda r: r["record_id"]), ",")
     return found.select("cache_key", F.round("match_score", 6).alias("match_score"), "ambiguous", ids.alias("record_ids"), F.array_join("ambiguity_notes", " ").alias("notes"))
 
 
-@register("match_fuzzy")
+@register(
+    "match_fuzzy",
+    f"WITH {D_UNI}, {D_REC}, {D_EXACT}, {D_BLOCK}, p AS (SELECT b.cache_key, b.record_id, r.entity_type AS kind, u.normalized_name AS x, unnest(r.search_names) AS y FROM block b JOIN uns u USING (cache_key) JOIN recs r USING (record_id)), "
+    f"t AS (SELECT *, list_distinct(CASE WHEN kind = 'organization' THEN {d_core('x')} ELSE {d_tokens('x')} END) AS a, list_distinct(CASE WHEN kind = 'organization' THEN {d_core('y')} ELSE {d_tokens('y')} END) AS b FROM p), "
+    "q AS (SELECT cache_key, record_id, len(list_intersect(a, b)) AS k, len(a) AS na, len(b) AS nb FROM t WHERE len(a) > 0 AND len(b) > 0), "
+    "j AS (SELECT cache_key, record_id, k / (na + nb - k) AS jac, k / least(na, nb) AS con FROM q WHERE k > 0), w AS (SELECT cache_key, record_id, max(greatest(0.45 + 0.35 * jac + 0.20 * con, 0.55 + 0.30 * jac + 0.15 * con)) AS bound FROM j GROUP BY 1, 2) "
+    "SELECT cache_key, record_id, round(bound, 6) AS bound FROM w WHERE bound >= 0.8 - 1e-9",
+)
 def match_fuzzy(spark, sf_dir):
+    """The fuzzy tier's pairs, whose tokens allow a score that counts, and their best bound."""
     people, rows = unique_entities(spark, sf_dir), records(spark, sf_dir)
     rest = people.join(matching.exact_pairs(people, rows).select("cache_key").distinct(), "cache_key", "left_anti")
-    return matching.best_scores(matching.near_rows(rest, rows, 0.84 - 0.04), 0.84, 0.04).select("cache_key", "record_id", F.round("score", 6).alias("score"))
-
-
-_D_NAMED = (
-    f"WITH {D_UNI}, {D_REC}, {D_EXACT}, n AS (SELECT e.cache_key, e.record_id, r.normalized_name AS rn, r.display_name, r.registry_number, r.date_excluded, r.normalized_name = u.normalized_name AS prim FROM exact e JOIN uns u USING (cache_key) JOIN recs r USING (record_id)), "
-    "h AS (SELECT cache_key, bool_or(prim) AS has, count(DISTINCT rn) AS ids FROM n GROUP BY 1) "
-)
+    near = matching.near_rows(rest, rows, 0.84 - 0.04)
+    _, jaccard, containment = names.overlap(F.col("a"), F.col("b"))
+    return near.groupBy("cache_key", "record_id").agg(F.round(F.max(names.score_bound(jaccard, containment)), 6).alias("bound"))
 
 
 @register("match_short_name_ambiguous", _D_NAMED + "SELECT cache_key, ids AS identities FROM h WHERE NOT has AND ids > 1")
@@ -505,9 +532,19 @@ def links_merge_confidence(spark, sf_dir):
     return merged.select("k", "x.url", F.round("x.confidence", 6).alias("confidence"), F.size("x.source_urls").cast("long").alias("sources"))
 
 
-@register("links_merge_evidence")
+_CITE = f"CASE WHEN {{b}} <> '' AND NOT contains({{a}}, {{b}}) THEN concat({{a}}, '{L.MORE_EVIDENCE}', {{b}}) ELSE {{a}} END"
+
+
+@register(
+    "links_merge_evidence",
+    f"WITH RECURSIVE r AS ({_plain(LINK_ROWS)}), n AS (SELECT k, pos, {d_url('url')} AS url, confidence::DOUBLE AS confidence, evidence FROM r), m AS (SELECT *, row_number() OVER (PARTITION BY k, url ORDER BY pos) AS i, min(pos) OVER (PARTITION BY k, url) AS first_pos FROM n), "
+    "f AS (SELECT k, url, first_pos, i, confidence, evidence FROM m WHERE i = 1 UNION ALL SELECT f.k, f.url, f.first_pos, m.i, greatest(f.confidence, m.confidence), "
+    f"CASE WHEN m.confidence > f.confidence THEN {_CITE.format(a='m.evidence', b='f.evidence')} ELSE {_CITE.format(a='f.evidence', b='m.evidence')} END FROM f JOIN m ON m.k = f.k AND m.url = f.url AND m.i = f.i + 1), "
+    "e AS (SELECT * FROM f WHERE i = (SELECT max(m.i) FROM m WHERE m.k = f.k AND m.url = f.url)) "
+    f"SELECT k, CAST(row_number() OVER (PARTITION BY k ORDER BY first_pos) - 1 AS INTEGER) AS pos, url, {d_platform('url')} AS platform, evidence FROM e",
+)
 def links_merge_evidence(spark, sf_dir):
-    """The evidence fold depends on the order of links; it is tested against a plain loop."""
+    """The evidence of links of one URL, folded in their order."""
     return link_lists(spark, sf_dir).select("k", F.posexplode(L.merge_links(L.empty_links(), F.col("links"))).alias("pos", "x")).select("k", "pos", "x.url", "x.platform", "x.evidence")
 
 
@@ -549,23 +586,28 @@ def html_anchor_links(spark, sf_dir):
     return rows.select("page_id", F.col("pos").cast("long").alias("pos"), "href")
 
 
-@register("html_social_links")
+_D_HREFS = "regexp_extract_all(regexp_replace(concat(coalesce(html, ''), '<a href=\"https://t.me/s/p', page_id, '/\">t</a>'), '<!--.*?-->', '', 'gs'), '<a\\s[^>]*?href=\"(https?://[^\"]*)\"', 1)"
+_D_SOCIAL = f"list_transform(list_filter({_D_HREFS}, lambda u: {d_platform('u')} <> 'website'), lambda u: {d_url('u')})"
+
+
+@register("html_social_links", f"SELECT page_id, array_to_string({d_distinct(f'list_filter({_D_SOCIAL}, lambda u: {d_profile(chr(117))})')}, ' ') AS links FROM pages")
 def html_social_links(spark, sf_dir):
-    """Social links of every page, social anchors added to each; HTML parsing has no SQL form."""
+    """Social links of every page; the pages have none of their own, so an anchor is added to each."""
     rows = table(spark, sf_dir, "pages")
     html = F.concat(F.coalesce("html", F.lit("")), F.lit('<a href="https://t.me/s/p'), F.col("page_id").cast("string"), F.lit('/">t</a>'))
     return rows.select("page_id", F.array_join(documents.social_links(html, F.col("url")), " ").alias("links"))
 
 
-@register("json_props_extract", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
-def json_props_extract(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+@F.pandas_udf(StringType())
+def _answer_key(texts: pd.Series) -> pd.Series:
+    """Member k of the object of each answer, as the search reads it."""
+    return texts.map(lambda x: str(read_object(x).get("k")), na_action="ignore")
 
 
-@register("json_object_extract", "SELECT event_id, regexp_extract(concat('answer: ```json ', props, ' ``` end'), '(\\{.*\\})', 1, 's') AS body FROM events WHERE props IS NOT NULL")
+@register("json_object_extract", "SELECT event_id, CAST(json_extract_string(regexp_extract(concat('answer: ```json ', props, ' ``` end'), '(\\{.*\\})', 1, 's'), '$.k') AS BIGINT) AS k FROM events")
 def json_object_extract(spark, sf_dir):
-    wrapped = F.concat(F.lit("answer: ```json "), F.col("props"), F.lit(" ``` end"))
-    return table(spark, sf_dir, "events").where("props IS NOT NULL").select("event_id", documents.json_object_text(wrapped).alias("body"))
+    wrapped = F.when(F.col("props").isNotNull(), F.concat(F.lit("answer: ```json "), F.col("props"), F.lit(" ``` end")))
+    return table(spark, sf_dir, "events").select("event_id", _answer_key(wrapped).cast("long").alias("k"))
 
 
 # --- Search, budget, state
@@ -592,7 +634,13 @@ def llm_gate_modes(spark, sf_dir):
 def llm_item_filter(spark, sf_dir):
     """Items of unknown ids are dropped and the first of each id is kept: ids 0 to 4 of a batch of ten orders."""
     rows = table(spark, sf_dir, "orders").select(F.expr("o_orderkey div 10").alias("batch_no"), (F.col("o_custkey") % 7).alias("item_id"), F.col("o_orderkey").alias("pos"))
-    return rows.where("item_id < 5").groupBy("batch_no", "item_id").agg(F.min("pos").alias("pos"))
+
+    def known(batch: pd.DataFrame) -> pd.DataFrame:
+        items = [{"entity_id": str(i), "pos": pos} for i, pos in zip(batch["item_id"], batch["pos"])]
+        kept = first_known(sorted(items, key=lambda x: x["pos"]), set("01234"))
+        return pd.DataFrame({"batch_no": batch["batch_no"].iloc[:1].repeat(len(kept)).to_numpy(), "item_id": [int(x["entity_id"]) for x in kept], "pos": [x["pos"] for x in kept]})
+
+    return rows.groupBy("batch_no").applyInPandas(known, "batch_no long, item_id long, pos long")
 
 
 @register(
@@ -699,7 +747,11 @@ def run_stats(spark, sf_dir):
     return state.run_counts(_output(spark, sf_dir).withColumn("status", F.nullif("status", F.lit("not_processed"))))
 
 
-@register("result_lines")
+@register(
+    "result_lines",
+    _D_OUT
+    + """SELECT concat('{"id":', to_json(id), ',"name":', to_json(name), ',"entity_type":', to_json(entity_type), ',"status":', to_json(status), ',"attempts":', attempts, ',"error":', coalesce(CAST(to_json(error) AS VARCHAR), 'null'), ',"result":', CASE WHEN stored_name IS NULL THEN 'null' ELSE concat('{"input_name":', to_json(stored_name), '}') END, '}') AS value FROM out""",
+)
 def result_lines(spark, sf_dir):
     """The text of the results file, line by line."""
     from tessera.sources.files import json_lines

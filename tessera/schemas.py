@@ -14,9 +14,6 @@ RESULT = (
     "registry_has_active_record: boolean, resolution_sources: array<string>, needs_human_review: boolean>"
 )
 STORED = f"cache_key string, input_name string, entity_type string, status string, result {RESULT}, attempts long, last_error string, updated_at timestamp"
-USAGE = "usage_date string, model string, requests long, entities_sent long, successful_entities long, failed_requests long"
 #: A search answer: one item for each entity found.
 ITEM = f"struct<entity_id: string, canonical_name: string, ambiguous: boolean, ambiguity_notes: array<string>, aliases_used: array<string>, links: {LINKS}>"
-PAYLOAD = f"struct<results: array<{ITEM}>>"
-TYPES = ("person", "organization", "unknown")
 SUCCESS, UNRESOLVED, FAILED, NOT_PROCESSED = "success", "unresolved", "failed", "not_processed"

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import documents, names, urls
+from tessera.operators import matching, search
 
 
 def one(spark, column_of, *values):
@@ -158,9 +159,23 @@ def test_page_links(spark):
     assert one(spark, documents.anchor_hrefs, html)[1:] == ["https://t.me/s/chan/", "https://x.com/a/status/1", "//youtube.com/@u&amp;v"]
 
 
-def test_payloads(spark):
+def test_payloads():
     link = '{"platform": "x", "url": "https://x.com/a", "confidence": %s, "evidence": "e"}'
     good = '```json\n{"results": [{"entity_id": "1", "links": [' + link % "0.5" + "]}]}\n``` done"
     bad = '{"results": [{"entity_id": "1", "links": [' + link % "0.5" + ", " + link % "1.5" + "]}]}"
-    assert one(spark, documents.parse_payload, good)["results"][0]["links"][0]["confidence"] == 0.5
-    assert one(spark, documents.parse_payload, bad) is None and one(spark, documents.parse_payload, "no object") is None
+    assert search.check_items(search.read_object(good))[0]["links"][0]["confidence"] == 0.5
+    for text in (bad, "no object", "[1]", '{"results": 5}'):
+        with pytest.raises(search.InvalidResponse):
+            search.check_items(search.read_object(text))
+
+
+def test_variants_of_a_name_are_cut_before_they_are_normalized(spark):
+    """Full-width quotes and parentheses are no quotes and parentheses of the name as given."""
+    found = lambda name: one(spark, lambda n: names.search_names(n, F.lit("unknown")), name)
+    assert found("Медиа （Луг） ＂Дом＂") == ["медиа луг дом"]
+    assert found('Медиа № (Луг ①) "Дом"') == ["медиа no луг 1 дом", "медиа no луг 1", "дом", "луг 1"]
+
+
+def test_names_in_notes_are_quoted_like_texts(spark):
+    for name in ("plain", "it's", 'a "b"', "it's \"b\"", "back\\slash", "a\nb\tc"):
+        assert one(spark, matching.quoted, name) == repr(name)
