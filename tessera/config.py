@@ -22,6 +22,7 @@ class Config:
     output_jsonl: str = "data/results.jsonl"
     unresolved_csv: str = "data/unresolved.csv"
     store_dir: str = "data/store"
+    ledger_path: str = "data/usage.db"
     # run
     resolution_mode: str = "economy"
     max_entities_per_run: int = 0
@@ -38,6 +39,7 @@ class Config:
     registry_required: bool = True
     registry_refresh: bool = True
     registry_ttl_hours: float = 24.0
+    registry_url: str = ""
     registry_page_size: int = 200
     registry_page_delay: float = 0.2
     registry_timeout: float = 30.0
@@ -54,6 +56,7 @@ class Config:
     # search
     llm_enabled: bool = True
     llm_model: str = "search-model"
+    llm_url: str = ""
     llm_key: str = ""
     llm_require_grounding: bool = True
     llm_batch_size: int = 5

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 
 
 def cut(rows: DataFrame) -> DataFrame:
-    """rows, computed once and read from the folder in spark.checkpoint.dir from here on."""
+    """rows, computed once and read from the folder in spark.checkpoint.dir from here on; local sessions may go without that setting."""
     context = rows.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp())
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and (not context.master.startswith("local") or "cluster" in context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp())
     return rows.checkpoint()

@@ -6,15 +6,18 @@ One plan per pass; tables are written between passes, since what is stored must
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+import logging
+from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.config import Config
 from tessera.operators import entities as E
 from tessera.operators import links, matching, registry, results, state
-from tessera.operators.search import RegistryError, Searcher, spend
+from tessera.operators.search import LOG, RegistryError, Searcher, spend
 from tessera.schemas import ITEM, RECORD, RESULT, STORED
 from tessera.sources import files, web
 from tessera.sources.store import Store
@@ -22,17 +25,25 @@ from tessera.sources.store import Store
 OUTCOME = f"cache_key string, event string, item {ITEM}, error string, search_used boolean, search_queries array<string>, grounding_sources array<string>"
 
 
-@dataclass
-class RunStats:
-    total_input: int = 0
-    selected_for_shard: int = 0
-    processed: int = 0
-    cached: int = 0
-    success: int = 0
-    unresolved: int = 0
-    failed: int = 0
-    llm_pending: int = 0
-    llm_batches: int = 0
+class Counts(NamedTuple):
+    """What a run did: rows listed and selected, entities worked on, their statuses after it, and batches."""
+
+    listed: int
+    selected: int
+    worked: int
+    pending: int
+    answered: int
+    success: int
+    unresolved: int
+    failed: int
+
+    @property
+    def reused(self) -> int:
+        return self.selected - self.worked
+
+
+#: What a download can fail with; anything else is an error of the program and passes.
+UNREADABLE = (RegistryError, OSError, PySparkException, Py4JJavaError)
 
 
 class Engine:
@@ -44,6 +55,7 @@ class Engine:
 
     def __init__(self, spark: SparkSession, config: Config, registry_rows=None, provider=None, ledger=None, pages: DataFrame | None = None, sleep=None, fetch=web.fetch_html):
         self.spark, self.config, self.registry_rows, self.pages, self.fetch = spark, config, registry_rows, pages, fetch
+        logging.getLogger("tessera").setLevel(config.log_level.upper())
         self.store = Store(spark, config.store_dir)
         self.searcher = None
         if config.llm_enabled and provider is not None:
@@ -68,13 +80,14 @@ class Engine:
             records = registry.parse(self.registry_rows(), c.registry_confidence, c.registry_page_url)
             names = [x.split()[0] for x in RECORD.split("links")[0].split(", ") if x.strip()]
             records = records.select(*names, "links", "date_included", "date_excluded", "inn", "ogrn", "birth_date", "participants_raw", "raw")
-            records.persist()
-            n = records.count()
-            if not c.registry_min_expected <= n <= c.registry_max_records:
-                raise RegistryError(f"{n} records were read, {c.registry_min_expected} to {c.registry_max_records} are expected")
-            store.replace("registry", records)
-            records.unpersist()
-        except Exception as error:
+
+            def check(n: int) -> None:
+                if not c.registry_min_expected <= n <= c.registry_max_records:
+                    raise RegistryError(f"{n} records were read, {c.registry_min_expected} to {c.registry_max_records} are expected")
+
+            store.replace("registry", records, check)
+        except UNREADABLE as error:
+            LOG.warning("the registry could not be read: %s", str(error).split("\n")[0])
             if not have and c.registry_required:
                 raise error if isinstance(error, RegistryError) else RegistryError(str(error)) from error
             if not have:
@@ -100,7 +113,7 @@ class Engine:
             pages = self._snapshot("pages", web.pages_of(urls, self.config, self.fetch))
         return results.finalized(rows, self.config, pages)
 
-    def run(self, entities: DataFrame | None = None) -> tuple[RunStats, DataFrame]:
+    def run(self, entities: DataFrame | None = None) -> tuple[Counts, DataFrame]:
         """Work on the list; the counts and the output rows, which are also written."""
         c, spark = self.config, self.spark
         entities = files.read_entities(spark, c.input_csv) if entities is None else entities
@@ -122,15 +135,15 @@ class Engine:
         final = final.withColumn("o", state.outcome(F.lit("final"), F.size("result.links"), F.lit(None).cast("string")))
         self._save(final)
         pending = resolved.where("search")
-        stats = RunStats(total_input=total, selected_for_shard=selected.count(), processed=resolved.count(), llm_pending=pending.count())
-        stats.cached = stats.selected_for_shard - stats.processed
-        if stats.llm_pending:
-            stats.llm_batches = self._search(pending)
+        counts = {"listed": total, "selected": selected.count(), "worked": resolved.count(), "pending": pending.count()}
+        LOG.info("%(listed)s rows, %(selected)s selected, %(worked)s entities worked on, %(pending)s to search", counts)
+        counts["answered"] = self._search(pending) if counts["pending"] else 0
 
         rows = self._snapshot("output", files.output_rows(selected, self.stored()))
         touched = resolved.select("cache_key").join(self.stored(), "cache_key")
-        counts = state.run_counts(touched).first()
-        stats.success, stats.unresolved, stats.failed = counts["success"], counts["unresolved"], counts["failed"]
+        ended = state.run_counts(touched).first()
+        stats = Counts(**counts, **{k: ended[k] for k in ("success", "unresolved", "failed")})
+        LOG.info("%s success, %s unresolved, %s failed, %s batches answered", stats.success, stats.unresolved, stats.failed, stats.answered)
         files.write_results(rows, c.sharded(c.output_jsonl))
         files.write_unresolved(rows, c.sharded(c.unresolved_csv))
         return stats, rows
@@ -174,7 +187,7 @@ class Engine:
         groups: dict[int, list[dict]] = {}
         for r in asked:
             groups.setdefault(r["batch_no"], []).append({"id": r["cache_key"], "name": r["name"], "type": r["entity_type"]})
-        answered = spend([groups[k] for k in sorted(groups)], self.searcher, save)
+        answered = spend([groups[k] for k in sorted(groups)], self.searcher, save, c.progress_every)
         lines = [json.dumps(o, ensure_ascii=False) for o in outcomes]
         made = self.spark.createDataFrame([(x,) for x in lines], "line string").select(F.from_json("line", OUTCOME).alias("o")).select("o.*")
         joined = pending.join(made, "cache_key", "left").withColumn("event", F.coalesce("event", F.lit("quota")))

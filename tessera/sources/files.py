@@ -55,8 +55,28 @@ def json_lines(rows: DataFrame) -> DataFrame:
     return rows.withColumn("__head", json_line(rows)).transform(lambda d: d.select("row_no", json_line(d).alias("value"))).orderBy("row_no").select("value")
 
 
+def as_one_file(spark: SparkSession, path: str, head: bytes = b"") -> None:
+    """A written folder of part files as one file of that name, head before it: copied part by part in order, none held in memory."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs = folder.getFileSystem(conf)
+    whole = jvm.org.apache.hadoop.fs.Path(f"{path}.whole")
+    out = fs.create(whole, True)
+    out.write(bytearray(head))
+    for name in sorted(status.getPath().getName() for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/part-*"))):
+        part = fs.open(jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"))
+        jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+        part.close()
+    out.close()
+    fs.delete(folder, True)
+    fs.rename(whole, folder)
+
+
 def write_results(rows: DataFrame, path: str) -> None:
+    """One file of JSON lines, in order of row_no."""
     json_lines(rows).write.mode("overwrite").text(path)
+    as_one_file(rows.sparkSession, path)
 
 
 def unresolved(rows: DataFrame) -> DataFrame:
@@ -64,9 +84,10 @@ def unresolved(rows: DataFrame) -> DataFrame:
 
 
 def write_unresolved(rows: DataFrame, path: str) -> None:
-    """A folder of CSV part files with headers, in order of row_no; every header begins with a byte-order mark."""
+    """One CSV file with a header, in order of row_no; it begins with a byte-order mark."""
     found = unresolved(rows).orderBy("row_no").drop("row_no")
-    found.withColumnRenamed("id", "﻿id").write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    found.write.mode("overwrite").option("header", False).option("escape", '"').option("emptyValue", "").csv(path)
+    as_one_file(rows.sparkSession, path, b"\xef\xbb\xbf" + (",".join(found.columns) + "\n").encode())
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:

@@ -9,7 +9,7 @@ import urllib.request
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tessera.operators.registry import RAW
-from tessera.operators.search import RegistryError
+from tessera.operators.search import RegistryError, with_retry
 
 FIELDS = [x.split()[0] for x in RAW.split(", ")]
 
@@ -29,7 +29,8 @@ def replay_page(options: dict, offset: int) -> dict:
 
 
 def page(options: dict, offset: int) -> dict:
-    found = (replay_page if "rows" in options else http_page)(options, offset)
+    read = replay_page if "rows" in options else http_page
+    found = with_retry(lambda: read(options, offset), int(options.get("attempts", 1)), float(options.get("base_delay", 2)))
     if not isinstance(found, dict) or not isinstance(found.get("size"), int) or isinstance(found.get("size"), bool) or found["size"] < 0 or not isinstance(found.get("values"), list):
         raise RegistryError("a page of the registry cannot be read")
     return found
@@ -86,4 +87,5 @@ def download(spark, config, **options):
 
     spark.dataSource.register(RegistrySource)
     read = spark.read.format("registry").option("page_size", str(config.registry_page_size)).option("max_records", str(config.registry_max_records)).option("delay", str(config.registry_page_delay))
+    read = read.option("timeout", str(config.registry_timeout)).option("attempts", str(config.registry_attempts)).option("base_delay", str(config.registry_base_delay))
     return dedupe_pages(read.options(**options).load())

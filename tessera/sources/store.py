@@ -1,7 +1,8 @@
 """Persistent tables as snapshots with a pointer, and the ledger of the search budget.
 
-A write makes a new snapshot folder and then replaces the pointer file; readers see the old or the new snapshot,
-never a part. One writer at a time is assumed.
+A write makes a new snapshot folder and then a pointer file of the next number; readers take the pointer of the highest number, so
+they see the old or the new snapshot, never a part and never none. The pointer before it stays with its snapshot for
+readers that still hold it; older ones are deleted. One writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ import datetime as dt
 import json
 import sqlite3
 import uuid
+from collections.abc import Callable
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,33 +28,51 @@ class Store:
     def _path(self, name: str):
         return self.jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
 
-    def manifest(self, table: str) -> dict | None:
-        """{snapshot, rows, written_at, ...} of a table, or None."""
-        path = self._path(f"{table}.json")
-        if not self.fs.exists(path):
-            return None
-        stream = self.fs.open(path)
+    def _pointers(self, table: str) -> list[str]:
+        """Names of a table's pointer files, the newest last."""
+        return sorted(status.getPath().getName() for status in self.fs.globStatus(self._path(f"{table}.pointer-*.json")) or [])
+
+    def _read(self, name: str) -> dict:
+        stream = self.fs.open(self._path(name))
         try:
             return json.loads(bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode())
         finally:
             stream.close()
 
+    def manifest(self, table: str) -> dict | None:
+        """{snapshot, rows, written_at, ...} of a table, or None."""
+        found = self._pointers(table)
+        return self._read(found[-1]) if found else None
+
     def _point(self, table: str, manifest: dict) -> None:
-        new = self._path(f"{table}.json.{uuid.uuid4().hex}")
+        before = self._pointers(table)
+        number = int(before[-1].split("-")[-1].split(".")[0]) + 1 if before else 0
+        new = self._path(f".{table}-{uuid.uuid4().hex}")
         stream = self.fs.create(new, True)
         stream.write(bytearray(json.dumps(manifest).encode()))
         stream.close()
-        old = self._path(f"{table}.json")
-        if self.fs.exists(old):
-            self.fs.delete(old, False)
-        self.fs.rename(new, old)
+        if not self.fs.rename(new, self._path(f"{table}.pointer-{number:012d}.json")):
+            raise OSError(f"{table}: the new pointer could not be put in place")
+        held = {manifest["snapshot"], *(self._read(name)["snapshot"] for name in before[-1:])}
+        for name in before[:-1]:
+            snapshot = self._read(name)["snapshot"]
+            self.fs.delete(self._path(name), False)
+            if snapshot not in held:
+                self.fs.delete(self._path(snapshot), True)
 
-    def replace(self, table: str, rows: DataFrame, **more) -> DataFrame:
-        """rows as the table's new snapshot."""
+    def replace(self, table: str, rows: DataFrame, check: Callable[[int], None] | None = None, **more) -> DataFrame:
+        """rows as the table's new snapshot, if check(number of rows) does not raise."""
         name = f"{table}-{uuid.uuid4().hex}"
         rows.write.parquet(f"{self.folder}/{name}")
         written = self.spark.read.parquet(f"{self.folder}/{name}")
-        self._point(table, {"snapshot": name, "rows": written.count(), "written_at": dt.datetime.now(dt.UTC).isoformat(), **more})
+        n = written.count()
+        try:
+            if check:
+                check(n)
+        except Exception:
+            self.fs.delete(self._path(name), True)
+            raise
+        self._point(table, {"snapshot": name, "rows": n, "written_at": dt.datetime.now(dt.UTC).isoformat(), **more})
         return written
 
     def load(self, table: str, schema: str) -> DataFrame:

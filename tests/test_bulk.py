@@ -1,14 +1,20 @@
 """Bulk runs with recorded registry and search: states, attempts, quota, replay, output files."""
 
+import csv
 import json
+import threading
+from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
+from pyspark.sql import functions as F
 
+from tessera.__main__ import main
 from tessera.config import Config, ConfigError
 from tessera.operators import registry
-from tessera.operators.search import Answer, EngineError, InvalidResponse, RateLimiter, ReplayProvider, check_items, is_transient, read_object, with_retry
+from tessera.operators.search import Answer, EngineError, InvalidResponse, RateLimiter, RegistryError, ReplayProvider, check_items, is_transient, read_object, with_retry
 from tessera.plans.bulk import Engine
-from tessera.sources import files, registry_api
+from tessera.schemas import RESULT
+from tessera.sources import files, registry_api, search_api
 from tessera.sources.store import Ledger, Store
 
 
@@ -65,7 +71,7 @@ def test_states_quota_and_second_run(spark, tmp_path, entities):
     assert [x["url"] for x in got["1"]["result"]["links"]] == ["https://t.me/test", "https://test.example.org/"]
     assert got["k2"]["result"]["resolution_sources"] == ["search"] and got["k2"]["result"]["search_queries"] == ["q"]
     assert got["k3"]["result"]["registry_record_ids"] == ["2"] and got["k4"]["result"]["entity_id"] == "k3"
-    assert (stats.total_input, stats.processed, stats.cached, stats.success, stats.unresolved, stats.llm_pending, stats.llm_batches) == (5, 4, 1, 2, 2, 3, 2)
+    assert (stats.listed, stats.worked, stats.reused, stats.success, stats.unresolved, stats.pending, stats.answered) == (5, 4, 1, 2, 2, 3, 2)
     usage = first.searcher.ledger.usage(first.config.llm_model)
     assert (usage["requests"], usage["entities_sent"], usage["successful_entities"], usage["failed_requests"]) == (3, 3, 1, 1)
 
@@ -74,12 +80,12 @@ def test_states_quota_and_second_run(spark, tmp_path, entities):
     stats, rows = again.run(entities)
     got = {r["id"]: (r["status"], r["attempts"], r["error"]) for r in rows.collect()}
     assert got["1"][0] == got["k2"][0] == "success" and got["k3"][:2] == ("unresolved", 2) and got["k5"][:2] == ("unresolved", 1)
-    assert stats.llm_batches == 1 and stats.cached == 3
+    assert stats.answered == 1 and stats.reused == 3
 
     # All that stands is reused; the entity with an attempt left fails without an answer.
     third = engine(spark, tmp_path, [], llm_daily_budget=4)
     stats, rows = third.run(entities)
-    assert stats.cached == 4 and {r["id"]: r["attempts"] for r in rows.collect()}["k5"] == 1
+    assert stats.reused == 4 and {r["id"]: r["attempts"] for r in rows.collect()}["k5"] == 1
     lines = [json.loads(x) for x in sorted(spark.read.text(third.config.output_jsonl).toPandas()["value"])]
     assert len(lines) == 5 and all(list(x) == ["id", "name", "entity_type", "status", "attempts", "error", "result"] for x in lines)
     printed = {r["value"] for r in files.link_lines(files.read_results(spark, third.config.output_jsonl)).collect()}
@@ -98,7 +104,7 @@ def test_answers_outlive_a_stopped_run(spark, tmp_path):
     again = engine(spark, tmp_path, [lambda e: asked.append(e[0]["name"]) or answer(item(e[0]["id"], "https://x.com/m"))] * 2)
     stats, out = again.run(rows)
     got = {r["name"]: r for r in out.collect()}
-    assert {r["status"] for r in got.values()} == {"success"} and sorted(asked) == ["Кто", "Некто"] and stats.llm_batches == 2
+    assert {r["status"] for r in got.values()} == {"success"} and sorted(asked) == ["Кто", "Некто"] and stats.answered == 2
     assert [x["url"] for x in got["Никто"]["result"]["links"]] == ["https://x.com/n"] and again.store.logged("asked") == {}
 
 
@@ -130,10 +136,96 @@ def test_store(spark, tmp_path):
     store.replace("t", spark.range(3).withColumnRenamed("id", "a"))
     store.replace("t", store.load("t", "a long").where("a > 0"))
     assert store.count("t") == store.load("t", "a long").count() == 2 and store.is_fresh("t", 24)
+    for k in range(4):  # a reader of the snapshot before is not disturbed; older ones go
+        before = store.load("t", "a long")
+        store.replace("t", spark.range(k + 1).withColumnRenamed("id", "a"))
+        assert before.count() == (k or 2)
+    assert len(list((tmp_path / "s").glob("t-*"))) == 2 and len(list((tmp_path / "s").glob("t.pointer-*"))) == 2
+    with pytest.raises(RegistryError):
+        store.replace("t", spark.range(9), check=lambda n: (_ for _ in ()).throw(RegistryError(str(n))))
+    assert store.count("t") == 4
+    store.replace("t", spark.range(2).withColumnRenamed("id", "a"))
     store.expire("t")
     assert not store.is_fresh("t", 24) and store.count("t") == 2
 
 
+@pytest.fixture
+def server():
+    """A local interface: respond(path, body) -> (status, answer); its address and the requests it got."""
+    seen = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            seen.append((self.path, asked))
+            status, answer = made.respond(self.path, asked)
+            self.send_response(status)
+            self.end_headers()
+            self.wfile.write(json.dumps(answer).encode())
+
+        def log_message(self, *args):
+            pass
+
+    made = HTTPServer(("127.0.0.1", 0), Handler)
+    made.seen, made.address = seen, f"http://127.0.0.1:{made.server_port}"
+    threading.Thread(target=made.serve_forever, daemon=True).start()
+    yield made
+    made.shutdown()
+
+
+def pages_of(total):
+    return lambda asked: {"size": total, "values": [{"id": str(k), "field_1_i": str(k), "field_2_s": f"Фонд номер {k}"} for k in range(asked["offset"], min(total, asked["offset"] + asked["limit"]))]}
+
+
+def test_registry_pages_are_asked_again(server):
+    """Pages over HTTP, after two errors of passing trouble."""
+    server.respond = lambda path, asked: (503 if len(server.seen) < 3 else 200, pages_of(5)(asked))
+    options = {"url": f"{server.address}/", "attempts": "3", "base_delay": "0", "page_size": "2"}
+    rows = [registry_api.page(options, k)["values"] for k in (0, 2, 4)]
+    assert [len(r) for r in rows] == [2, 2, 1] and [asked["offset"] for _, asked in server.seen] == [0, 0, 0, 2, 4]
+
+
+def test_entry_points(spark, tmp_path, server, capsys):
+    found = {"results": [{"entity_id": None, "links": [{"platform": "x", "url": "https://x.com/kto", "confidence": 0.9, "evidence": "e"}]}]}
+
+    def respond(path, asked):
+        if path == "/registry":
+            return 200, pages_of(3)(asked)
+        prompt = asked["contents"][0]["parts"][0]["text"]
+        found["results"][0]["entity_id"] = json.loads(prompt[prompt.rindex("\n[") :])[0]["id"]
+        return 200, {"candidates": [{"content": {"parts": [{"text": "```json " + json.dumps(found) + " ```"}]}, "groundingMetadata": {"webSearchQueries": ["q"], "groundingChunks": [{"web": {"uri": "https://s.example.org/"}}, {}]}}]}
+
+    server.respond = respond
+    (tmp_path / "in.csv").write_text("name,type\nКто Там,person\nФонд номер 2,organization\n")
+    settings = {
+        "INPUT_CSV": str(tmp_path / "in.csv"), "OUTPUT_JSONL": str(tmp_path / "out.jsonl"), "UNRESOLVED_CSV": str(tmp_path / "un.csv"), "STORE_DIR": str(tmp_path / "store"), "LEDGER_PATH": str(tmp_path / "usage.db"), "REGISTRY_URL": f"{server.address}/registry",
+        "REGISTRY_MIN_EXPECTED": "1", "REGISTRY_PAGE_DELAY": "0", "LLM_URL": server.address, "LLM_KEY": "k", "LLM_REQUESTS_PER_MINUTE": "100",
+    }
+    run = lambda *a: (main(list(a), settings, spark), capsys.readouterr().out)[1]
+    assert run("registry").strip() == "3"
+    counts = json.loads(run("bulk"))
+    assert counts["listed"] == counts["worked"] == counts["pending"] == 2 and counts["answered"] == 1
+    lines = {x["name"]: x for x in map(json.loads, open(tmp_path / "out.jsonl", encoding="utf-8"))}
+    assert [x["url"] for x in lines["Кто Там"]["result"]["links"]] == ["https://x.com/kto"] and lines["Кто Там"]["result"]["grounding_sources"] == ["https://s.example.org/"]
+    assert lines["Фонд номер 2"]["result"]["registry_record_ids"] == ["2"]
+    assert json.loads(run("one", "Фонд номер 1", "--type", "organization"))["canonical_name"] == "Фонд номер 1"
+    assert ": 2/480 requests" in run("usage")
+    with pytest.raises(InvalidResponse):
+        search_api.answer_of({"candidates": []})
+
+
+def test_results_are_single_files(spark, tmp_path):
+    rows = spark.createDataFrame([(str(i), f'n "{i}", x', "person", "failed", 1, "e", i) for i in range(9, 0, -1)], "id string, name string, entity_type string, status string, attempts long, error string, row_no long").repartition(4).withColumn("result", F.lit(None).cast(RESULT))
+    out, csv_path = str(tmp_path / "r.jsonl"), str(tmp_path / "u.csv")
+    for _ in range(2):  # also over an earlier file
+        files.write_results(rows, out)
+        files.write_unresolved(rows, csv_path)
+    assert [json.loads(x)["id"] for x in open(out, encoding="utf-8")] == [str(i) for i in range(1, 10)]
+    text = open(csv_path, encoding="utf-8").read()
+    assert text.startswith("\ufeffid,name,entity_type,status,attempts,error\n") and text.count("\ufeff") == 1
+    assert [r[0] for r in csv.reader(text.splitlines()[1:])] == [str(i) for i in range(1, 10)]
+
+
 def test_config():
     assert Config.from_mapping({"LLM_KEY": "k", "CRAWLER_ENABLED": "Yes", "SHARD_COUNT": "2", "SHARD_INDEX": " ", "MIN_CONFIDENCE": "0.5"}).crawler_enabled
     assert Config(llm_key="k", shard_count=2, shard_index=1).sharded("a/b.jsonl") == "a/b.shard-1-of-2.jsonl"
@@ -150,8 +242,11 @@ def test_search_pieces():
         with pytest.raises(InvalidResponse):
             check_items({"results": [item("2"), bad]})
     error = RuntimeError()
-    error.__cause__ = ConnectionError()
-    assert is_transient(error) and not is_transient(ValueError())
+    error.__cause__ = OSError()
+    error.__cause__.status_code = 503
+    chained = RuntimeError()
+    chained.__cause__ = ConnectionError()
+    assert is_transient(error) and is_transient(ConnectionError()) and not is_transient(chained) and not is_transient(ValueError())
     calls = []
     with pytest.raises(TimeoutError):
         with_retry(lambda: calls.append(1) or (_ for _ in ()).throw(TimeoutError()), 3, 1.0, lambda s: None)
