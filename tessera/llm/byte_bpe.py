@@ -6,7 +6,8 @@ holds list positions; a position whose pair has changed since is stale and skipp
 merges done, so a pre-token of a million bytes takes no longer for each byte than a short one.
 
 Defined results: a null text is empty, has no ids and decodes to nothing; special-token strings in a text are
-ordinary text; repeated rows count each.
+ordinary text; repeated rows count each; a null doc_id stays null; texts of any length are encoded whole; an empty table gives an
+empty result; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -218,16 +219,5 @@ def byte_bpe(docs: DataFrame, path: str | None = None, pattern: str | None = Non
     return map_texts(docs, SCHEMA, factory, limit=BATCH)
 
 
-def encode_texts(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """doc_id and the ids of each text."""
-    path, pattern = path or vocabulary()[0], pattern or vocabulary()[1]
-
-    def factory():
-        bpe = worker_cache(("byte_bpe", path, pattern), lambda: ByteBpe(path, pattern))
-        return lambda keys, texts: [pa.array(keys, pa.int64()), pa.array([bpe.encode(t) if t else [] for t in texts], pa.list_(pa.int32()))]
-
-    return map_texts(docs, "doc_id long, ids array<int>", factory)
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe(read(spark, sf_dir, "documents"))

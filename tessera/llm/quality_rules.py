@@ -4,8 +4,12 @@ Each document gets base counts and a base verdict. Failures are then summed by h
 host's failure rate is shrunk towards an empirical beta prior fitted to all hosts by moments, and a host whose
 posterior mean is over the limit loses its documents.
 
-Defined results: a null or blank text has no words and fails the base rule; a null host is a host of its own;
-repeated rows count each; an empty table gives an empty result; extra columns of the input are ignored.
+Verdicts of hosts with very many documents, of which there are HOT_HOSTS at most, are broadcast; those of all others meet their
+documents in a shuffle, in which no host is large.
+
+Defined results: a null or blank text has no words and fails the base rule; a null host is a host of its own; a null doc_id stays
+null; repeated rows count each; a text of any length is counted whole; an empty table gives an empty result; extra columns of
+the input are ignored.
 """
 
 from __future__ import annotations
@@ -21,8 +25,8 @@ REPEAT_PERCENT = 30
 WINDOW = 8
 #: A host goes when its shrunk failure rate is over this.
 HOST_LIMIT = 0.5
-#: Parts into which the rows of one host are dealt for the join with the verdicts.
-SALTS = 16
+#: A host is hot if it has more documents than so many, and than one HOT_HOSTS-th of all: there are no more than HOT_HOSTS of them.
+HOT_ROWS, HOT_HOSTS = 1000, 10_000
 SPACE = b"\t\n\v\f\r "
 COUNTS = "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
@@ -105,13 +109,15 @@ def quality_rules(docs: DataFrame, host: str = "source", limit: float = HOST_LIM
     counted = count_rows(docs, host)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     rows = materialize(counted.withColumn("base_failed", failed))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    verdicts = host_verdicts(rows, limit).select("host", "host_rate", "host_kept", salts)
-    # The rows of a host are dealt into SALTS parts, so that one host never makes one task.
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)).cast("int"))
-    joined = salted.alias("r").join(verdicts.alias("v"), F.col("r.host").eqNullSafe(F.col("v.host")) & (F.col("r.salt") == F.col("v.salt")))
+    verdicts = host_verdicts(rows, limit)
+    most = max(HOT_ROWS, rows.count() // HOT_HOSTS)
+    hot = F.broadcast(verdicts.where(F.col("n_docs") > most))
+    same = F.col("r.host").eqNullSafe(F.col("v.host"))
+    others = rows.alias("r").join(hot.alias("v"), same, "left_anti")
     columns = [F.col(f"r.{c}") for c in ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")]
-    return joined.select(*columns, (~F.col("base_failed") & F.col("host_kept")).alias("kept"), F.round("host_rate", 9).alias("host_rate"))
+    columns += [(~F.col("r.base_failed") & F.col("v.host_kept")).alias("kept"), F.round("v.host_rate", 9).alias("host_rate")]
+    of_hot = rows.alias("r").join(hot.alias("v"), same).select(*columns)
+    return of_hot.union(others.alias("r").join(verdicts.where(F.col("n_docs") <= most).alias("v"), same).select(*columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
