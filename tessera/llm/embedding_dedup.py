@@ -189,17 +189,17 @@ def cell_links(units: DataFrame, found: DataFrame, largest: int, kind: str, thre
     return rows.groupBy("pair").applyInArrow(compare, "a long, b long")
 
 
-def far_counts(members: DataFrame, kind: str, threshold: float = THRESHOLD) -> DataFrame:
-    """vec_id and its links with or as a vector far from its pivot; members of components that have such vectors.
+def far_counts(members: DataFrame, sizes: DataFrame, kind: str, threshold: float = THRESHOLD) -> DataFrame:
+    """vec_id and its links with or as a vector far from its pivot; sizes has n_core and n_far of each component.
 
     Vectors meet by the pair of their blocks, so no component is gathered; a far block meets every block of its component.
     """
     place = ["component", "core", "block"]
-    sizes = members.groupBy("component", "core").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    placed = members.join(sizes.hint("merge"), ["component", "core"]).withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks")).drop("blocks")
-    blocks = sizes.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
-    far = blocks.where("NOT core").select("component", F.col("block").alias("b1"))
-    met = far.join(blocks.select("component", F.col("core").alias("c2"), F.col("block").alias("b2")), "component").where("c2 OR b1 <= b2")
+    some = sizes.where("n_far > 0").select("component", F.ceil(F.col("n_core") / BLOCK).alias("core_blocks"), F.ceil(F.col("n_far") / BLOCK).alias("far_blocks"))
+    placed = members.join(some.hint("merge"), "component").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.when(F.col("core"), F.col("core_blocks")).otherwise(F.col("far_blocks")))).drop("core_blocks", "far_blocks")
+    numbers = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
+    far = some.select("component", "core_blocks", "far_blocks", F.explode(numbers("far_blocks")).alias("b1"))
+    met = far.select("component", "b1", F.lit(True).alias("c2"), F.explode(numbers("core_blocks")).alias("b2")).union(far.select("component", "b1", F.lit(False), F.explode(F.sequence(F.col("b1"), F.col("far_blocks") - 1))))
     met = met.withColumn("pair", F.xxhash64("component", "b1", "c2", "b2"))
     same = F.expr("NOT c2 AND b1 = b2")
     lefts = met.select("component", F.lit(False).alias("core"), F.col("b1").alias("block"), "pair", F.when(same, 2).otherwise(0).alias("side"))
@@ -249,7 +249,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     members = materialize(members.join(pivots.hint("merge"), "component").select("vec_id", "component", "unit", "pivot").mapInArrow(angles, "vec_id long, component long, unit binary, core boolean"), compact=True)
     sizes = members.groupBy("component").agg(F.count_if("core").alias("n_core"), F.count_if(~F.col("core")).alias("n_far"))
-    far = far_counts(members.join(sizes.where("n_far > 0").select("component").hint("merge"), "component", "left_semi"), kind, threshold)
+    far = far_counts(members, sizes, kind, threshold)
     counts = members.select("vec_id", "component", "core").join(sizes.hint("merge"), "component").join(far, "vec_id", "left")
     links = F.when(F.col("core"), F.col("n_core") - 1).otherwise(0) + F.coalesce("far_links", F.lit(0))
     counts = counts.select("vec_id", "component", links.alias("links"))
