@@ -29,7 +29,7 @@ END_ID = 1
 #: The rests of one length are numbered in parts of about so many rows of the table, in so many parts at least.
 PART_ROWS, LEAST_PARTS = 20_000, 64
 #: Words remembered in each of two generations, and the greatest length of a piece that is remembered.
-MEMO_SIZE, MEMO_LENGTH = 400_000, 64
+MEMO_SIZE, MEMO_LENGTH = 100_000, 64
 #: Bytes of plain texts cut at once.
 CUT_BYTES = 2 << 20
 #: Characters on which the tokenizer's normalizer does no more than lower-casing: Latin-1 without its controls and spaces beyond ASCII.
