@@ -16,6 +16,8 @@ MODULES = {
     "op8_weighted_minhash": "weighted_minhash",
     "op9_byte_bpe": "byte_bpe",
     "op10_language_id": "language_id",
+    "op11_line_dedup": "line_dedup",
+    "op12_importance_resampling": "importance_resampling",
 }
 
 

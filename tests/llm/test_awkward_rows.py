@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as P
-from tessera.llm import byte_bpe, embedding_dedup, html_text, language_id, packing, quality_classifier, quality_rules, secrets, suffix_dedup, weighted_minhash
+from tessera.llm import byte_bpe, embedding_dedup, html_text, importance_resampling, language_id, line_dedup, packing, quality_classifier, quality_rules, secrets, suffix_dedup, weighted_minhash
 from tests.llm.conftest import rows as plain_rows
 
 #: Names that the operators use inside, and names of results.
@@ -44,6 +44,8 @@ BY_DOCUMENT = {
     "op8": lambda docs, labels: weighted_minhash.near_documents(docs),
     "op9": lambda docs, labels: byte_bpe.byte_bpe(docs),
     "op10": lambda docs, labels: language_id.identify(docs),
+    "op11": lambda docs, labels: line_dedup.dedup_lines(docs),
+    "op12": lambda docs, labels: importance_resampling.resample(docs, docs.where("lang = 'en'"), percent=40),
 }
 
 
@@ -56,8 +58,7 @@ def test_a_row_for_each_document(awkward, labels, name):
     got = told(BY_DOCUMENT[name](awkward, labels))
     assert Counter(r[0] for r in got) == Counter(r[0] for r in rows())
     # Neither partitions nor the order of rows matter.
-    if name != "op5":
-        assert told(BY_DOCUMENT[name](awkward.repartition(2, "n_chars").sortWithinPartitions("lang"), labels)) == got
+    assert told(BY_DOCUMENT[name](awkward.repartition(2, "n_chars").sortWithinPartitions("lang"), labels)) == got
 
 
 @pytest.mark.parametrize("name", BY_DOCUMENT)
