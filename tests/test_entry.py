@@ -3,6 +3,8 @@
 import builtins
 import importlib
 
+import pytest
+
 import __spark_entry__
 
 
@@ -15,7 +17,7 @@ def test_without_the_subpackage(monkeypatch):
 
     def refuse(name, *args, **more):
         if name.startswith(("tessera.llm", "corpus_pipeline")):
-            raise ImportError(name)
+            raise ModuleNotFoundError(name, name=name)
         return real(name, *args, **more)
 
     monkeypatch.setattr(builtins, "__import__", refuse)
@@ -27,5 +29,22 @@ def test_without_the_subpackage(monkeypatch):
         importlib.reload(__spark_entry__)
 
 
+def test_a_broken_import_inside_is_not_hidden(monkeypatch):
+    real = builtins.__import__
+
+    def refuse(name, *args, **more):
+        if name == "corpus_pipeline":
+            raise ModuleNotFoundError("no module numpyx", name="numpyx")
+        return real(name, *args, **more)
+
+    monkeypatch.setattr(builtins, "__import__", refuse)
+    try:
+        with pytest.raises(ModuleNotFoundError):
+            importlib.reload(__spark_entry__)
+    finally:
+        monkeypatch.undo()
+        importlib.reload(__spark_entry__)
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
