@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import unicodedata
-from difflib import SequenceMatcher
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
+from tessera.functions.ratio import ratios
+
 # Fixed values.
 CACHE_KEY_VERSION = "v2-minjust"
 LEGAL_FORM_WORDS = (
@@ -134,7 +136,7 @@ def ratio_bound(a: Column, b: Column) -> Column:
 @F.pandas_udf(DoubleType())
 def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Ratcliff/Obershelp ratio, arguments in this order (it is not symmetric)."""
-    return pd.Series([SequenceMatcher(None, a, b).ratio() if a is not None and b is not None else None for a, b in zip(left, right)], dtype="float64")
+    return pd.Series(ratios(*(pa.array(texts, pa.large_string(), from_pandas=True) for texts in (left, right))))
 
 
 def plain_score(left: Column, right: Column, a: Column, b: Column, equal: Column) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions import names
+from tessera.functions import names, urls
 from tessera.operators.registry import is_active, name_index, token_index
 from tessera.operators.tables import cut
 
@@ -65,48 +65,92 @@ def kind_tokens(name: str) -> Column:
     return F.when(F.col("kind") == "organization", names.core_tokens(F.col(name))).otherwise(names.tokens(F.col(name)))
 
 
-def least_shared(least: float, one: Column, other: Column) -> Column:
-    """How many tokens names of `one` and `other` distinct tokens must share, one at least, to reach the bound `least`; null if none do."""
-    fewer = F.least(one, other)
-    reach = F.filter(F.sequence(F.lit(1), fewer), lambda k: names.score_bound(k / (one + other - k), k / fewer) >= least - 1e-9)
-    return F.get(reach, F.lit(0))
+#: Names of so many distinct tokens at most meet at pairs of tokens, longer ones at single tokens.
+SHORT = 8
+
+
+def shared_bound(shared: Column, one: Column, other: Column) -> Column:
+    """No score of names of `one` and `other` distinct tokens that share `shared` at most is higher (of those that sets do not decide)."""
+    k = F.least(shared, one, other)
+    return names.score_bound(k / (one + other - k), k / F.least(one, other))
+
+
+def signature(held: Column) -> Column:
+    """64 bits, one for each token's hash: what is set in one signature only stands for a token of one name only."""
+    return F.aggregate(held, F.lit(0).cast("long"), lambda bits, t: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(t), F.lit(64)).cast("int"))))
+
+
+def near_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """cache_key, kind, record_id and name_no of names that may reach the bound `least`.
+
+    left: cache_key, kind and a; right: record_id, name_no, kind and b; a and b are token lists. The tokens of a name are ordered from
+    the rarest on among the right ones; those that no right name holds are passed over. Two names that reach the bound share k tokens,
+    of which the first stand early in both: where p is a token's position among the h that count, names that have it as first common
+    token share h - p + 1 at most. So a name gives only its tokens of a high enough bound:
+
+    - single tokens with both sizes, for names so short that one shared token is enough;
+    - pairs of tokens, if it is short: short names that share two tokens meet at the first two, so a token that most names hold
+      is no key by itself;
+    - single tokens for names of which one at least is long.
+
+    That is at most SHORT * (SHORT - 1) / 2 pairs and a fixed number of rows for each token. Rows carry ids, sizes, positions and
+    signatures only; a met pair stays if its positions and signatures allow the bound.
+    """
+    count = right.select("kind", F.explode(F.array_distinct("b")).alias("token")).groupBy("kind", "token").agg(F.count("*").alias("n"))
+    jaccard = min((least - 0.70) / 0.30, (least - 0.65) / 0.35)
+    enough = F.lit(least - 1e-9)
+
+    def rows(frame: DataFrame, tokens: str, key: list[str]) -> DataFrame:
+        """One row for each name: its tokens that count in order, h, size and signature."""
+        single = frame.select(*key, F.size(F.array_distinct(tokens)).alias("size"), signature(F.array_distinct(tokens)).alias("bits"), F.explode(F.array_distinct(tokens)).alias("token"))
+        held = single.join(count, ["kind", "token"]).groupBy(*key).agg(F.first("size").alias("size"), F.first("bits").alias("bits"), F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ordered"))
+        return held.select(*key, "size", "bits", F.size("ordered").alias("h"), F.col("ordered.token").alias("ordered"))
+
+    def keyed(frame: DataFrame, tokens: str, side: str, key: list[str]) -> DataFrame:
+        made, size, h, ordered = rows(frame, tokens, key), F.col("size"), F.col("h"), F.col("ordered")
+        form = lambda name, token, at: F.struct((F.lit(name) if isinstance(name, str) else name).alias("form"), token.alias("token"), at.cast("int").alias("at"))
+        if jaccard <= 0:  # one shared token may be enough in names of any size
+            keys = F.transform(ordered, lambda t, i: form("any", t, i + 1))
+        else:
+            early = lambda at, more: F.size(ordered) - at + more
+            fits = lambda shared: names.score_bound(F.least(shared, size) / size, F.lit(1.0)) >= enough
+            # Alone: by both sizes, left one first; one shared token needs na + nb - 1 <= 1 / jaccard.
+            sizes = F.filter(F.sequence(F.lit(1), F.lit(max(1, int(1 / jaccard + 1e-6)))), lambda n: shared_bound(F.lit(1), size, n) >= enough)
+            named = lambda n: F.concat_ws(":", F.lit("one"), *((size, n) if side == "left" else (n, size)))
+            alone = F.flatten(F.transform(sizes, lambda n: F.transform(ordered, lambda t, i: form(named(n), t, i + 1))))
+            firsts = lambda more: F.filter(F.transform(ordered, lambda t, i: F.struct(t.alias("t"), (i + 1).alias("at"))), lambda x: fits(early(x["at"], more)))
+            twos = urls.let(firsts(2), lambda f: F.flatten(F.transform(f, lambda x, i: F.transform(F.slice(f, i + 2, F.size(f)), lambda y: form("two", F.concat(x["t"], F.lit(" "), y["t"]), y["at"])))))
+            meet = lambda name: F.transform(firsts(1), lambda x: form(name, x["t"], x["at"]))
+            # Forms name the left name first.
+            as_short, as_long = ("short-long", "long-short") if side == "left" else ("long-short", "short-long")
+            keys = F.concat(alone, F.when(size <= SHORT, F.concat(twos, meet(as_short))).otherwise(F.concat(meet("long-long"), meet(as_long))))
+        return made.select(*key, "size", "bits", "h", F.explode(keys).alias("key")).select(*key, "size", "bits", "h", "key.*")
+
+    x = keyed(left, "a", "left", ["cache_key", "kind"]).alias("x")
+    y = keyed(right, "b", "right", ["record_id", "name_no", "kind"]).alias("y")
+    same = (F.col("x.kind") == F.col("y.kind")) & (F.col("x.form") == F.col("y.form")) & (F.col("x.token") == F.col("y.token"))
+    # At the first common token (of a pair: the second one) no more than this is shared.
+    after = F.when(F.col("x.form") == "two", 2).otherwise(1) + F.least(F.col("x.h") - F.col("x.at"), F.col("y.h") - F.col("y.at"))
+    only = lambda one, other: F.col(f"{one}.size") - F.bit_count(F.col(f"{one}.bits").bitwiseAND(F.bitwise_not(F.col(f"{other}.bits"))))
+    shared = F.least(after, only("x", "y"), only("y", "x"))
+    met = x.join(y, same & (shared >= 1) & (shared_bound(shared, F.col("x.size"), F.col("y.size")) >= enough))
+    return met.select("x.cache_key", "x.kind", "y.record_id", "y.name_no").distinct()
 
 
 def near_rows(entities: DataFrame, records: DataFrame, least: float) -> DataFrame:
     """As name_rows, of all pairs of an entity and a search name that share a token, fit in type and have a bound of `least`.
 
-    The tokens of a name are ordered from the rarest on among the records. If two names of na and nb tokens share k of them, the first
-    na - k + 2 of the one and nb - k + 2 of the other have two tokens in common (if k is 1, all tokens one). So pairs of these
-    first tokens, with both sizes, are the keys of an equi-join, and names meet at the first key that they share: one
-    token that most names hold is no key, unless it is enough.
+    Candidates meet as ids (near_pairs); names are fetched for them alone, and their tokens are compared then.
     """
     kinds = F.when(F.col("entity_type") == "unknown", F.array(F.lit("person"), F.lit("organization"))).otherwise(F.array("entity_type"))
     left = entities.select("cache_key", F.col("normalized_name").alias("name_key"), F.explode(kinds).alias("kind")).withColumn("a", kind_tokens("name_key"))
-    right = records.select("record_id", F.col("entity_type").alias("kind"), F.explode("search_names").alias("search_name")).withColumn("b", kind_tokens("search_name"))
-    held = right.select("kind", F.explode(F.array_distinct("b")).alias("token")).groupBy("kind", "token").agg(F.count("*").alias("n"))
-    # The sizes of names that may reach the bound follow from the Jaccard similarity needed; without one any size may.
-    jaccard = min((least - 0.70) / 0.30, (least - 0.65) / 0.35)
-    largest = None if jaccard > 0 else max(frame.agg(F.max(F.size(c))).first()[0] or 0 for frame, c in ((left, "a"), (right, "b")))
-
-    def keyed(rows: DataFrame, tokens: str, own: str, other: str, key: list[str]) -> DataFrame:
-        known = rows.select(*key, "kind", F.explode(F.array_distinct(tokens)).alias("token")).join(held, ["kind", "token"])
-        order = known.groupBy(*key, "kind").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ordered"))
-        placed = rows.join(order, [*key, "kind"]).withColumn(own, F.size(F.array_distinct(tokens))).withColumn("ordered", F.col("ordered.token"))
-        most = F.floor(F.col(own) / jaccard + 1e-6).cast("int") if largest is None else F.lit(largest)
-        sized = placed.where(F.col(own) > 0).withColumn(other, F.explode(F.sequence(F.lit(1), F.greatest(most, F.lit(1)))))
-        sized = sized.withColumn("need", least_shared(least, F.col(own), F.col(other))).where("need IS NOT NULL")
-        # Tokens that no record holds come first: they are in the order, but join nothing.
-        first = F.col(f"first_{tokens}")
-        sized = sized.withColumn(f"first_{tokens}", F.expr("slice(ordered, 1, greatest(0, size(ordered) - greatest(need, 2) + 2))"))
-        pairs = F.flatten(F.transform(first, lambda x, i: F.transform(F.slice(first, i + 2, F.size(first)), lambda y: F.concat(x, F.lit(" "), y))))
-        return sized.drop("ordered").withColumn("token", F.explode(F.when(F.col("need") == 1, first).otherwise(pairs)))
-
-    x = keyed(left, "a", "na", "nb", ["cache_key"])
-    y = keyed(right, "b", "nb", "na", ["record_id", "search_name"]).drop("need")
-    both = F.slice(F.array_intersect("first_a", "first_b"), 1, F.least(F.col("need"), F.lit(2)))
-    met = x.join(y, ["kind", "na", "nb", "token"]).where(F.array_join(both, " ") == F.col("token"))
-    met = met.where((F.col("need") <= 2) | (F.size(F.array_intersect("a", "b")) >= F.col("need")))
-    return met.select("cache_key", "record_id", F.lit(FUZZY).alias("tier"), "name_key", "search_name", "a", "b")
+    right = records.select("record_id", F.col("entity_type").alias("kind"), F.posexplode("search_names").alias("name_no", "search_name")).withColumn("b", kind_tokens("search_name"))
+    met = near_pairs(left.select("cache_key", "kind", "a"), right.select("record_id", "name_no", "kind", "b"), least)
+    named = met.join(left, ["cache_key", "kind"]).join(right.drop("kind"), ["record_id", "name_no"])
+    one, other = F.array_distinct("a"), F.array_distinct("b")
+    both = F.size(F.array_intersect(one, other))
+    near = named.where((both >= 1) & (shared_bound(both, F.size(one), F.size(other)) >= least - 1e-9))
+    return near.select("cache_key", "record_id", F.lit(FUZZY).alias("tier"), "name_key", "search_name", "a", "b")
 
 
 def best_scores(rows: DataFrame, threshold: float, margin: float) -> DataFrame:
@@ -131,11 +175,35 @@ def scored(entities: DataFrame, records: DataFrame, pairs: DataFrame, threshold:
     return best_scores(name_rows(entities, records, pairs), threshold, margin)
 
 
-def placed_scores(scores: DataFrame, records: DataFrame) -> DataFrame:
-    """Scored pairs with their place: by score, active before excluded, number, then record_id."""
+def with_standing(scores: DataFrame, records: DataFrame) -> DataFrame:
+    """Scored pairs with what is known of the record and its standing: by score, active before excluded, number, then record_id, the least first."""
     facts = records.select("record_id", F.col("normalized_name").alias("record_name"), "display_name", is_active().alias("active"), F.coalesce("registry_number", F.lit(0)).alias("number"))
-    order = Window.partitionBy("cache_key").orderBy(F.desc("score"), F.desc("active"), F.desc("number"), "record_id")
-    return scores.join(facts, "record_id").withColumn("place", F.row_number().over(order))
+    standing = F.struct((-F.col("score")).alias("score"), (~F.col("active")).alias("excluded"), (-F.col("number")).alias("number"), "record_id")
+    return scores.join(facts, "record_id").withColumn("standing", standing)
+
+
+def placed_scores(scores: DataFrame, records: DataFrame) -> DataFrame:
+    """Scored pairs with their place by standing."""
+    return with_standing(scores, records).withColumn("place", F.row_number().over(Window.partitionBy("cache_key").orderBy("standing"))).drop("standing")
+
+
+def decide(rows: DataFrame, threshold: float, margin: float) -> DataFrame:
+    """One row for each entity whose best record reaches the threshold: tier, record_name, score, second, ambiguous and note.
+
+    rows: from with_standing. The records of a name are one identity, of which the best counts; map-side minima leave one row for each
+    entity and identity. The best of these and the best of another name then follow from one exchange, without ranking
+    or joining back. An exact match counts as 0.99 at least; under that, another identity within the margin makes it ambiguous.
+    """
+    head = F.struct("standing", "record_name", "display_name", "tier")
+    identities = rows.groupBy("cache_key", "record_name").agg(F.min(head).alias("head"))
+    first = F.min("head").over(Window.partitionBy("cache_key"))
+    other = F.when(F.col("record_name") != F.col("first.record_name"), F.col("head"))
+    two = identities.withColumn("first", first).groupBy("cache_key").agg(F.min("first").alias("best"), F.min(other).alias("next"))
+    raw, second = -F.col("best.standing.score"), F.coalesce(-F.col("next.standing.score"), F.lit(0.0))
+    score = F.when(F.col("best.tier") == EXACT, F.greatest(raw, F.lit(0.99))).otherwise(raw)
+    note = F.concat(F.lit(CLOSE_NOTE), quoted(F.col("best.display_name")), F.lit(" и "), F.coalesce(quoted(F.col("next.display_name")), F.lit("None")), F.lit("."))
+    found = two.select("cache_key", "best.tier", "best.record_name", score.alias("score"), second.alias("second"), note.alias("note")).where(F.col("score") >= threshold)
+    return found.withColumn("ambiguous", (F.col("score") < 0.99) & (F.col("score") - F.col("second") < margin))
 
 
 def ranked(entities: DataFrame, records: DataFrame, pairs: DataFrame, threshold: float, margin: float) -> DataFrame:
@@ -182,36 +250,25 @@ def lookup(entities: DataFrame, records: DataFrame, threshold: float = 0.84, mar
     rest = entities.join(exact.select("cache_key").distinct(), "cache_key", "left_anti")
     found = name_rows(entities, records, clear.withColumn("tier", F.lit(EXACT))).unionByName(near_rows(rest, records, threshold - margin))
 
-    rows = cut(placed_scores(best_scores(found, threshold, margin), records))
-    top = F.max_by(F.struct("record_name", "display_name", "score", "tier"), -F.col("place"))
-    best = rows.groupBy("cache_key").agg(top.alias("best"))
-    rows = rows.join(best, "cache_key")
-    floor = F.when(F.col("best.tier") == EXACT, F.greatest(F.col("best.score"), F.lit(0.99))).otherwise(F.col("best.score"))
-    other = F.col("record_name") != F.col("best.record_name")
-    decided = rows.groupBy("cache_key").agg(
-        F.first("best").alias("best"),
-        F.coalesce(F.max(F.when(other, F.col("score"))), F.lit(0.0)).alias("second"),
-        F.max_by(F.when(other, F.col("display_name")), F.when(other, -F.col("place"))).alias("second_name"),
-    )
-    decided = decided.withColumn("score", floor).where(F.col("score") >= threshold)
-    decided = decided.withColumn("ambiguous", (F.col("score") < 0.99) & (F.col("score") - F.col("second") < margin))
-    note = F.concat(F.lit(CLOSE_NOTE), quoted(F.col("best.display_name")), F.lit(" и "), F.coalesce(quoted(F.col("second_name")), F.lit("None")), F.lit("."))
+    rows = cut(with_standing(best_scores(found, threshold, margin), records))
+    decided = decide(rows, threshold, margin)
 
     # The whole identity of the best record: every candidate of its name, also those that the bound left unscored. Records of one
     # name share its tokens, so each of them that fits in type is a fuzzy candidate if one is.
     facts = records.select("record_id", F.col("normalized_name").alias("record_name"), F.col("entity_type").alias("record_type"), "registry_number", "display_name", "date_excluded", "links")
-    best_names = decided.where("NOT ambiguous").select("cache_key", "best.tier", F.col("best.record_name").alias("record_name")).join(entities.select("cache_key", "entity_type"), "cache_key")
+    best_names = decided.where("NOT ambiguous").select("cache_key", "tier", "record_name").join(entities.select("cache_key", "entity_type"), "cache_key")
     identity = best_names.join(facts, "record_name").where(type_fits(F.col("entity_type"), F.col("record_type"))).drop("entity_type", "record_type")
     identity = identity.where(F.col("tier") == FUZZY).unionByName(identity.where(F.col("tier") == EXACT).join(clear, ["cache_key", "record_id"], "left_semi"))
-    placed = identity.join(rows.select("cache_key", "record_id", "place", F.col("score").alias("record_score")), ["cache_key", "record_id"], "left")
+    placed = identity.join(rows.select("cache_key", "record_id", "standing"), ["cache_key", "record_id"], "left")
     number, active = F.coalesce("registry_number", F.lit(0)), is_active()
     placed = placed.withColumn("any_active", F.max(active).over(by_key)).withColumn("newest", F.max(number).over(by_key))
     chosen = placed.where(F.when(F.col("any_active"), active).otherwise(number == F.col("newest")))
-    far = F.coalesce("place", F.lit(1 << 30))
+    # Those that the bound left unscored come last.
+    place = F.struct(F.col("standing").isNull().alias("far"), F.col("standing").alias("standing"))
     selected = chosen.groupBy("cache_key").agg(
-        F.array_sort(F.collect_list(F.struct(far.alias("place"), "record_id", "registry_number", "display_name", active.alias("active"), "links"))).alias("records")
+        F.array_sort(F.collect_list(F.struct(place.alias("place"), "record_id", "registry_number", "display_name", active.alias("active"), "links"))).alias("records")
     )
-    matched = decided.join(selected, "cache_key", "left").select("cache_key", F.col("score").alias("match_score"), "ambiguous", F.when(F.col("ambiguous"), F.array(note)).otherwise(F.array().cast("array<string>")).alias("ambiguity_notes"), "records")
+    matched = decided.join(selected, "cache_key", "left").select("cache_key", F.col("score").alias("match_score"), "ambiguous", F.when(F.col("ambiguous"), F.array("note")).otherwise(F.array().cast("array<string>")).alias("ambiguity_notes"), "records")
     vague = short.select("cache_key", F.lit(0.99).alias("match_score"), F.lit(True).alias("ambiguous"), F.array(F.lit(SHORT_NAME_NOTE)).alias("ambiguity_notes"), F.lit(None).alias("records"))
     empty = F.array().cast(selected.schema["records"].dataType)
     return matched.unionByName(vague).withColumn("records", F.coalesce(F.col("records").cast(selected.schema["records"].dataType), empty))

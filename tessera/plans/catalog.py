@@ -440,6 +440,108 @@ def match_rank_top1(spark, sf_dir):
     return ranked.where("place = 1").select("cache_key", "record_id")
 
 
+# --- Fuzzy scores. Names with misspellings, so that sequence ratios decide.
+
+#: Sequence ratios of (x, y) in pr: the longest common block of each open part (leftmost on the left, then on the right), then what is before and behind it.
+D_RATIO = """
+blocks AS (
+  SELECT x, y, x AS a, y AS b, 0::BIGINT AS n FROM pr
+  UNION ALL
+  SELECT x, y, unnest([substr(a, 1, i - 1), substr(a, i + n)]) AS a, unnest([substr(b, 1, strpos(b, w) - 1), substr(b, strpos(b, w) + n)]) AS b, unnest([n, 0]) AS n
+  FROM (
+    SELECT x, y, a, b, m.n AS n, -m.i AS i, substr(a, -m.i, m.n) AS w FROM (
+      SELECT x, y, a, b, list_max(flatten([[{'n': z, 'i': -i} FOR z IN range(1, length(a) - i + 2) IF contains(b, substr(a, i, z))] FOR i IN range(1, length(a) + 1)])) AS m FROM blocks WHERE a <> '' AND b <> ''
+    ) WHERE m IS NOT NULL
+  )
+), rat AS (
+  SELECT x, y, CASE WHEN length(x) + length(y) = 0 THEN 1.0 ELSE 2.0::DOUBLE * sum(n) / (length(x) + length(y)) END AS ratio FROM blocks GROUP BY x, y
+)
+"""
+
+#: Texts of one row side by side: names of parts and their types, names of persons and what a typist makes of them.
+RATIO_PAIRS = f"""
+SELECT CAST(p_partkey AS BIGINT) AS k, p_name AS x, p_type AS y FROM {{part}}
+UNION ALL SELECT CAST(-1 - c_custkey AS BIGINT), {_person("c_custkey")}, concat(substr({_person("c_custkey")}, 3), ' ', replace(c_mktsegment, 'I', '')) FROM {{customer}}
+UNION ALL SELECT CAST(-1000000000000 - s_suppkey AS BIGINT), s_name, {_person("s_suppkey")} FROM {{supplier}}
+"""
+
+
+@register("match_score_ratio", f"WITH RECURSIVE p AS ({_plain(RATIO_PAIRS)}), pr AS (SELECT DISTINCT x, y FROM p), {D_RATIO} SELECT k, round(ratio, 9) AS ratio FROM p JOIN rat USING (x, y)")
+def match_score_ratio(spark, sf_dir):
+    """The Ratcliff/Obershelp ratio of pairs alike and unlike."""
+    return derived(spark, sf_dir, RATIO_PAIRS).select("k", F.round(names.sequence_ratio(F.col("x"), F.col("y")), 9).alias("ratio"))
+
+
+def _near(key: str, surname: str = "{}", given: str = "{}", code: str = "{}", city: str = "город") -> str:
+    """A name of five words, each of them as given or changed by an expression."""
+    surname, given, code = surname.format(_SURNAME.format(k=key)), given.format(_GIVEN.format(k=key)), code.format(_CODE.format(k=key))
+    return f"concat({surname}, ' ', {given}, ' ', {code}, ' отдел', CAST({key} % 13 AS VARCHAR(20)), ' {city}', CAST({key} % 17 AS VARCHAR(20)))"
+
+
+_EVEN = "(c_custkey - c_custkey % 2)"
+#: Each customer as an organization whose name is that of an even key, misspelled in one of eight ways.
+NEAR_ENTITIES = f"""
+SELECT concat('n', CAST(c_custkey AS VARCHAR(20))) AS entity_id, concat('ООО «', CASE c_custkey % 8 WHEN 0 THEN {_near(_EVEN, surname="concat({}, 'а')")} WHEN 1 THEN {_near(_EVEN, given="concat({}, 'ий')")} WHEN 2 THEN {_near(_EVEN, city="горд")}
+  WHEN 3 THEN {_near(_EVEN, surname="concat({}, 'цев')", given="concat('Мак', {})")} WHEN 4 THEN {_near(_EVEN, surname="replace({}, 'о', 'а')")} WHEN 5 THEN {_near(_EVEN, code="replace({}, 'код', 'кд')")}
+  WHEN 6 THEN concat({_near(_EVEN)}, ' Новый') ELSE {_near(_EVEN, surname="substr({}, 2)")} END, '»') AS name, 'organization' AS entity_type, CAST(c_custkey AS BIGINT) AS row_no FROM {{customer}}
+"""
+#: A record of each even key; of some a second one with a name close to it, or of the same name.
+NEAR_RAW = f"""
+SELECT concat('a', CAST(c_custkey AS VARCHAR(20))) AS id, CAST(c_custkey AS VARCHAR(20)) AS field_1_i, concat('Фонд "', {_near("c_custkey")}, '"') AS field_2_s, CASE WHEN c_custkey % 20 = 0 OR c_custkey % 30 = 0 THEN '2024-05-06' ELSE '' END AS field_5_s, 'Организации' AS field_7_s FROM {{customer}} WHERE c_custkey % 2 = 0
+UNION ALL SELECT concat('b', CAST(c_custkey AS VARCHAR(20))), CAST(c_custkey AS VARCHAR(20)), concat('Фонд "', {_near("c_custkey", city="города")}, '"'), '', 'Организации' FROM {{customer}} WHERE c_custkey % 6 = 0
+UNION ALL SELECT concat('c', CAST(c_custkey AS VARCHAR(20))), CAST(c_custkey + 1000000 AS VARCHAR(20)), concat('Фонд "', {_near("c_custkey")}, '"'), CASE WHEN c_custkey % 20 = 0 THEN '2023-01-01' ELSE '' END, 'Организации' FROM {{customer}} WHERE c_custkey % 10 = 0
+"""
+
+D_NEAR = (
+    f"WITH RECURSIVE ent AS (SELECT *, {d_norm('name')} AS normalized_name, {d_cache_key('name', 'entity_type')} AS cache_key FROM ({_plain(NEAR_ENTITIES)})), "
+    f"raw AS ({_plain(NEAR_RAW)}), rec AS (SELECT id AS record_id, TRY_CAST(field_1_i AS BIGINT) AS number, field_2_s AS display_name, trim(field_5_s) = '' AS active, {d_norm('field_2_s')} AS record_name FROM raw), "
+    f"recs AS (SELECT *, {d_search_names('display_name', chr(39) + 'organization' + chr(39))} AS search_names FROM rec), "
+    f"x AS (SELECT DISTINCT cache_key, {d_core('normalized_name')} AS a FROM ent), y AS (SELECT record_id, {d_core('s')} AS b FROM (SELECT record_id, unnest(search_names) AS s FROM recs)), "
+    "meet AS (SELECT DISTINCT cache_key, record_id, a, b FROM (SELECT cache_key, a, unnest(a) AS t FROM x) JOIN (SELECT record_id, b, unnest(b) AS t FROM y) USING (t)), "
+    "k AS (SELECT *, len(list_intersect(list_distinct(a), list_distinct(b))) AS k, len(list_distinct(a)) AS na, len(list_distinct(b)) AS nb FROM meet), "
+    "j AS (SELECT cache_key, record_id, array_to_string(a, ' ') AS x, array_to_string(b, ' ') AS y, k = na AND k = nb AS same, k::DOUBLE / (na + nb - k) AS jac, k::DOUBLE / least(na, nb) AS con FROM k), "
+    "near AS (SELECT * FROM j WHERE same OR greatest(0.45 + 0.35 * jac + 0.20 * con, 0.55 + 0.30 * jac + 0.15 * con) >= 0.8 - 1e-9), pr AS (SELECT DISTINCT x, y FROM near), "
+    + D_RATIO
+    + ", sc AS (SELECT cache_key, record_id, max(CASE WHEN same THEN 0.99 ELSE greatest(0.45 * ratio + 0.35 * jac + 0.20 * con, 0.55 * ratio + 0.30 * jac + 0.15 * con) END) AS score FROM near JOIN rat USING (x, y) GROUP BY cache_key, record_id), "
+    "pl AS (SELECT *, row_number() OVER (PARTITION BY cache_key ORDER BY score DESC, active DESC, number DESC, record_id) AS place FROM sc JOIN rec USING (record_id)), "
+    "bs AS (SELECT * FROM pl WHERE place = 1 AND score >= 0.84), "
+    "nx AS (SELECT cache_key, arg_min(pl.display_name, pl.place) AS next_name, max(pl.score) AS second FROM pl JOIN bs USING (cache_key) WHERE pl.record_name <> bs.record_name GROUP BY cache_key), "
+    "de AS (SELECT cache_key, bs.record_name, bs.display_name, bs.score, next_name, bs.score < 0.99 AND bs.score - coalesce(second, 0) < 0.04 AS ambiguous FROM bs LEFT JOIN nx USING (cache_key)) "
+)
+
+
+def near_entities(spark, sf_dir) -> DataFrame:
+    return matching.with_search_names(E.first_of_each(E.keyed(derived(spark, sf_dir, NEAR_ENTITIES), plain=True)), plain=True)
+
+
+def near_records(spark, sf_dir) -> DataFrame:
+    raw = derived(spark, sf_dir, NEAR_RAW)
+    missing = [c.split()[0] for c in registry.RAW.split(", ") if c.split()[0] not in raw.columns]
+    return registry.parse(raw.withColumns({c: F.lit(None).cast("string") for c in missing}), plain=True)
+
+
+@register("match_scores", D_NEAR + "SELECT cache_key, record_id, round(score, 6) AS score FROM sc WHERE score >= 0.8")
+def match_scores(spark, sf_dir):
+    """Each fuzzy pair's score, the best over the record's names."""
+    people, rows = near_entities(spark, sf_dir), near_records(spark, sf_dir)
+    scores = matching.best_scores(matching.near_rows(people, rows, 0.84 - 0.04), 0.84, 0.04)
+    return scores.where("score >= 0.8").select("cache_key", "record_id", F.round("score", 6).alias("score"))
+
+
+@register(
+    "match_margin",
+    D_NEAR
+    + ", id AS (SELECT cache_key, r.* FROM de JOIN rec r USING (record_name) WHERE NOT ambiguous), g AS (SELECT *, bool_or(active) OVER (PARTITION BY cache_key) AS live, max(number) OVER (PARTITION BY cache_key) AS newest FROM id), "
+    "o AS (SELECT cache_key, string_agg(record_id, ',' ORDER BY active DESC, number DESC, record_id) AS record_ids FROM g WHERE CASE WHEN live THEN active ELSE number = newest END GROUP BY cache_key) "
+    f"SELECT cache_key, round(score, 6) AS match_score, ambiguous, coalesce(record_ids, '') AS record_ids, CASE WHEN ambiguous THEN concat('{matching.CLOSE_NOTE}''', display_name, ''' и ''', next_name, '''.') ELSE '' END AS notes FROM de LEFT JOIN o USING (cache_key)",
+)
+def match_margin(spark, sf_dir):
+    """The fuzzy tier's decisions: scores under 0.99 against threshold and margin, notes of close identities, the records of the chosen ones."""
+    found = matching.lookup(near_entities(spark, sf_dir), near_records(spark, sf_dir))
+    ids = F.array_join(F.transform("records", lambda r: r["record_id"]), ",")
+    return found.select("cache_key", F.round("match_score", 6).alias("match_score"), "ambiguous", ids.alias("record_ids"), F.array_join("ambiguity_notes", " ").alias("notes"))
+
+
 # --- URLs
 
 
