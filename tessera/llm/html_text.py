@@ -5,7 +5,11 @@ stop words and the density of linked characters make it good, bad, near-good or
 and short blocks the label of their nearest decided neighbours. Marked containers (menus, headers, footers,
 sidebars, notices, adverts, forms, comments) are a veto: their blocks are bad as a whole. Where a page marks its article, the
 blocks outside are bad too, and the two passes decide among the blocks inside: there a lack of stop words or a
-notice leaves a block undecided instead of bad (lists, code and other languages belong to articles), and the article's ends count as good.
+notice leaves a block undecided instead of bad (lists, code and other languages belong to articles), and the article's ends count as good;
+so does a block that is one link, unless another such block is next to it (a list of links).
+
+Stop words are those of four languages. A page whose blocks outside marked containers hold hardly any of them is in another
+language: length and link density alone decide there, and text in scripts without blanks between words counts double.
 
 Defined results: null, empty or markup-only html gives an empty text; unclosed tags end with their container;
 repeated rows count each; a null page_id or url stays null; an empty table gives an empty result; other columns of the input are
@@ -28,6 +32,8 @@ from tessera.llm.common import map_texts, read
 SHORT, LONG = 70, 200
 #: Shares of stop words among words, and of linked characters.
 STOP_LOW, STOP_HIGH, LINK_HIGH = 0.15, 0.25, 0.4
+#: A page of a lower share of stop words in all is in a language of none of ours, if it has so many words.
+STOP_NONE, WORDS_TOLD = 0.04, 5
 
 #: Frequent function words of the languages served.
 STOP_WORDS = frozenset(
@@ -45,17 +51,21 @@ FRAME = frozenset("nav footer aside form header dialog menu fieldset".split())
 MAIN = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Words of class, id or role that mark a container as no main text.
-BAD_NAME = re.compile(
-    r"(?:^|[\s_-])(?<!with[_-])(?<!has[_-])(?<!no[_-])(?<!and[_-])(?:ads?|ad(?:box|slot|space|unit|banner|sense|sbygoogle)|advert\w*|sponsor\w*|promo\w*|banner|nav(?:bar|igation|menu|s)?|menu\w*|breadcrumbs?|header|masthead|footer|sidebar|side-bar|sidenav|aside|colophon|widget\w*|related|recommend\w*|share|sharing|social"
-    r"|cookies?|consent|gdpr|notices?|announcements?|alerts?|warning|toast|flash|paywall|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|comments?|comment-\w+|disqus|replies|reply|respond|responses|feedback|discussion|pagination|pager|toolbar|copyright|legal|disclaimer|skip|complementary|contentinfo|navigation|search)(?=$|[\s_-])",
-    re.IGNORECASE,
+BAD_WORD = (
+    r"(?:ads?|ad(?:box|slot|space|unit|banner|sense|sbygoogle)|advert\w*|sponsor\w*|promo\w*|banner|nav(?:bar|igation|menu|s)?|menu\w*|breadcrumbs?|header|masthead|footer|sidebar|side-bar|sidenav|aside|colophon|widget\w*|related|recommend\w*|share|sharing|social"
+    r"|cookies?|consent|gdpr|notices?|announcements?|alerts?|warning|toast|flash|paywall|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|comments?|comment-\w+|disqus|replies|reply|respond|responses|feedback|discussion|pagination|pager|toolbar|copyright|legal|disclaimer|skip|complementary|contentinfo|navigation|search)"
 )
+BAD_NAME = re.compile(rf"(?:^|[\s_-])(?<!with[_-])(?<!has[_-])(?<!no[_-])(?<!and[_-]){BAD_WORD}(?=$|[\s_-])", re.IGNORECASE)
+#: An article is no main text only if one of its names is such a word as a whole: a post about alerts is a post.
+BAD_ARTICLE = re.compile(rf"(?:^|\s){BAD_WORD}(?=$|\s)", re.IGNORECASE)
 TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^<>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<!--|<[!?]")
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 CLOSING = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in SILENT}
 HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
 GAP = re.compile(r"\s+")
 WORD = re.compile(r"\w+")
+#: Letters of scripts without blanks between words.
+DENSE = re.compile(r"[\u0e00-\u0eff\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]")
 NOTICE = re.compile(r"^(?:©|\(c\)\s|copyright\b|all rights reserved)", re.IGNORECASE)
 
 
@@ -143,7 +153,7 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool, bool]]:
                 leave()
         if name not in VOID and not found[0].endswith("/>"):
             words = " ".join(m[1] or m[2] or m[3] or "" for m in NAMED.finditer(found[3]))
-            named = bool(words and name not in ("html", "body", "main") and BAD_NAME.search(words))
+            named = bool(words and name not in ("html", "body", "main") and (BAD_ARTICLE if name == "article" else BAD_NAME).search(words))
             is_main = name in MAIN and not named and not bad  # a comment or a teaser may be marked as an article too
             marked = name in FRAME and not (name == "header" and inside) or named or bool(found[3] and HIDDEN.search(found[3]))
             stack.append((name, marked, is_main))
@@ -168,6 +178,24 @@ def first_pass(text: str, linked: int) -> str:
     return "near" if density >= STOP_LOW else "bad"
 
 
+def length_alone(text: str, linked: int) -> str:
+    """good, bad, near or short, of a block in a language without known stop words."""
+    n = len(text) + len(DENSE.findall(text))
+    if linked > LINK_HIGH * len(text) or NOTICE.match(text):
+        return "bad"
+    if n < SHORT:
+        return "bad" if linked else "short"
+    return "good" if n > LONG else "near"
+
+
+def other_language(texts: list[str]) -> bool:
+    """Whether these texts hold hardly any known stop word."""
+    words = [w for text in texts for w in WORD.findall(text.lower())]
+    letters = sum(len(DENSE.findall(text)) for text in texts)
+    told = len(words) >= WORDS_TOLD or letters >= SHORT // 2
+    return told and sum(w in STOP_WORDS for w in words) < STOP_NONE * len(words)
+
+
 def second_pass(labels: list[str], ends: bool = False) -> list[bool]:
     """Near-good and short blocks take the label of their nearest decided neighbours.
 
@@ -209,17 +237,23 @@ def main_text(html: str | None) -> str:
     if article:
         # The mark of the article and its containers have left these blocks; links and neighbours decide.
         labels = []
-        for text, linked, _, _, _ in article:
+        lists = [linked > LINK_HIGH * len(text) for text, linked, _, _, _ in article]
+        for i, (text, linked, _, _, _) in enumerate(article):
             label = first_pass(text, linked)
-            labels.append("short" if label == "bad" and linked <= LINK_HIGH * len(text) else label)
+            listed = lists[i] and any(lists[max(0, i - 1) : i] + lists[i + 1 : i + 2])
+            labels.append("short" if label == "bad" and not listed else label)
         return "\n\n".join(b[0] for b, keep in zip(article, second_pass(labels, ends=True)) if keep)
+    judge = length_alone if other_language([b[0] for b in found if not b[2]]) else first_pass
     labels = []
     for text, linked, bad, _, heading in found:
-        label = "bad" if bad else first_pass(text, linked)
+        label = "bad" if bad else judge(text, linked)
         labels.append("short" if heading and not bad and label == "bad" and linked <= LINK_HIGH * len(text) else label)
     if "good" not in labels and "near" in labels:
         labels = ["good" if x == "near" else x for x in labels]  # a page of short paragraphs
-    return "\n\n".join(b[0] for b, keep in zip(found, second_pass(labels)) if keep)
+    kept = second_pass(labels)
+    for i in range(len(found) - 2, -1, -1):  # an undecided heading belongs to what follows it
+        kept[i] = kept[i] or (found[i][4] and labels[i] in ("short", "near") and kept[i + 1])
+    return "\n\n".join(b[0] for b, keep in zip(found, kept) if keep)
 
 
 def extract(pages: DataFrame) -> DataFrame:
