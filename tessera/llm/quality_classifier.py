@@ -138,8 +138,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     # The drawn labels have a fixed size (about 1.1 * rows for each class); they are broadcast, so no text is shuffled.
     size = F.lit(TRAIN_CHARACTERS)
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(drawn), "doc_id").withColumn("pieces", F.greatest(F.ceil(F.length("text") / size), F.lit(1)).cast("int"))
+    texts = texts.withColumn("mark", F.xxhash64("text"))  # once for each text, however many its pieces
     counts = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.sum("pieces").alias("n")).collect()}
-    numbered = texts.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).withColumn("draw", F.xxhash64("doc_id", "piece", "text", F.lit(6)))
+    numbered = texts.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).withColumn("draw", F.xxhash64("doc_id", "piece", "mark", F.lit(6)))
     some = numbered.where(F.pmod("draw", F.lit(1_000_000)) < share_of(counts, rows)).select("label", "draw", F.substring("text", F.col("piece") * size + 1, size).alias("text"))
     # Equal rows are drawn together and come as one with their number.
     found: dict[int, list[bytes]] = {label: [] for label in sorted(counts)}
