@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -42,13 +43,27 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def own_path(spark: SparkSession, name: str = "") -> str:
+    """A new path of this application in the shared folder."""
+    return f"{shared_dir(spark)}/tessera-{spark.sparkContext.applicationId}-{name or uuid.uuid4().hex}"
+
+
+def own_table(spark: SparkSession) -> str:
+    """A new name for a table of this application; its files go to own_path(spark, name)."""
+    return f"{own_prefix(spark)}{uuid.uuid4().hex}"
+
+
+def own_prefix(spark: SparkSession) -> str:
+    return "tessera_" + re.sub(r"\W", "_", spark.sparkContext.applicationId).lower() + "_"
+
+
 def materialize(df: DataFrame, codec: str = "zstd", compact: bool = False) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut, and a lost executor costs a reread only.
 
     compact is for tables that may be small: they are measured first and written as few files as their size asks for.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tessera-{uuid.uuid4().hex}"
+    path = own_path(spark)
     if not compact:
         df.write.option("compression", codec).parquet(path)
         return spark.read.schema(df.schema).parquet(path)
@@ -61,9 +76,12 @@ def materialize(df: DataFrame, codec: str = "zstd", compact: bool = False) -> Da
 
 
 def drop_tables(spark: SparkSession) -> None:
-    """Delete every table that materialize() left in the shared folder."""
-    jvm, folder = spark.sparkContext._jvm, shared_dir(spark)
-    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/tessera-*")
+    """Delete every table that this application left in the shared folder and in the catalog; those of others stay."""
+    for table in spark.catalog.listTables():
+        if table.name.startswith(own_prefix(spark)):
+            spark.sql(f"DROP TABLE IF EXISTS {table.name}")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(own_path(spark, "*"))
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for found in fs.globStatus(path) or []:
         fs.delete(found.getPath(), True)

@@ -9,17 +9,18 @@ on the chunk; the chunk table is bucketed by it, so texts are never shuffled.
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import partitions, release, shared_dir, small_batches
+from tessera.llm.common import own_path, own_table, partitions, release, small_batches
 
-#: Bytes of text in a chunk; a longer text makes a chunk of its own.
-CHUNK = 1 << 20
+#: Bytes of a chunk: texts, other columns that are carried along, and ROW for each row; a longer row makes a chunk of its own.
+#: So a chunk has CHUNK / ROW rows at most, under 2**16.
+CHUNK, ROW = 1 << 20, 24
+#: Bytes of packed chunks for each bucket of an exchange, at most: what a bucket is sent grows with them.
+BUCKET_BYTES = 32 << 20
 #: What stands for a null id inside chunks: less than any other.
 NULL_ID = -(1 << 63)
 #: How JSON holds times, to the microsecond.
@@ -105,13 +106,14 @@ def chunk_table(docs: DataFrame, limit: int = CHUNK, carry: str = "") -> DataFra
             others = batch.column(2).to_pylist() if carry else [b""] * batch.num_rows
             for key, text, other in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()).to_pylist(), others):
                 text = text or b""
-                if ids and size + len(text) > limit:
+                more = len(text) + len(other) + ROW
+                if ids and size + more > limit:
                     yield row()
                     number, ids, texts, rest, size = number + 1, [], [], [], 0
                 ids.append(NULL_ID if key is None else key)
                 texts.append(text)
                 rest.append(other)
-                size += len(text)
+                size += more
         if ids:
             yield row()
         release()
@@ -119,8 +121,8 @@ def chunk_table(docs: DataFrame, limit: int = CHUNK, carry: str = "") -> DataFra
     others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text"), F.col("text").isNull().alias(carry or "null"))
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"), *([F.to_json(others, TIMES).cast("binary").alias("rest")] if carry else [])]
     rows = docs.select(*columns).mapInArrow(apply, CHUNK_SCHEMA + (", rest binary" if carry else ""))
-    name = f"tessera_{uuid.uuid4().hex}"
-    path = f"{shared_dir(spark)}/tessera-{name}"
+    name = own_table(spark)
+    path = own_path(spark, name)
     rows = rows.select(part_of("chunk"), "*")
     rows.write.format("parquet").option("compression", "none").option("path", path).bucketBy(n_buckets, "part").saveAsTable(name)
     return spark.table(name)
@@ -161,6 +163,15 @@ def buckets(spark) -> int:
     return max(1, partitions(spark))
 
 
+def exchange_buckets(chunks: DataFrame) -> int:
+    """How many buckets an exchange among the chunks has: some for each shuffle partition, more if the table asks for it.
+
+    A bucket is reduced in one task's memory, so its share of the table is bounded whatever the session's settings.
+    """
+    size = int(str(chunks._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(3 * partitions(chunks.sparkSession), -(-size // BUCKET_BYTES))
+
+
 def each_chunk(rows: DataFrame, function, schema: str) -> DataFrame:
     """function(chunk, ids, texts, *rest) over each chunk row (chunk, docs, rest...), giving record batches."""
     rows = rows.drop("part")

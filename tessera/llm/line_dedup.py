@@ -17,13 +17,11 @@ kept or dropped as a whole; a text of any length is cut whole; an empty table gi
 
 from __future__ import annotations
 
-import uuid
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_texts, materialize, partitions, read, shared_dir
+from tessera.llm.common import map_texts, materialize, own_path, own_table, partitions, read
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -80,12 +78,11 @@ class LineRuns:
         self.buckets = min(partitions(spark), 100_000)
         #: The run of each level, None where it is empty.
         self.levels: list[str | None] = []
-        self.folder = f"{shared_dir(spark)}/tessera-{uuid.uuid4().hex}"
 
     def _store(self, rows: DataFrame) -> str:
         """rows as a run: a table of the session over files of the shared folder."""
-        name = f"line_run_{uuid.uuid4().hex}"
-        rows.write.bucketBy(self.buckets, "line").sortBy("line").option("path", f"{self.folder}/{name}").saveAsTable(name)
+        name = own_table(self.spark)
+        rows.write.bucketBy(self.buckets, "line").sortBy("line").option("path", own_path(self.spark, name)).saveAsTable(name)
         return name
 
     def add(self, lines: DataFrame) -> None:

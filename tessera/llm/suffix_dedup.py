@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import free_names, materialize, partitions, read
-from tessera.llm.exchange import TIMES, answers, chunk_table, each_chunk, id_array, joined, received, send, pack_arrays, unpack_arrays, unpack_docs
+from tessera.llm.common import free_names, materialize, read
+from tessera.llm.exchange import TIMES, answers, chunk_table, each_chunk, exchange_buckets, id_array, joined, received, send, pack_arrays, unpack_arrays, unpack_docs
 from tessera.llm.ngrams import mix
 
 LENGTH = 50
@@ -452,8 +452,8 @@ def removals(docs: DataFrame, schema: str, output, carry: str = "") -> DataFrame
 
     With carry, output's fourth argument is the JSON of each row's other columns.
     """
-    n_buckets = 3 * partitions(docs.sparkSession)
     whole = chunk_table(docs, carry=carry)
+    n_buckets = exchange_buckets(whole)
     chunks = whole.select("part", "chunk", "docs")
 
     def emit_anchors(chunk, ids, texts):

@@ -27,16 +27,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import free_names, materialize, partitions, read, release
+from tessera.llm.common import free_names, materialize, read, release
 from tessera.llm.components import components
 from tessera.llm.embedding_dedup import local_roots
-from tessera.llm.exchange import answers, chunk_table, each_chunk, joined, part_of, received, send, unpack_arrays, pack_arrays
+from tessera.llm.exchange import answers, chunk_table, each_chunk, exchange_buckets, joined, part_of, received, send, unpack_arrays, pack_arrays
 from tessera.llm.ngrams import Batch, mix, pieces
 
 WIDTH = 5
 SIMILAR = 0.8
 BANDS, ROWS = 10, 3
 DAMPING = 0.25
+#: Codes of a document frequency for each doubling.
+STEPS = 4.0
 #: Buckets of more documents are compared in blocks, of at most about so many rows and so much weight.
 SMALL = 64
 BLOCK_ROWS, BLOCK_WEIGHT = 512, 250_000
@@ -84,8 +86,8 @@ def low_bytes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def code_of(df: np.ndarray) -> np.ndarray:
-    """A frequency in steps of an eighth of a doubling."""
-    return np.minimum(np.rint(8 * np.log2(np.maximum(df, 1))), 255).astype(np.uint8)
+    """A frequency in steps of a quarter of a doubling, which one byte holds for any number of documents."""
+    return np.rint(STEPS * np.log2(np.maximum(df, 1))).astype(np.uint8)
 
 
 def sum_frequencies(packed: list[bytes]) -> list[bytes]:
@@ -104,7 +106,7 @@ def frequencies(chunks: DataFrame, n_buckets: int) -> DataFrame:
     def emit(chunk, ids, texts):
         _, keys, held, order = chunk_shingles(texts, n_buckets)
         keys, held = keys[order], held[order]
-        yield from send(chunk, bucket_of(keys, n_buckets), *low_bytes(keys), np.minimum(held, 65535).astype(np.uint16))
+        yield from send(chunk, bucket_of(keys, n_buckets), *low_bytes(keys), held.astype(np.uint16))  # a chunk has fewer rows
 
     return answers(each_chunk(chunks, emit, "bucket int, chunk long, packed binary"), sum_frequencies)
 
@@ -140,7 +142,7 @@ class Sampler:
 
 
 def weights_of(count: np.ndarray, code: np.ndarray, n_docs: int, damping: float = DAMPING) -> np.ndarray:
-    df = np.exp2(code / 8.0)
+    df = np.exp2(code / STEPS)
     tf = 1 + damping * np.log(count)
     return tf * (1 + damping * np.maximum(np.log((n_docs + 1) / (df + 1)), 0) / np.log(n_docs + 1.5))
 
@@ -387,10 +389,9 @@ def verified(pairs: DataFrame, sets: DataFrame, n_docs: int, similar: float = SI
 
 def near_documents(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """doc_id, class_id (the least doc_id of the class) and kept (the document of that id) of each document."""
-    spark = docs.sparkSession
-    n_buckets = 3 * partitions(spark)
     sound = docs.where(F.col("doc_id").isNotNull())
     chunks = chunk_table(sound)
+    n_buckets = exchange_buckets(chunks)
     n_docs = sound.count()
     found = materialize(frequencies(chunks, n_buckets), codec="none", compact=True)
     signed = materialize(signatures(chunks, found, n_buckets, n_docs))

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from tessera.llm import weighted_minhash as M
+from tessera.llm.common import partitions
 
 
 def near(text, r, changes):
@@ -104,7 +105,7 @@ def star(r, copies, at):
 def bucket_classes(spark, rows):
     """Classes by the pairs that share a bucket and are similar, by plain loops over the operator's own samples."""
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    n = 3 * M.partitions(spark)
+    n = 3 * partitions(spark)
     chunks = M.chunk_table(docs)
     signed = M.signatures(chunks, M.materialize(M.frequencies(chunks, n)), n, len(rows)).collect()
     keys = {x.doc_id: [tuple(x.samples[b * M.ROWS : b * M.ROWS + M.ROWS]) for b in range(M.BANDS)] for x in signed}
