@@ -14,7 +14,7 @@ LOG = logging.getLogger("tessera.jobs")
 def session(name: str) -> SparkSession:
     """The session of a command line; a function of a job takes its session from its caller."""
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
-    return SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    return SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC").config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
 
 
 def settings(spark: SparkSession, path: str, known: dict) -> dict:

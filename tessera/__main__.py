@@ -37,7 +37,7 @@ def main(arguments: list[str] | None = None, settings: Mapping[str, str] | None
     from tessera.sources.registry_api import download
     from tessera.sources.search_api import HttpProvider
 
-    spark = session or SparkSession.builder.appName("tessera").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark = session or SparkSession.builder.appName("tessera").config("spark.sql.session.timeZone", "UTC").config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     rows = (lambda: download(spark, config, url=config.registry_url)) if config.registry_url else None
     engine = Engine(spark, config, rows, HttpProvider(config) if config.llm_url else None, ledger)
     if asked.command == "bulk":
