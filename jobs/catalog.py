@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobs import page_links, resolve_entities
-from jobs.common import new_folder
 from tessera.operators.state import NO_LINKS
+from tessera.operators.tables import new_folder
 from tessera.plans import catalog as C
 
 

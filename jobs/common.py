@@ -1,10 +1,9 @@
-"""What the jobs share: sessions of the command line, configuration files read through Spark, folders of one run."""
+"""What the jobs share: sessions of the command line, configuration files read through Spark, a logger."""
 
 from __future__ import annotations
 
 import json
 import logging
-import uuid
 
 from pyspark.sql import SparkSession
 
@@ -24,10 +23,3 @@ def settings(spark: SparkSession, path: str, known: dict) -> dict:
     if strange:
         raise ValueError(f"{path}: unknown settings: {', '.join(strange)}")
     return known | given
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder of its own under spark.checkpoint.dir, or, where that is unset, under the warehouse."""
-    conf = spark.sparkContext.getConf()
-    shared = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

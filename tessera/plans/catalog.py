@@ -17,6 +17,8 @@ from tessera.operators import entities as E
 from tessera.operators import links as L
 from tessera.operators import matching, registry, state
 from tessera.operators.search import first_known, read_object
+from tessera.operators.tables import new_folder
+from tessera.sources.files import read_entities
 
 QUERIES = {}
 ORACLES = {}
@@ -302,6 +304,28 @@ def dedupe_first(spark, sf_dir):
     return E.first_of_each(entities(spark, sf_dir)).select("cache_key", "entity_id", "row_no")
 
 
+# --- Entity lists
+
+#: A list with quotes, commas, line ends and blanks in its names, types in any case, and rows without an id.
+LISTED = """
+SELECT CASE WHEN p_partkey % 4 = 0 THEN '' ELSE concat('o', CAST(p_partkey AS VARCHAR(20))) END AS id,
+  CASE p_partkey % 5 WHEN 0 THEN concat('Фонд "', p_name, '", ', p_brand) WHEN 1 THEN concat(p_name, chr(10), '"', p_brand, '"', chr(10), p_type) WHEN 2 THEN '  ' WHEN 3 THEN concat(' ', p_name, ',') ELSE p_name END AS name,
+  CASE p_partkey % 3 WHEN 0 THEN 'Organization' WHEN 1 THEN ' person ' ELSE 'club' END AS type, CAST(p_partkey AS BIGINT) AS k FROM {part}
+"""
+
+
+@register(
+    "csv_entities",
+    f"SELECT CASE WHEN id = '' THEN CAST(row_no AS VARCHAR) ELSE id END AS entity_id, trim(name) AS name, CASE type WHEN 'Organization' THEN 'organization' WHEN ' person ' THEN 'person' ELSE 'unknown' END AS entity_type, row_no FROM (SELECT *, row_number() OVER (ORDER BY k) AS row_no FROM ({_plain(LISTED)})) WHERE trim(name) <> ''",
+)
+def csv_entities(spark, sf_dir):
+    """The list written as CSV files with Spark and read back by all their splits, numbered through."""
+    folder = new_folder(spark, "csv_entities")
+    rows = derived(spark, sf_dir, LISTED).orderBy("k").drop("k")
+    rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    return read_entities(spark, folder)
+
+
 # --- Matching
 
 

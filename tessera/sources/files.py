@@ -8,21 +8,20 @@ from pyspark.sql import functions as F
 from tessera.functions.urls import strip
 from tessera.operators.entities import normalized_type
 from tessera.schemas import NOT_PROCESSED, SUCCESS
+from tessera.sources.csv_records import read_csv
 
 
 def read_entities(spark: SparkSession, path: str) -> DataFrame:
-    """entity_id, name, entity_type and row_no of a CSV with a header (UTF-8, a byte-order mark allowed).
+    """entity_id, name, entity_type and row_no of CSV files with a header (UTF-8, a byte-order mark allowed).
 
-    Blank names are skipped but numbered. Row numbers need the order of one file: it is read by one task, so very
-    large lists come as Parquet with row_no through entities_from().
+    Blank names are skipped but numbered. Large files are read by many tasks (csv_records); several files count in order of their names.
     """
-    rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("inferSchema", False).csv(path)
-    names = {c.lstrip("﻿").strip().lower(): c for c in rows.columns}
+    rows = read_csv(spark, path)
+    names = {c.strip().lower(): c for c in rows.columns if c != "row_no"}
     if "name" not in names:
         raise ValueError(f"{path}: no column `name`")
     cell = lambda name: F.nullif(F.col(f"`{names[name]}`"), F.lit("")) if name in names else F.lit(None).cast("string")
-    numbered = rows.withColumn("row_no", F.monotonically_increasing_id() + 1)
-    made = numbered.select(
+    made = rows.select(
         strip(F.coalesce(cell("id"), cell("entity_id"), F.col("row_no").cast("string"))).alias("entity_id"),
         strip(F.coalesce(cell("name"), F.lit(""))).alias("name"),
         normalized_type(F.coalesce(cell("entity_type"), cell("type"))).alias("entity_type"),
