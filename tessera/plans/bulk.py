@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tessera.config import Config
 from tessera.operators import entities as E
-from tessera.operators import links, matching, registry, results, state
+from tessera.operators import answers, links, matching, registry, results, state
 from tessera.operators.search import LOG, RegistryError, Searcher, spend
 from tessera.schemas import ITEM, RECORD, RESULT, STORED
 from tessera.sources import files, web
@@ -113,8 +113,12 @@ class Engine:
             pages = self._snapshot("pages", web.pages_of(urls, self.config, self.fetch))
         return results.finalized(rows, self.config, pages)
 
-    def run(self, entities: DataFrame | None = None) -> tuple[Counts, DataFrame]:
-        """Work on the list; the counts and the output rows, which are also written."""
+    def run(self, entities: DataFrame | None = None, stored_answers: DataFrame | None = None) -> tuple[Counts, DataFrame]:
+        """Work on the list; the counts and the output rows, which are also written.
+
+        With stored_answers (columns of answers.ANSWER; ids are cache keys) what is left is looked up there instead of being asked,
+        as one plan; what no answer was asked for is deferred.
+        """
         c, spark = self.config, self.spark
         entities = files.read_entities(spark, c.input_csv) if entities is None else entities
         total = entities.count()
@@ -128,7 +132,7 @@ class Engine:
         marked = unique.join(stored.select("cache_key", F.col("status").alias("old_status"), F.col("attempts").alias("old_attempts")), "cache_key", "left")
         marked = marked.withColumn("reused", state.reuse(F.col("old_status"), F.col("old_attempts"), c))
         work = marked.where(~F.col("reused")).select(*unique.columns)
-        resolved = self.resolve(work, records).withColumn("search", state.needs_search(F.size("result.links"), c) & F.lit(self.searcher is not None))
+        resolved = self.resolve(work, records).withColumn("search", state.needs_search(F.size("result.links"), c) & F.lit(self.searcher is not None or stored_answers is not None))
         resolved = self._snapshot("resolved", resolved)
 
         final = self._finalized(resolved.where(~F.col("search")))
@@ -137,7 +141,10 @@ class Engine:
         pending = resolved.where("search")
         counts = {"listed": total, "selected": selected.count(), "worked": resolved.count(), "pending": pending.count()}
         LOG.info("%(listed)s rows, %(selected)s selected, %(worked)s entities worked on, %(pending)s to search", counts)
-        counts["answered"] = self._search(pending) if counts["pending"] else 0
+        if stored_answers is not None:
+            counts["answered"] = self._take(pending, stored_answers)
+        else:
+            counts["answered"] = self._search(pending) if counts["pending"] else 0
 
         rows = self._snapshot("output", files.output_rows(selected, self.stored()))
         touched = resolved.select("cache_key").join(self.stored(), "cache_key")
@@ -190,13 +197,30 @@ class Engine:
         answered = spend([groups[k] for k in sorted(groups)], self.searcher, save, c.progress_every)
         lines = [json.dumps(o, ensure_ascii=False) for o in outcomes]
         made = self.spark.createDataFrame([(x,) for x in lines], "line string").select(F.from_json("line", OUTCOME).alias("o")).select("o.*")
+        self._settle(pending, made, settled)
+        return answered
+
+    def _take(self, pending: DataFrame, stored_answers: DataFrame) -> int:
+        """Outcomes from a table of answers; of several for one entity an item counts before a missing one and that before an error.
+
+        Returns the number of sound answers that were asked for a pending entity.
+        """
+        made = answers.outcomes(stored_answers, self.config.llm_require_grounding)
+        rank = F.struct(F.when(F.col("event") == "item", 0).when(F.col("event") == "missing", 1).otherwise(2).alias("rank"), F.to_json(F.struct(*made.columns)).alias("text"))
+        best = self._snapshot("answers", made.groupBy("cache_key").agg(F.min_by(F.struct(*(c for c in made.columns if c != "cache_key")), rank).alias("o")).select("cache_key", "o.*"))
+        self._settle(pending, best, [])
+        sound = answers.checked(answers.grounding(stored_answers), self.config.llm_require_grounding).where("error IS NULL")
+        numbered = sound.withColumn("answer_no", F.monotonically_increasing_id()).select("answer_no", F.explode("ids").alias("cache_key"))
+        return numbered.join(pending.select("cache_key"), "cache_key", "left_semi").agg(F.count_distinct("answer_no")).first()[0]
+
+    def _settle(self, pending: DataFrame, made: DataFrame, settled: list[str]) -> None:
+        """Store the pending entities with their outcomes; those without one are deferred."""
         joined = pending.join(made, "cache_key", "left").withColumn("event", F.coalesce("event", F.lit("quota")))
         merged = results.with_item(F.col("result"), F.col("item"), F.col("search_used"), F.col("search_queries"), F.col("grounding_sources"))
         joined = joined.withColumn("result", F.when(F.col("event") == "item", merged).when(F.col("event") == "missing", F.col("result").withField("search_used", F.col("search_used"))).otherwise(F.col("result")).cast(RESULT))
         final = self._finalized(joined)
         final = final.withColumn("o", state.outcome(F.col("event"), F.size("result.links"), F.col("error")))
         self._save(final, settled)
-        return answered
 
     def resolve_one(self, name: str, entity_type: str = "unknown", entity_id: str = "1") -> dict:
         """One entity, without the cache and without storing; errors of the search pass through."""

@@ -6,17 +6,14 @@ that both engines read. Everything runs over whole tables.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from tessera.config import Config
 from tessera.functions import documents, names, urls
 from tessera.operators import entities as E
 from tessera.operators import links as L
-from tessera.operators import matching, registry, state
-from tessera.operators.search import first_known, read_object
+from tessera.operators import answers, matching, registry, state
 from tessera.operators.tables import new_folder
 from tessera.sources.files import read_entities
 
@@ -724,16 +721,11 @@ def html_social_links(spark, sf_dir):
     return rows.select("page_id", F.array_join(documents.social_links(html, F.col("url")), " ").alias("links"))
 
 
-@F.pandas_udf(StringType())
-def _answer_key(texts: pd.Series) -> pd.Series:
-    """Member k of the object of each answer, as the search reads it."""
-    return texts.map(lambda x: str(read_object(x).get("k")), na_action="ignore")
-
-
 @register("json_object_extract", "SELECT event_id, CAST(json_extract_string(regexp_extract(concat('answer: ```json ', props, ' ``` end'), '(\\{.*\\})', 1, 's'), '$.k') AS BIGINT) AS k FROM events")
 def json_object_extract(spark, sf_dir):
     wrapped = F.when(F.col("props").isNotNull(), F.concat(F.lit("answer: ```json "), F.col("props"), F.lit(" ``` end")))
-    return table(spark, sf_dir, "events").select("event_id", _answer_key(wrapped).cast("long").alias("k"))
+    value = F.try_variant_get(F.try_parse_json(answers.object_text(wrapped)), "$.k", "long")
+    return table(spark, sf_dir, "events").select("event_id", value.alias("k"))
 
 
 # --- Search, budget, state
@@ -760,13 +752,67 @@ def llm_gate_modes(spark, sf_dir):
 def llm_item_filter(spark, sf_dir):
     """Items of unknown ids are dropped and the first of each id is kept: ids 0 to 4 of a batch of ten orders."""
     rows = table(spark, sf_dir, "orders").select(F.expr("o_orderkey div 10").alias("batch_no"), (F.col("o_custkey") % 7).alias("item_id"), F.col("o_orderkey").alias("pos"))
+    return rows.where("item_id < 5").groupBy("batch_no", "item_id").agg(F.min("pos").alias("pos"))
+
+
+_ONE = """concat('{{"entity_id": "c', CAST(5 * b + {j} AS VARCHAR(20)), '", "canonical_name": "N', CAST(5 * b + {j} AS VARCHAR(20)), '{more}", "links": [{{"platform": "x", "url": "https://x.com/u', CAST(5 * b + {j} AS VARCHAR(20)), '", "confidence": {confidence}, "evidence": "e"}}]}}')"""
+
+
+def _answer_item(j: int, confidence: str = "0.5", more: str = "") -> str:
+    return _ONE.format(j=j, confidence=confidence, more=more)
+
+
+#: One answer for each five customers, of nine kinds: sound, fenced with a repeated and a foreign id, of a bad confidence, without JSON, without a list, broken, without an id, sparse, without grounding.
+ANSWER_ROWS = f"""
+SELECT b, concat('c', CAST(5 * b AS VARCHAR(20)), ',c', CAST(5 * b + 1 AS VARCHAR(20)), ',c', CAST(5 * b + 2 AS VARCHAR(20)), ',c', CAST(5 * b + 3 AS VARCHAR(20)), ',c', CAST(5 * b + 4 AS VARCHAR(20))) AS ids, b % 9 <> 8 AS entry_point, CASE b % 9
+  WHEN 0 THEN concat('found: {{"results": [', {_answer_item(0)}, ', ', {_answer_item(1, "1")}, ', ', {_answer_item(2, "0")}, ', ', {_answer_item(3)}, ']}}')
+  WHEN 1 THEN concat('```json {{"results": [', {_answer_item(3)}, ', ', {_answer_item(7)}, ', ', {_answer_item(3, "0.9", " dup")}, ', ', {_answer_item(0)}, ']}} ```')
+  WHEN 2 THEN concat('{{"results": [', {_answer_item(0)}, ', ', {_answer_item(1, "1.5")}, ']}}')
+  WHEN 3 THEN 'nothing was found'
+  WHEN 4 THEN '{{"results": {{}}}}'
+  WHEN 5 THEN concat('{{"results": [', {_answer_item(0)}, '}}')
+  WHEN 6 THEN concat('{{"results": [', {_answer_item(0)}, ', {{"canonical_name": "x"}}]}}')
+  WHEN 7 THEN concat('{{"results": [{{"entity_id": "c', CAST(5 * b + 2 AS VARCHAR(20)), '", "canonical_name": null, "ambiguous": true}}]}}')
+  ELSE concat('{{"results": [', {_answer_item(0)}, ']}}') END AS text
+FROM (SELECT DISTINCT CAST(floor(c_custkey / 5) AS BIGINT) AS b FROM {{customer}})
+"""
+_D_ANSWERS = (
+    f"WITH a AS ({_plain(ANSWER_ROWS)}), o AS (SELECT *, regexp_extract(text, '(\\{{.*\\}})', 1, 's') AS obj FROM a), v AS (SELECT *, CASE WHEN obj <> '' AND json_valid(obj) THEN obj::JSON END AS doc FROM o), "
+    "l AS (SELECT *, CASE WHEN json_type(doc, '$.results') = 'ARRAY' THEN json_extract(doc, '$.results[*]') ELSE [] END AS items FROM v), "
+    "e AS (SELECT *, CASE WHEN NOT entry_point THEN 'GroundingMissing: the answer cites no search' WHEN obj = '' THEN 'InvalidResponse: no JSON object in the answer' WHEN doc IS NULL THEN 'InvalidResponse: the answer''s JSON cannot be read' "
+    "WHEN json_type(doc, '$.results') <> 'ARRAY' THEN 'InvalidResponse: results is no list' WHEN len([i FOR i IN items IF json_type(i, '$.entity_id') IS DISTINCT FROM 'VARCHAR']) > 0 THEN 'InvalidResponse: an item has no entity_id' "
+    "WHEN len([i FOR i IN items IF len([c FOR c IN json_extract(i, '$.links[*].confidence') IF CAST(c AS DOUBLE) > 1]) > 0]) > 0 THEN 'InvalidResponse: a confidence is not between 0 and 1' END AS error FROM l) "
+)
+
+
+def _answers(spark, sf_dir) -> DataFrame:
+    none = F.array().cast("array<string>")
+    rows = derived(spark, sf_dir, ANSWER_ROWS.replace("{", "{{").replace("}", "}}").replace("{{customer}}", "{customer}"))
+    return rows.select("b", F.split("ids", ",").alias("ids"), "text", "entry_point", none.alias("queries"), none.alias("uris"))
 
-    def known(batch: pd.DataFrame) -> pd.DataFrame:
-        items = [{"entity_id": str(i), "pos": pos} for i, pos in zip(batch["item_id"], batch["pos"])]
-        kept = first_known(sorted(items, key=lambda x: x["pos"]), set("01234"))
-        return pd.DataFrame({"batch_no": batch["batch_no"].iloc[:1].repeat(len(kept)).to_numpy(), "item_id": [int(x["entity_id"]) for x in kept], "pos": [x["pos"] for x in kept]})
 
-    return rows.groupBy("batch_no").applyInPandas(known, "batch_no long, item_id long, pos long")
+@register("llm_payload_valid", _D_ANSWERS + "SELECT b, coalesce(error, '') AS error, CASE WHEN error IS NULL THEN len(items) ELSE 0 END AS items FROM e")
+def llm_payload_valid(spark, sf_dir):
+    """What breaks each answer, or how many items it has."""
+    rows = answers.checked(answers.grounding(_answers(spark, sf_dir)))
+    return rows.select("b", F.coalesce("error", F.lit("")).alias("error"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("items"))
+
+
+@register(
+    "llm_response_join",
+    _D_ANSWERS
+    + ", q AS (SELECT b, error, items, concat('c', 5 * b + j) AS cache_key FROM (SELECT b, error, items, unnest(range(5)) AS j FROM e)), m AS (SELECT cache_key, error, CASE WHEN error IS NULL THEN [i FOR i IN items IF json_extract_string(i, '$.entity_id') = cache_key][1] END AS item FROM q) "
+    "SELECT cache_key, CASE WHEN error IS NOT NULL THEN 'error' WHEN item IS NULL THEN 'missing' ELSE 'item' END AS event, coalesce(error, '') AS error, json_extract_string(item, '$.canonical_name') AS canonical_name, coalesce(json_extract_string(item, '$.ambiguous') = 'true', false) AS ambiguous, "
+    "coalesce(json_array_length(item, '$.links'), 0)::BIGINT AS links, json_extract_string(item, '$.links[0].url') AS url, CAST(json_extract(item, '$.links[0].confidence') AS DOUBLE) AS confidence FROM m",
+)
+def llm_response_join(spark, sf_dir):
+    """The outcome of each entity asked, from a table of answers."""
+    rows = answers.outcomes(_answers(spark, sf_dir))
+    item, first = F.col("item"), F.get(F.col("item.links"), F.lit(0))
+    return rows.select(
+        "cache_key", "event", F.coalesce("error", F.lit("")).alias("error"), item["canonical_name"].alias("canonical_name"), F.coalesce(item["ambiguous"], F.lit(False)).alias("ambiguous"),
+        F.greatest(F.coalesce(F.size(item["links"]), F.lit(0)), F.lit(0)).cast("long").alias("links"), first["url"].alias("url"), first["confidence"].alias("confidence"),
+    )
 
 
 @register(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.__main__ import main
 from tessera.config import Config, ConfigError
 from tessera.operators import registry
+from tessera.operators.answers import ANSWER
 from tessera.operators.search import Answer, EngineError, InvalidResponse, RateLimiter, RegistryError, ReplayProvider, check_items, is_transient, read_object, with_retry
 from tessera.plans.bulk import Engine
 from tessera.schemas import RESULT
@@ -92,6 +93,25 @@ def test_states_quota_and_second_run(spark, tmp_path, entities):
     assert 'Тестов Пётр Ильич: ["https://t.me/test","https://test.example.org/"]' in printed
 
 
+def test_stored_answers_give_what_the_loop_gives(spark, tmp_path, entities):
+    """The same answers asked one by one, and taken in as a table."""
+    texts = [lambda e: answer(item(e["id"], "https://x.com/kto"), item("other")), lambda e: answer(item("other")), lambda e: Answer("no json", entry_point=True)]
+    asked = []
+    (tmp_path / "loop").mkdir()
+    (tmp_path / "table").mkdir()
+    loop = engine(spark, tmp_path / "loop", [lambda e, t=t: (asked.append((e[0]["id"], t(e[0]))), t(e[0]))[1] for t in texts])
+    want_stats, want = loop.run(entities)
+    table = spark.createDataFrame([([i], a.text, a.entry_point, a.queries, a.uris) for i, a in asked] + [(["no such key"], "x", True, [], [])], ANSWER)
+    config = Config(store_dir=str(tmp_path / "table" / "store"), output_jsonl=str(tmp_path / "table" / "o.jsonl"), unresolved_csv=str(tmp_path / "table" / "o.csv"), registry_min_expected=1, llm_key="k")
+    stats, got = Engine(spark, config, registry_rows=lambda: raw_rows(spark)).run(entities, table)
+    told = lambda rows: sorted((r["id"], r["status"], r["attempts"], r["error"] or "", str(r["result"])) for r in rows.collect())
+    assert told(got) == told(want) and stats == want_stats
+    # Entities that no answer was asked for are deferred without an attempt.
+    (tmp_path / "none").mkdir()
+    stats, got = Engine(spark, Config(store_dir=str(tmp_path / "none" / "s"), output_jsonl=str(tmp_path / "none" / "o"), unresolved_csv=str(tmp_path / "none" / "u"), registry_min_expected=1, llm_key="k"), registry_rows=lambda: raw_rows(spark)).run(entities, table.limit(0))
+    assert stats.answered == 0 and {(r["id"], r["attempts"]) for r in got.collect()} == {(i, 0) for i in ("1", "k2", "k3", "k4", "k5")}
+
+
 def test_answers_outlive_a_stopped_run(spark, tmp_path):
     def stop(batch):
         raise KeyboardInterrupt
@@ -247,6 +267,9 @@ def test_search_pieces():
     chained = RuntimeError()
     chained.__cause__ = ConnectionError()
     assert is_transient(error) and is_transient(ConnectionError()) and not is_transient(chained) and not is_transient(ValueError())
+    refused = RuntimeError()
+    refused.status_code, refused.__cause__ = 400, error.__cause__
+    assert not is_transient(refused)  # the first status decides
     calls = []
     with pytest.raises(TimeoutError):
         with_retry(lambda: calls.append(1) or (_ for _ in ()).throw(TimeoutError()), 3, 1.0, lambda s: None)
