@@ -156,7 +156,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     if len(set(marks.tolist())) < 2:
         share = (marks.sum() + 1) / (len(marks) + 2)
         return np.zeros(1 << BITS, np.float32), float(np.log(share / (1 - share)))
-    return Model().train([text for text, _ in found], marks).table()
+    made = Model().train([text for text, _ in found], marks).table()
+    del found
+    release()  # the driver is done with the texts
+    return made
 
 
 def score(docs: DataFrame, table: np.ndarray, bias: float) -> DataFrame:
