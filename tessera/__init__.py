@@ -8,3 +8,8 @@ import sys
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+from tessera.config import Config  # noqa: E402
+from tessera.plans.bulk import Counts, Engine  # noqa: E402
+
+__all__ = ["Config", "Counts", "Engine"]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.urls import strip
 from tessera.operators.entities import normalized_type
 from tessera.schemas import NOT_PROCESSED, SUCCESS
-from tessera.sources.csv_records import read_csv
+from tessera.sources.csv_records import lines_of, read_csv
 
 
 def read_entities(spark: SparkSession, path: str) -> DataFrame:
@@ -54,28 +54,34 @@ def json_lines(rows: DataFrame) -> DataFrame:
     return rows.withColumn("__head", json_line(rows)).transform(lambda d: d.select("row_no", json_line(d).alias("value"))).orderBy("row_no").select("value")
 
 
-def as_one_file(spark: SparkSession, path: str, head: bytes = b"") -> None:
-    """A written folder of part files as one file of that name, head before it: copied part by part in order, none held in memory."""
+def as_one_file(spark: SparkSession, parts: str, path: str, head: bytes = b"") -> None:
+    """The part files of a folder as one file, head before them: copied part by part in order, none held in memory.
+
+    The file takes the place of an earlier one by a single rename, so a stop at any step leaves the old file or the new one.
+    """
     jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    fs = folder.getFileSystem(conf)
-    whole = jvm.org.apache.hadoop.fs.Path(f"{path}.whole")
+    hadoop, conf = jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    target, whole = hadoop.Path(path), hadoop.Path(f"{path}.whole")
+    fs = target.getFileSystem(conf)
     out = fs.create(whole, True)
     out.write(bytearray(head))
-    for name in sorted(status.getPath().getName() for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/part-*"))):
-        part = fs.open(jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"))
+    for name in sorted(status.getPath().getName() for status in fs.globStatus(hadoop.Path(f"{parts}/part-*"))):
+        part = fs.open(hadoop.Path(f"{parts}/{name}"))
         jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
         part.close()
     out.close()
-    fs.delete(folder, True)
-    fs.rename(whole, folder)
+    if fs.exists(target) and fs.getFileStatus(target).isDirectory():
+        fs.delete(target, True)
+    how = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    how[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    hadoop.FileContext.getFileContext(fs.getUri(), conf).rename(fs.makeQualified(whole), fs.makeQualified(target), how)
+    fs.delete(hadoop.Path(parts), True)
 
 
 def write_results(rows: DataFrame, path: str) -> None:
     """One file of JSON lines, in order of row_no."""
-    json_lines(rows).write.mode("overwrite").text(path)
-    as_one_file(rows.sparkSession, path)
+    json_lines(rows).write.mode("overwrite").text(f"{path}.parts")
+    as_one_file(rows.sparkSession, f"{path}.parts", path)
 
 
 def unresolved(rows: DataFrame) -> DataFrame:
@@ -85,16 +91,23 @@ def unresolved(rows: DataFrame) -> DataFrame:
 def write_unresolved(rows: DataFrame, path: str) -> None:
     """One CSV file with a header, in order of row_no; it begins with a byte-order mark."""
     found = unresolved(rows).orderBy("row_no").drop("row_no")
-    found.write.mode("overwrite").option("header", False).option("escape", '"').option("emptyValue", "").csv(path)
-    as_one_file(rows.sparkSession, path, b"\xef\xbb\xbf" + (",".join(found.columns) + "\n").encode())
+    found.write.mode("overwrite").option("header", False).option("escape", '"').option("emptyValue", "").csv(f"{path}.parts")
+    as_one_file(rows.sparkSession, f"{path}.parts", path, b"\xef\xbb\xbf" + (",".join(found.columns) + "\n").encode())
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """Result lines back; a line that is no JSON object stops the read, blank lines are skipped."""
+    """Result lines back; blank lines are skipped, a line that is no JSON object of results is an error that names it."""
     from tessera.schemas import RESULT
 
     schema = f"id string, name string, entity_type string, status string, attempts long, error string, result {RESULT}"
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    lines = lines_of(spark, path).withColumn("at", F.monotonically_increasing_id()).where(F.regexp_replace("value", r"(?U)\s+", "") != "")
+    read = lines.withColumn("r", F.from_json("value", f"{schema}, broken string", {"columnNameOfCorruptRecord": "broken"}))
+    first = read.where("r.broken IS NOT NULL OR r IS NULL").orderBy("file", "split", "at").select("file", "split", "at").first()
+    if first:
+        before = (F.col("file") == first["file"]) & ((F.col("split") < first["split"]) | ((F.col("split") == first["split"]) & (F.col("at") < first["at"])))
+        number = lines_of(spark, path).withColumn("at", F.monotonically_increasing_id()).where(before).count() + 1
+        raise ValueError(f"{first['file']}: line {number} is no result")
+    return read.select("r.*").drop("broken")
 
 
 def link_lines(results: DataFrame) -> DataFrame:

@@ -1,4 +1,8 @@
-"""The registry's paged interface as a Spark data source, and its replayed form."""
+"""The registry's paged interface as a Spark data source, and its replayed form.
+
+The list can change while its pages are read, which shifts records over the ends of pages. Each page is therefore read with the record before
+it: the two readings of that place must agree, and so must the sizes that all pages report; else the list is read again.
+"""
 
 from __future__ import annotations
 
@@ -6,10 +10,12 @@ import json
 import time
 import urllib.request
 
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tessera.operators.registry import RAW
 from tessera.operators.search import RegistryError, with_retry
+from tessera.operators.tables import cut
 
 FIELDS = [x.split()[0] for x in RAW.split(", ")]
 
@@ -57,35 +63,49 @@ class _Reader(DataSourceReader):
     def read(self, partition):
         offset = partition.offset
         while offset < partition.end:
-            values = page(self.options, offset)["values"]
-            if not values:
+            # The record before the page, too, if a page holds more than one.
+            first = max(0, offset - 1) if int(self.options.get("page_size", 200)) > 1 else offset
+            found = page(self.options, first)
+            values = found["values"][: partition.end - first]
+            if len(values) <= offset - first:
                 raise RegistryError("an empty page before the end of the registry")
-            for k, value in enumerate(values[: partition.end - offset]):
-                if isinstance(value, dict) and str(value.get("id") or "").strip():
-                    yield (offset + k, *(None if value.get(f) is None else str(value.get(f)) for f in FIELDS))
-            offset += len(values)
+            for k, value in enumerate(values):
+                sound = isinstance(value, dict) and str(value.get("id") or "").strip()
+                yield (first + k, found["size"], *(None if not sound or value.get(f) is None else str(value.get(f)) for f in FIELDS))
+            offset = first + len(values)
             time.sleep(float(self.options.get("delay", 0)))
 
 
 class RegistrySource(DataSource):
-    """spark.read.format("registry"): pos and the raw fields."""
+    """spark.read.format("registry"): pos, the size reported and the raw fields; places that two pages hold come twice."""
 
     @classmethod
     def name(cls):
         return "registry"
 
     def schema(self):
-        return f"pos long, {RAW}"
+        return f"pos long, size long, {RAW}"
 
     def reader(self, schema):
         return _Reader(self.options)
 
 
+def shifted(rows) -> bool:
+    """Whether the list changed while it was read: two records in one place, several sizes, or fewer places than the size."""
+    places = rows.groupBy("pos").agg(F.count_distinct(F.coalesce("id", F.lit(""))).alias("records"), F.min("size").alias("least"), F.max("size").alias("most"))
+    told = places.agg(F.max("records").alias("records"), F.min("least").alias("least"), F.max("most").alias("most"), F.count("*").alias("places")).first()
+    return told["places"] > 0 and (told["records"] > 1 or not told["least"] == told["most"] == told["places"])
+
+
 def download(spark, config, **options):
-    """The raw rows of the whole registry, by id, checked against the least number expected."""
+    """The raw rows of the whole registry, by id, read again while the list changes under the reading."""
     from tessera.operators.registry import dedupe_pages
 
     spark.dataSource.register(RegistrySource)
     read = spark.read.format("registry").option("page_size", str(config.registry_page_size)).option("max_records", str(config.registry_max_records)).option("delay", str(config.registry_page_delay))
     read = read.option("timeout", str(config.registry_timeout)).option("attempts", str(config.registry_attempts)).option("base_delay", str(config.registry_base_delay))
-    return dedupe_pages(read.options(**options).load())
+    for _ in range(max(1, config.registry_attempts)):
+        rows = cut(read.options(**options).load())
+        if not shifted(rows):
+            return dedupe_pages(rows.drop("size").dropDuplicates(["pos"]))
+    raise RegistryError("the registry changes while it is read")
