@@ -182,7 +182,10 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier accepts, with all their columns; texts pass through Python once, unshuffled."""
+    """The documents that the classifier accepts, with all their columns; texts pass through Python once, unshuffled.
+
+    Null texts are scored as empty ones, repeated rows alike; columns of any name stay as they are; no documents give none.
+    """
     table, bias = fit(docs, labels)
     columns = docs.columns
 

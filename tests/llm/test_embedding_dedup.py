@@ -110,3 +110,33 @@ def test_pairs_across_range_partitions_are_met(spark):
         assert run(spark, [(i, 0, e) for i, e in enumerate(x.astype(np.float32).tolist())]) == brute_components(x, list(range(80)))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_the_windows_alone_unite_planted_copies(spark):
+    """Groups of 2 to 40 copies at cosines of 0.94 to 0.99 to their original, in labels of some hundred vectors: no cell pass is needed for them."""
+    from pyspark.sql import functions as F
+
+    r = np.random.default_rng(21)
+    rows, want, at = [], {}, 0
+    for label in range(6):
+        vectors = []
+        for size in (2, 2, 3, 5, 12, 40, *[1] * 150):
+            base = r.standard_normal(64)
+            base /= np.sqrt(base @ base)
+            vectors.append(base)
+            for _ in range(size - 1):
+                noise = r.standard_normal(64)
+                noise -= (noise @ base) * base
+                c = r.uniform(0.94, 0.99)
+                vectors.append(c * base + np.sqrt(1 - c * c) * noise / np.sqrt(noise @ noise))
+        x = np.array(vectors)
+        want |= {at + i: at + found[1] for i, found in brute_components(x, list(range(len(x)))).items() if found[0]}
+        rows += [(at + i, label, e) for i, e in enumerate(x.astype(np.float32).tolist())]
+        at += len(x)
+    frame = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").repartition(4)
+    kind = M.stored_kind(frame)
+    order = ["pass", "label", "key", F.xxhash64("vec_id")]
+    ranged = M.keyed(M.sound_vectors(frame), M.PASSES, kind).repartitionByRange(4, *order).sortWithinPartitions(*order)
+    got = {x.vertex: x.component for x in M.components(M.neighbour_links(ranged, kind, M.THRESHOLD)).collect()}
+    assert len(want) > 300 and sum(got.get(i) == c for i, c in want.items()) >= 0.99 * len(want)
+    assert all(c == want[i] or c > want[i] for i, c in got.items() if i in want)
