@@ -9,7 +9,14 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-from tessera.config import Config  # noqa: E402
-from tessera.plans.bulk import Counts, Engine  # noqa: E402
+#: Names of the package, by the module that has them: loaded when asked for, so that a part of the package is imported alone.
+_EXPORTS = {"Config": "tessera.config", "Counts": "tessera.plans.bulk", "Engine": "tessera.plans.bulk"}
+__all__ = list(_EXPORTS)
 
-__all__ = ["Config", "Counts", "Engine"]
+
+def __getattr__(name: str):
+    from importlib import import_module
+
+    if name not in _EXPORTS:
+        raise AttributeError(f"module {__name__!r} has no attribute {name!r}")
+    return getattr(import_module(_EXPORTS[name]), name)

@@ -721,6 +721,42 @@ def html_social_links(spark, sf_dir):
     return rows.select("page_id", F.array_join(documents.social_links(html, F.col("url")), " ").alias("links"))
 
 
+#: What a site's page adds: an anchor to a profile, a JSON-LD block with profiles at two depths, and things that are no profiles.
+_SITE_MARKS = """concat(coalesce(html, ''), '<a href="https://t.me/s/p', CAST(page_id AS VARCHAR(20)), '/">t</a><script type="application/ld+json">{"@graph": [{"sameAs": ["https://www.vk.com/p', CAST(page_id AS VARCHAR(20)), '", 5, "https://site.example.org/x"]}], "sameAs": "https://ok.ru/g', CAST(page_id % 7 AS VARCHAR(20)), '"}</script><script type="application/ld+json">{broken</script>')"""
+
+
+@register(
+    "html_same_as",
+    "SELECT page_id, concat('https://t.me/p', page_id, ' https://ok.ru/g', page_id % 7, ' https://vk.com/p', page_id) AS links FROM pages",
+)
+def html_same_as(spark, sf_dir):
+    """Profiles of every page's anchors, then of its sameAs texts at any depth, outer ones first; marks are added to each page, which has none."""
+    rows = table(spark, sf_dir, "pages").withColumn("marked", F.expr(_SITE_MARKS))
+    return rows.select("page_id", F.array_join(documents.social_links(F.col("marked"), F.col("url")), " ").alias("links"))
+
+
+@register(
+    "crawl_enrichment",
+    f"WITH p AS (SELECT page_id, {d_url('url')} AS site FROM pages WHERE coalesce(url, '') <> ''), f AS (SELECT site, min(page_id) AS first FROM p GROUP BY site) "
+    f"SELECT page_id, concat('https://t.me/p', first, ' https://ok.ru/g', first % 7, ' https://vk.com/p', first, CASE WHEN {d_profile('site')} THEN concat(' ', site) ELSE '' END) AS urls, 'registry official_site_crawler' AS sources, CASE WHEN {d_profile('site')} THEN 0.9 ELSE 0.97 END::DOUBLE AS least, false AS review FROM p JOIN f USING (site)",
+)
+def crawl_enrichment(spark, sf_dir):
+    """Results whose only link is an official site, enriched from the site's page and finalized."""
+    from tessera.operators.results import finalized
+    from tessera.schemas import RESULT
+
+    pages = table(spark, sf_dir, "pages").where(F.coalesce("url", F.lit("")) != "").withColumn("site", urls.normalize_url(F.col("url")))
+    shown = pages.groupBy(F.col("site").alias("url")).agg(F.min_by(F.expr(_SITE_MARKS), "page_id").alias("html"))
+    one = L.link(F.lit("website"), F.col("site"), F.lit(0.9), F.lit("e"), F.lit("registry"), F.array(F.lit("https://registry.example.org/")))
+    plain = F.from_json(F.lit('{"ambiguous": false, "resolution_sources": ["registry"]}'), RESULT)
+    rows = pages.select("page_id", F.col("page_id").cast("string").alias("cache_key"), plain.withField("links", F.array(one)).alias("result"))
+    made = finalized(rows, Config(llm_key="replay", crawler_enabled=True), shown)
+    links = F.col("result.links")
+    return made.select(
+        "page_id", F.array_join(F.transform(links, lambda x: x["url"]), " ").alias("urls"), F.array_join("result.resolution_sources", " ").alias("sources"), F.array_min(F.transform(links, lambda x: x["confidence"])).alias("least"), F.col("result.needs_human_review").alias("review")
+    )
+
+
 @register("json_object_extract", "SELECT event_id, CAST(json_extract_string(regexp_extract(concat('answer: ```json ', props, ' ``` end'), '(\\{.*\\})', 1, 's'), '$.k') AS BIGINT) AS k FROM events")
 def json_object_extract(spark, sf_dir):
     wrapped = F.when(F.col("props").isNotNull(), F.concat(F.lit("answer: ```json "), F.col("props"), F.lit(" ``` end")))
