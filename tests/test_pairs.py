@@ -27,6 +27,36 @@ def test_each_pair_meets_once(spark, monkeypatch):
     assert got == sorted((e, r) for e, a in left.items() for r, (_, b) in right.items() if set(a) & set(b)) and got
 
 
+def test_a_hot_key_sends_its_rows_a_few_times(spark, monkeypatch):
+    """A key of 60 rows a side is dealt into 3 blocks a side, not into 30: a row is sent to each of the other side's, right ones as lists."""
+    monkeypatch.setattr(matching, "BLOCK", 2)
+    monkeypatch.setattr(matching, "DEALT", 3, raising=False)
+    frame = lambda side: spark.createDataFrame([(f"{side}{i}", ["hot"]) for i in range(60)], "id string, keys array<string>")
+    sides = []
+    join = type(frame("e")).join
+    monkeypatch.setattr(type(frame("e")), "join", lambda self, other, *more: (sides.append((self, other)), join(self, other, *more))[1])
+    met = matching.meet(frame("e").withColumnRenamed("id", "cache_key"), frame("r").withColumnRenamed("id", "record_id"))
+    left, right = sides[-1]
+    assert (left.count(), right.count()) == (180, 9)
+    assert met.distinct().count() == met.count() == 3600
+
+
+def test_more_rows_make_more_blocks(spark, monkeypatch):
+    monkeypatch.setattr(matching, "MOST", 1 << 13)
+    made = spark.createDataFrame([(1,), (1024,), (1025,), (32768,), (32769,), (100_000,)], "n long").select("n", matching.blocks(F.col("n")).alias("b"))
+    assert [r.b for r in made.orderBy("n").collect()] == [1, 1, 2, 4, 5, 13]
+
+
+def test_what_is_found_ahead_is_that_of_each_pair(spark, monkeypatch):
+    """Rows alike in a column meet as one list; a null found for it leaves them out."""
+    monkeypatch.setattr(matching, "BLOCK", 3)
+    left, right, one, two = sides(spark, 5)
+    met = matching.meet(one, two, ("kind",), {"said": F.when(~((F.col("kind") == "x") & F.col("cache_key").endswith("1")), F.concat("cache_key", "kind"))})
+    got = sorted((r.cache_key, r.record_id, r.said) for r in met.collect())
+    want = sorted((e, r, e + kind) for e, a in left.items() for r, (kind, b) in right.items() if set(a) & set(b) and not (kind == "x" and e.endswith("1")))
+    assert got == want and got
+
+
 def test_counts_equal_expanded_pairs(spark, monkeypatch):
     monkeypatch.setattr(matching, "HOT", 8)
     left, right, one, two = sides(spark, 2)
