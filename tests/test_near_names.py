@@ -88,3 +88,39 @@ def test_hot_tokens_of_short_names_are_no_keys(spark):
     right = [([f"общее слово x{i}"], "organization") for i in range(0, 300, 10)] + [([f"общее другое y{i}"], "organization") for i in range(300)]
     rows = matching.near_rows(*frames(spark, left, right), 0.85)
     assert {(r.cache_key, r.record_id) for r in rows.collect()} == {(f"e{i}", f"r{i // 10}") for i in range(0, 300, 10)}
+
+
+@pytest.mark.parametrize(("least", "hot"), [(0.80, 4), (0.6, 2), (0.9, 1000)])
+def test_bounds_equal_a_plain_loop(spark, monkeypatch, least, hot):
+    """Pairs that share common tokens, rare ones, both; whatever counts as common."""
+    monkeypatch.setattr(matching, "HOT", hot)
+    r = random.Random(11)
+    pool = ["всех", "дом", "a"] * 4 + [f"t{i}" for i in range(14)]
+    name = lambda: " ".join(r.choice(pool) for _ in range(r.choice([0, 1, 2, 3, 3, 4, 5, 9])))
+    left = [(name(), r.choice(["person", "organization", "unknown"])) for _ in range(50)]
+    right = [(list(dict.fromkeys(name() for _ in range(r.randint(0, 3)))), r.choice(["person", "organization"])) for _ in range(50)]
+    want = {}
+    for e, o, n in plain_pairs(left, right, least):
+        bound = plain_bound(set(left[int(e[1:])][0].split()), set(n.split()))
+        want[e, o] = max(bound, want.get((e, o), 0))
+    rows = matching.near_bounds(*frames(spark, left, right), least, digits=6).collect()
+    assert len(rows) == len(want) and {(x.cache_key, x.record_id): x.bound for x in rows} == {k: pytest.approx(v, abs=1e-6) for k, v in want.items()}
+
+
+def test_alike_pairs_are_not_compared_one_by_one(spark, monkeypatch):
+    """All names share two tokens of three, each with a rare third: 400 pairs have one bound, the 20 that share all another."""
+    monkeypatch.setattr(matching, "HOT", 8)
+    compared = []
+    meet = matching.meet
+
+    def recorded(left, right, alike=(), ahead=None):
+        met = meet(left, right, alike, ahead) if ahead else meet(left, right)
+        if not ahead:
+            compared.append(met)
+        return met
+
+    monkeypatch.setattr(matching, "meet", recorded)
+    left, right = [(f"лугов иван x{i}", "person") for i in range(20)], [([f"лугов иван x{i}"], "person") for i in range(20)]
+    rows = matching.near_bounds(*frames(spark, left, right), 0.8).collect()
+    assert sorted({round(r.bound, 6) for r in rows}) == [0.8, 1.0] and len(rows) == 400
+    assert sum(met.count() for met in compared) <= 20
